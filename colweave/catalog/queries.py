@@ -1,0 +1,948 @@
+"""One query per operator, each over whole tables.
+
+Every function takes (spark, folder) and gives a DataFrame; ``oracle`` holds
+the same result as SQL where SQL can express it.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from functools import wraps
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from colweave import tables
+from colweave.functions import dates, scalars
+from colweave.operators import (
+    encode,
+    narrow,
+    nulls,
+    profile,
+    project,
+    scale,
+    score,
+    select,
+    split,
+)
+from colweave.operators.order import row_prefix
+from colweave.plans import models, pipeline, response, search
+from colweave.schema import Roles, quoted
+from colweave.session import scratch_path
+from colweave.sources import scan, sinks, synth
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+
+# Boosting rounds of the registered model queries; the library default is 100.
+ROUNDS = 10
+
+
+def query(function: Query) -> Query:
+    @wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return function(spark, folder.rstrip("/"))
+
+    _QUERIES[function.__name__] = run
+    return run
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def rounded(df: DataFrame, digits: int = 6, *names: str) -> DataFrame:
+    """Round double columns, and turn -0.0 into 0.0."""
+    doubles = [n for n, t in df.dtypes if t in ("double", "float") and (not names or n in names)]
+    return df.selectExpr(*[
+        f"round(cast({quoted(c)} as double), {digits}) + 0.0D as {quoted(c)}" if c in doubles else quoted(c)
+        for c in df.columns
+    ])
+
+
+orders = tables.orders_features
+events = tables.events_features
+
+
+def expanded(spark: SparkSession, folder: str) -> DataFrame:
+    return dates.expand_six(orders(spark, folder))
+
+
+ORDER_NUMBERS = ["number_0", "number_1", "number_2"]
+DATE_NUMBERS = [dates.part_name(p, "datetime_0") for p in dates.SIX_PARTS]
+LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+# ---------------------------------------------------------------- scans and sinks
+
+
+def _orders_csv(spark: SparkSession, folder: str) -> str:
+    path = scratch_path(spark, "orders-csv")
+    orders(spark, folder).write.option("header", True).option("escape", '"').csv(path)
+    return path
+
+
+@query
+def scan_csv(spark, folder):
+    return scan.scan_csv(spark, _orders_csv(spark, folder))
+
+
+@query
+def scan_limit(spark, folder):
+    return scan.limited(orders(spark, folder), 500)
+
+
+@query
+def scan_columns(spark, folder):
+    return scan.limited(orders(spark, folder), None, ["line_id", "number_0", "string_1", "no_such_column"])
+
+
+@query
+def scan_bounded(spark, folder):
+    return scan.scan_bounded(spark, _orders_csv(spark, folder))
+
+
+@query
+def estimate_rows(spark, folder):
+    return scan.estimate(spark, _orders_csv(spark, folder))
+
+
+@query
+def sink_prediction(spark, folder):
+    path = scratch_path(spark, "prediction")
+    sinks.save_predictions(tables.with_prediction(orders(spark, folder)), path)
+    return spark.read.schema("line_id bigint, prediction double").option("header", True).csv(path)
+
+
+def _order_metrics(spark, folder):
+    """Three measures per order status."""
+    return orders(spark, folder).groupBy(F.col("string_1").alias("dataset")).agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.avg("target"), 6).alias("score")
+    )
+
+
+def _event_metrics(spark, folder):
+    """Four measures per event type."""
+    return tables.read(spark, folder, "events").groupBy(F.col("event_type").alias("dataset")).agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("user_id").alias("users"), F.max("value").alias("top")
+    )
+
+
+@query
+def sink_metrics(spark, folder):
+    path = scratch_path(spark, "metrics")
+    for part in (_order_metrics(spark, folder), _order_metrics(spark, folder)):
+        sinks.append_metrics(part, path)
+    return spark.read.schema("dataset string, rows bigint, score double").option("header", True).csv(path)
+
+
+def _saved_metrics(spark, folder):
+    root = scratch_path(spark, "metrics-by-schema")
+    sinks.save_metrics(_order_metrics(spark, folder), root, "runs", "run-1")
+    sinks.save_metrics(_event_metrics(spark, folder), root, "runs", "run-1")
+    sinks.save_metrics(_event_metrics(spark, folder), root, "runs", "run-2")
+    return root
+
+
+@query
+def metrics_by_schema(spark, folder):
+    root = _saved_metrics(spark, folder)
+    stored = spark.read.option("mergeSchema", True).parquet(f"{root}/subfolder=runs")
+    return stored.groupBy("schema_hash").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("run_id").alias("n_runs"))
+
+
+@query
+def metrics_union(spark, folder):
+    return sinks.load_metrics(spark, _saved_metrics(spark, folder), "runs")
+
+
+@query
+def metrics_export(spark, folder):
+    path = scratch_path(spark, "metrics-export")
+    sinks.export_metrics(sinks.union_metrics([_order_metrics(spark, folder), _event_metrics(spark, folder)]), path)
+    layout = "dataset string, rows bigint, score double, users bigint, top double"
+    return spark.read.schema(layout).option("header", True).option("sep", ";").csv(path)
+
+
+def _one_feature(spark, folder):
+    return orders(spark, folder).select("line_id", "number_1", "target")
+
+
+def _ridge_scorer(train_table):
+    return pipeline.train(train_table, models.REGRESSION, lambda n, w: models.ridge(n, width=w), pipeline.FREQUENCY)
+
+
+@query
+def model_roundtrip(spark, folder):
+    df = _one_feature(spark, folder)
+    path = scratch_path(spark, "model")
+    pipeline.save(_ridge_scorer(df), path)
+    return rounded(pipeline.load(spark, path).predict(df).select("line_id", "prediction"), 5)
+
+
+@query
+def synth_table(spark, folder):
+    return synth.noise_table(orders(spark, folder), 6)
+
+
+@query
+def inject_nulls(spark, folder):
+    blocks = {"number_1": (3000, 5000), "number_0": (4000, 6000), "string_1": (5000, 8000)}
+    return synth.inject_missing(orders(spark, folder), blocks)
+
+
+# ---------------------------------------------------------------- projections
+
+
+@query
+def split_label(spark, folder):
+    features, label = project.split_label(orders(spark, folder))
+    return features.select("line_id", *ORDER_NUMBERS).join(label, "line_id")
+
+
+@query
+def select_prefix(spark, folder):
+    df = orders(spark, folder)
+    return project.pick(df, project.by_prefix(df.columns), ["line_id"])
+
+
+@query
+def select_deny(spark, folder):
+    df = orders(spark, folder)
+    return project.pick(df, project.by_denial(df.columns, ["string_1"]), ["line_id"])
+
+
+@query
+def replay_columns(spark, folder):
+    return project.pick(orders(spark, folder), ["number_2", "number_0", "string_0"], ["line_id"])
+
+
+@query
+def select_dtype(spark, folder):
+    df = orders(spark, folder)
+    return project.pick(df, project.by_dtype(df, "double"), ["line_id"])
+
+
+@query
+def append_block(spark, folder):
+    df = orders(spark, folder).select("line_id", "number_0", "number_1")
+    return project.append_block(df, {
+        "number_sum": F.col("number_0") + F.col("number_1"),
+        "number_gap": F.col("number_0") - F.col("number_1"),
+    })
+
+
+@query
+def guard_min_rows(spark, folder):
+    df = orders(spark, folder)
+    seen = project.guard_rows(df, 2)
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.lit(seen).cast("bigint").alias("rows_checked"))
+
+
+@query
+def row_prefix_long(spark, folder):
+    df = orders(spark, folder)
+    return row_prefix(df, df.count() * 4 // 5)
+
+
+@query
+def filter_profile(spark, folder):
+    counts = profile.distinct_counts(orders(spark, folder).drop("line_id", "target"))
+    return counts.where((F.col("n_distinct") > 2) & (F.col("n_distinct") <= 20))
+
+
+@query
+def column_roles(spark, folder):
+    roles = Roles({"number_1": "categorical", "target": "output", "id_0": "ignore"})
+    df = orders(spark, folder)
+    return encode.frequency_table(df, encode.encoded_columns(df.columns, roles))
+
+
+# ---------------------------------------------------------------- missing values
+
+
+@query
+def any_null(spark, folder):
+    with_some = profile.any_missing(orders(spark, folder)).withColumn("tab", F.lit("orders_features"))
+    without = profile.any_missing(tables.read(spark, folder, "lineitem")).withColumn("tab", F.lit("lineitem"))
+    return with_some.unionByName(without)
+
+
+@query
+def fill_const(spark, folder):
+    return nulls.fill_constant(orders(spark, folder))
+
+
+@query
+def fill_mean(spark, folder):
+    df = orders(spark, folder)
+    return nulls.fill_values(df, nulls.means(df, [*ORDER_NUMBERS, "number_const", "number_null"]))
+
+
+@query
+def fill_mode(spark, folder):
+    df = orders(spark, folder)
+    return nulls.fill_values(df, nulls.modes(df, [*ORDER_NUMBERS, "number_const", "number_null", "string_0"]))
+
+
+@query
+def fill_max(spark, folder):
+    df = orders(spark, folder)
+    return nulls.fill_values(df, nulls.maxima(df, [*ORDER_NUMBERS, "number_const", "number_null"]))
+
+
+@query
+def fill_replay(spark, folder):
+    train, test = split.split_hash(orders(spark, folder))
+    return nulls.FillPolicy.fit(train).apply(test)
+
+
+def _hollow_test(spark, folder):
+    """Training rows without a missing value, test rows with some."""
+    train, test = split.split_hash(orders(spark, folder).select("line_id", "number_1", "number_2"))
+    hollow = F.when(F.col("line_id") % 3 != 0, F.col("number_1"))
+    return train, test.withColumn("number_1", hollow)
+
+
+@query
+def fill_replay_mean(spark, folder):
+    train, test = _hollow_test(spark, folder)
+    return rounded(nulls.FillPolicy.fit(train).apply(test), 9)
+
+
+@query
+def fill_replay_self(spark, folder):
+    train, test = _hollow_test(spark, folder)
+    return rounded(nulls.FillPolicy.fit(train, stats="self").apply(test), 9)
+
+
+# ---------------------------------------------------------------- dates and scalars
+
+
+def _as_text(c):
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+
+
+@query
+def parse_dt_null(spark, folder):
+    parsed = dates.parse_date(F.col("datetime_0"))
+    return orders(spark, folder).select("line_id", _as_text(parsed).alias("parsed"))
+
+
+@query
+def parse_dt_sentinel(spark, folder):
+    parsed = dates.parse_date_or_empty(F.col("datetime_0"))
+    return orders(spark, folder).select("line_id", _as_text(parsed).alias("parsed"))
+
+
+def _part_query(part: str) -> Query:
+    parse = dates.parse_date_or_empty if part == "year" else dates.parse_date
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        value = dates.PARTS[part](parse(F.col("datetime_0")))
+        return orders(spark, folder).select("line_id", value.alias(part))
+
+    run.__name__ = f"dt_{part}"
+    return query(run)
+
+
+for _part in dates.PARTS:
+    _part_query(_part)
+
+
+@query
+def datetime_expand6(spark, folder):
+    return expanded(spark, folder).select("line_id", *DATE_NUMBERS)
+
+
+@query
+def datetime_expand5(spark, folder):
+    names = [dates.part_name(p, "datetime_0") for p in dates.FIVE_PARTS]
+    return dates.expand_five(orders(spark, folder)).select("line_id", *names)
+
+
+@query
+def round_scale(spark, folder):
+    return orders(spark, folder).select("line_id", scalars.scale_and_round(F.col("target")).alias("scaled"))
+
+
+@query
+def feature_arith(spark, folder):
+    df = tables.read(spark, folder, "lineitem")
+    a, b, c, d = (F.col(n) for n in LINE_NUMBERS)
+    return df.select(
+        "l_orderkey", "l_linenumber",
+        scalars.ratio(a + b, c * d).alias("share"), (scalars.ratio(a, b, 1e-16) + c * d).alias("mix"),
+    )
+
+
+@query
+def md5_upper(spark, folder):
+    return tables.read(spark, folder, "documents").select("doc_id", scalars.md5_upper(F.col("text")).alias("digest"))
+
+
+@query
+def zero_pad(spark, folder):
+    return orders(spark, folder).select("line_id", scalars.zero_pad(F.col("line_id")).alias("padded"))
+
+
+@query
+def run_id(spark, folder):
+    return _order_metrics(spark, folder).withColumn("run_id", scalars.run_id())
+
+
+# ---------------------------------------------------------------- narrower types
+
+
+@query
+def narrow_int(spark, folder):
+    df = tables.read(spark, folder, "lineitem")
+    return narrow.fit_integers(df).table(df)
+
+
+@query
+def narrow_apply(spark, folder):
+    df = tables.read(spark, folder, "lineitem").select("l_linenumber", *LINE_NUMBERS)
+    small = narrow.fit_floats(df, ["l_quantity", "l_discount"]).apply(df)
+    return narrow.fit_integers(small).apply(small)
+
+
+@query
+def narrow_float(spark, folder):
+    df = tables.read(spark, folder, "lineitem")
+    return narrow.fit_floats(df).table(df)
+
+
+@query
+def narrow_unsigned(spark, folder):
+    df = tables.read(spark, folder, "lineitem").withColumn("signed", F.col("l_suppkey") - 50)
+    return narrow.fit_integers(df, unsigned=True).table(df)
+
+
+@query
+def dictionary_encode(spark, folder):
+    df = orders(spark, folder).select("line_id", "string_0", "string_1", "id_0")
+    return encode.fit_dictionary(df).apply(df)
+
+
+@query
+def narrow_report(spark, folder):
+    df = tables.read(spark, folder, "lineitem")
+    dictionary = encode.fit_dictionary(df)
+    small = narrow.fit_floats(df).apply(narrow.fit_integers(df).apply(df))
+    return narrow.size_report(df, small, list(dictionary.sizes))
+
+
+@query
+def transform_ds(spark, folder):
+    df = orders(spark, folder).drop("datetime_0", "id_0")
+    return pipeline.compact(df)
+
+
+@query
+def dtype_counts(spark, folder):
+    return project.type_counts(orders(spark, folder))
+
+
+@query
+def is_big(spark, folder):
+    return narrow.big_table(tables.read(spark, folder, "lineitem"))
+
+
+# ---------------------------------------------------------------- encoders
+
+
+def _with_onehot(df: DataFrame, fitted: encode.OneHot) -> DataFrame:
+    return project.pick(fitted.apply(df), fitted.names(), ["line_id"])
+
+
+@query
+def onehot_fit(spark, folder):
+    df = orders(spark, folder)
+    return _with_onehot(df, encode.fit_onehot(df))
+
+
+@query
+def onehot_budget(spark, folder):
+    df = nulls.fill_constant(orders(spark, folder))
+    return _with_onehot(df, encode.fit_onehot_budget(df, most_columns=27))
+
+
+@query
+def onehot_width_cap(spark, folder):
+    df = orders(spark, folder).select("line_id", "number_1", "string_0", "string_1", "number_2", "target")
+    return _with_onehot(df, encode.fit_onehot_width_cap(df, most_columns=25))
+
+
+@query
+def onehot_replay(spark, folder):
+    train, test = split.split_hash(orders(spark, folder))
+    fitted = encode.fit_onehot(train, ["string_0", "string_1", "number_1"])
+    unseen = F.when(F.col("line_id") % 10 == 0, F.lit("no such value")).otherwise(F.col("string_0"))
+    return _with_onehot(test.withColumn("string_0", unseen), fitted)
+
+
+@query
+def freq_fit(spark, folder):
+    df = orders(spark, folder)
+    return encode.frequency_table(df, encode.encoded_columns(df.columns))
+
+
+def _frequency_replay(spark, folder, **limits):
+    names = ["string_0", "string_1", "id_0"]
+    train, test = split.split_hash(orders(spark, folder).select("line_id", *names))
+    return encode.fit_frequency(train).apply(test, **limits)
+
+
+@query
+def freq_replay(spark, folder):
+    return _frequency_replay(spark, folder)
+
+
+@query
+def freq_replay_shuffled(spark, folder):
+    """The same result by the path that tables too large to broadcast take."""
+    return _frequency_replay(spark, folder, most_rows=0)
+
+
+# ---------------------------------------------------------------- profiles and selection
+
+
+@query
+def drop_constant(spark, folder):
+    return profile.drop_constant(orders(spark, folder))[0]
+
+
+@query
+def profile_distinct(spark, folder):
+    return profile.distinct_counts(tables.read(spark, folder, "lineitem"))
+
+
+@query
+def column_means(spark, folder):
+    return rounded(profile.column_means(tables.read(spark, folder, "lineitem"), LINE_NUMBERS))
+
+
+@query
+def distinct_values(spark, folder):
+    return profile.distinct_values(tables.read(spark, folder, "lineitem"), "l_suppkey")
+
+
+@query
+def value_counts(spark, folder):
+    return profile.value_counts(tables.read(spark, folder, "lineitem"), "l_partkey")
+
+
+@query
+def corr_matrix(spark, folder):
+    return rounded(select.correlation_matrix(expanded(spark, folder), [*ORDER_NUMBERS, "number_const", *DATE_NUMBERS]))
+
+
+@query
+def corr_matrix_dense(spark, folder):
+    df = tables.embedding_features(spark, folder)
+    return rounded(select.correlation_matrix(df, project.by_prefix(df.columns)))
+
+
+@query
+def corr_filter(spark, folder):
+    df = nulls.fill_constant(expanded(spark, folder))
+    late = select.correlated_columns(df, [*ORDER_NUMBERS, "number_const", *DATE_NUMBERS])
+    return spark.createDataFrame([(n,) for n in late], "column string")
+
+
+@query
+def target_corr_topk(spark, folder):
+    df = nulls.fill_constant(expanded(spark, folder))
+    names = [*ORDER_NUMBERS, *DATE_NUMBERS]
+    size = narrow.table_bytes(df).first()["bytes"]
+    return rounded(select.top_by_target(df, names, size, size // 3))
+
+
+@query
+def variance_filter(spark, folder):
+    df = tables.read(spark, folder, "lineitem").withColumn("zero", F.lit(0.0))
+    kept = select.varying_columns(df, [*LINE_NUMBERS, "zero"])
+    return rounded(select.variances(df, kept), 4)
+
+
+@query
+def mutual_info(spark, folder):
+    df = nulls.fill_constant(expanded(spark, folder))
+    return rounded(select.mutual_information(df, [*ORDER_NUMBERS, "number_const", *DATE_NUMBERS]))
+
+
+@query
+def mutual_info_select(spark, folder):
+    df = nulls.fill_constant(expanded(spark, folder))
+    table = select.mutual_information(df, [*ORDER_NUMBERS, "number_const", *DATE_NUMBERS])
+    return rounded(select.above_spread(table, "mi", 0.5))
+
+
+@query
+def pca_k99(spark, folder):
+    df = tables.embedding_features(spark, folder)
+    return select.principal_components(df, project.by_prefix(df.columns)).table(spark)
+
+
+@query
+def pca_two_columns(spark, folder):
+    df = expanded(spark, folder).where(F.col("number_0").isNotNull())
+    found = select.principal_components(df, ["number_0", "number_1"], 0.999).table(spark)
+    return rounded(found)
+
+
+@query
+def scale_fit(spark, folder):
+    df = tables.read(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", *LINE_NUMBERS)
+    return rounded(scale.Scaler.fit(df, LINE_NUMBERS).apply(df))
+
+
+@query
+def scale_replay(spark, folder):
+    train, test = split.split_hash(nulls.fill_constant(orders(spark, folder)))
+    names = [*ORDER_NUMBERS, "number_const", "number_null"]
+    return rounded(scale.Scaler.fit(train, names).apply(test).select("line_id", *names))
+
+
+@query
+def scale_float(spark, folder):
+    df = tables.read(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", *LINE_NUMBERS)
+    return rounded(scale.Scaler.fit(df, LINE_NUMBERS, single=True).apply(df), 3)
+
+
+@query
+def scale_independent(spark, folder):
+    names = ["number_1", "number_2"]
+    both = split.split_hash(orders(spark, folder).select("line_id", *names))
+    train, test = scale.scale_each(both, names)
+    return rounded(train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test"))))
+
+
+@query
+def nonconst_by_prefix(spark, folder):
+    df = orders(spark, folder)
+    rows = df.count()
+    steps = [rows * i // 10 for i in range(1, 10)]
+    names = [c for c in df.columns if c not in ("line_id", "target")]
+    return profile.nonconstant_by_prefix(df, steps, names)
+
+
+# ---------------------------------------------------------------- splits
+
+
+@query
+def split_hash(spark, folder):
+    return orders(spark, folder).select("line_id", split.in_test().alias("is_test"))
+
+
+@query
+def split_ordered(spark, folder):
+    train, test = split.split_ordered(orders(spark, folder).select("line_id"))
+    return train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
+
+
+@query
+def kfold_assign(spark, folder):
+    return split.with_fold(orders(spark, folder).select("line_id"), 3)
+
+
+@query
+def sample_size_plan(spark, folder):
+    """Speeds come from the event log: rows per second of each event type."""
+    log = tables.read(spark, folder, "events")
+    span = (F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp"))) / 1000000
+    speeds = log.groupBy(F.col("event_type").alias("model")).agg(
+        F.count(F.lit(1)).alias("rows"), span.alias("seconds"), F.countDistinct("user_id").alias("users")
+    ).select("model", "rows", (F.col("rows") / F.col("seconds")).alias("fit_rows_s"), (F.col("users") / F.col("seconds")).alias("predict_rows_s"), "seconds")
+    plan = search.sample_plan(speeds, F.col("rows"), F.col("seconds") * 12, 14)
+    return rounded(plan.select("model", "rows", "fit_rows_s", "sample_rows"))
+
+
+# ---------------------------------------------------------------- models
+
+
+def _frequency_split(spark, folder):
+    """Prepared (train, test) tables of the orders with their feature names."""
+    train, test = split.split_hash(orders(spark, folder))
+    prepared = pipeline.prepare(train, pipeline.FREQUENCY)
+    return prepared.transform(train), prepared.transform(test), prepared.used
+
+
+def _event_split(spark, folder):
+    train, test = split.split_hash(events(spark, folder))
+    prepared = pipeline.prepare(train, pipeline.ONEHOT)
+    return prepared.transform(train), prepared.transform(test), prepared.used
+
+
+@query
+def fit_ridge(spark, folder):
+    df = _one_feature(spark, folder)
+    fitted = models.fit(models.ridge(df.count()), df, ["number_1"])
+    row = (float(fitted.model.coefficients[0]), float(fitted.model.intercept))
+    return rounded(spark.createDataFrame([row], "coefficient double, intercept double"))
+
+
+@query
+def fit_logistic(spark, folder):
+    train, test, names = _event_split(spark, folder)
+    fitted = models.fit(models.logistic(train.count()), train, names)
+    return response.importances(fitted, spark)
+
+
+@query
+def fit_gbt_reg(spark, folder):
+    train, test, names = _frequency_split(spark, folder)
+    return models.fit(models.boosted(models.REGRESSION, ROUNDS), train, names).predict(test)
+
+
+@query
+def fit_gbt_cls(spark, folder):
+    train, test, names = _event_split(spark, folder)
+    return models.fit(models.boosted(models.CLASSIFICATION, ROUNDS), train, names).predict(test)
+
+
+@query
+def fit_forest(spark, folder):
+    train, test, names = _frequency_split(spark, folder)
+    return models.fit(models.forest(models.REGRESSION, 10), train, names).predict(test)
+
+
+@query
+def fit_linear_svm(spark, folder):
+    train, test, names = _event_split(spark, folder)
+    return models.fit(models.linear_svm(train.count(), rounds=20), train, names).predict(test)
+
+
+@query
+def fit_document_quality(spark, folder):
+    df = tables.labelled_documents(spark, folder)
+    scorer = pipeline.train(df, models.CLASSIFICATION, lambda n, w: models.logistic(n), pipeline.ONEHOT)
+    return scorer.predict(df, probability=True)
+
+
+@query
+def candidate_leaderboard(spark, folder):
+    train, _, names = _frequency_split(spark, folder)
+    return search.leaderboard(models.boosted_pair(models.REGRESSION, ROUNDS // 2), train, names, models.REGRESSION)
+
+
+def _single_column_board(spark, folder):
+    """Leaderboard of one-column least-squares fits on all rows, from sums alone."""
+    df = nulls.fill_constant(expanded(spark, folder))
+    names = [*ORDER_NUMBERS, "number_const", *DATE_NUMBERS]
+    rows = F.array(*[
+        F.struct(
+            F.lit(n).alias("model"),
+            (-(F.var_pop("target") - F.try_divide(F.pow(F.covar_pop(n, "target"), 2), F.var_pop(n)))).alias("score"),
+            F.count(n).alias("fit_rows_s"),
+            F.countDistinct(n).alias("predict_rows_s") if n == "number_1" else F.count(n).alias("predict_rows_s"),
+        )
+        for n in names
+    ])
+    return df.agg(rows.alias("rows")).select(F.inline("rows"))
+
+
+@query
+def select_above_mean(spark, folder):
+    board = _single_column_board(spark, folder)
+    best = search.winner(board).first()["model"]
+    kept = search.survivors(board).withColumn("is_winner", F.col("model") == F.lit(best))
+    return rounded(kept, 4).select("model", "score", "is_winner")
+
+
+def _depth_trials(spark, folder):
+    """Score of the group means over key modulo depth, for each depth."""
+    df = orders(spark, folder).select(F.col("id_0").cast("bigint").alias("customer"), "target")
+    tried = df.select("target", "customer", F.explode(F.lit(search.DEPTHS)).alias("depth"))
+    groups = tried.groupBy("depth", (F.col("customer") % F.col("depth")).alias("slot")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("target").alias("s"), F.sum(F.col("target") * F.col("target")).alias("ss")
+    )
+    unexplained = F.sum(F.col("ss") - F.col("s") * F.col("s") / F.col("n"))
+    return groups.groupBy("depth").agg(F.round(-unexplained / F.sum("n"), 4).alias("score"))
+
+
+@query
+def first_best_rule(spark, folder):
+    return search.first_best(_depth_trials(spark, folder))
+
+
+@query
+def depth_search(spark, folder):
+    train, _, names = _frequency_split(spark, folder)
+    estimator = models.boosted(models.REGRESSION, 3)
+    return search.depth_search(estimator, train, names, models.REGRESSION, [2, 3, 4])[1]
+
+
+@query
+def grid_search(spark, folder):
+    train, _, names = _frequency_split(spark, folder)
+    estimator = models.boosted(models.REGRESSION, 3)
+    return search.grid_search(estimator, {"maxDepth": [2, 4], "stepSize": [0.1, 0.3]}, train, names, models.REGRESSION)[1]
+
+
+@query
+def predict_label(spark, folder):
+    train, test = split.split_hash(_one_feature(spark, folder))
+    return rounded(_ridge_scorer(train).predict(test).select("line_id", "prediction"), 5)
+
+
+@query
+def predict_proba(spark, folder):
+    train, test = split.split_hash(events(spark, folder))
+    scorer = pipeline.train(train, models.CLASSIFICATION, lambda n, w: models.logistic(n), pipeline.ONEHOT)
+    return scorer.predict(test, probability=True)
+
+
+@query
+def automl_leaderboard(spark, folder):
+    train, _, names = _event_split(spark, folder)
+    candidates = models.all_families(models.CLASSIFICATION, train.count(), len(names), rounds=3)
+    return search.leaderboard(candidates, train, names, models.CLASSIFICATION)
+
+
+@query
+def boost_curve(spark, folder):
+    train, test, names = _frequency_split(spark, folder)
+    return response.boost_curve(models.fit(models.boosted(models.REGRESSION, ROUNDS), train, names), test)
+
+
+@query
+def feature_response(spark, folder):
+    train, test, names = _frequency_split(spark, folder)
+    return response.feature_table(models.fit(models.boosted(models.REGRESSION, ROUNDS), train, names), test)
+
+
+@query
+def feature_response_linear(spark, folder):
+    df = _one_feature(spark, folder)
+    fitted = models.fit(models.ridge(df.count()), df, ["number_1"])
+    return rounded(response.responses(fitted, df, ["number_1"]), 5)
+
+
+# ---------------------------------------------------------------- scores
+
+
+def _aligned(spark, folder):
+    df = tables.with_prediction(orders(spark, folder))
+    truth, prediction = df.select("line_id", "target"), df.select("line_id", "prediction")
+    return truth, prediction
+
+
+@query
+def score_rmse(spark, folder):
+    return rounded(score.rmse(score.align(*_aligned(spark, folder))))
+
+
+@query
+def score_neg_mse(spark, folder):
+    return rounded(score.neg_mse(score.align(*_aligned(spark, folder))))
+
+
+@query
+def score_rmse_two_col(spark, folder):
+    return rounded(score.rmse_two_columns(*_aligned(spark, folder)))
+
+
+@query
+def align_prediction(spark, folder):
+    return score.align(*_aligned(spark, folder))
+
+
+@query
+def score_auc(spark, folder):
+    return rounded(score.auc(events(spark, folder), score="number_0"), 9)
+
+
+@query
+def score_auc_distributed(spark, folder):
+    """The same area by range-partitioned running sums, as taken for very many distinct scores."""
+    return rounded(score.auc(events(spark, folder), score="number_0", one_window=0), 9)
+
+
+@query
+def score_auc_labels(spark, folder):
+    df = events(spark, folder).withColumn("prediction", (F.col("number_0") > 10).cast("int"))
+    return rounded(score.auc_of_labels(df), 9)
+
+
+@query
+def run_metrics(spark, folder):
+    prepared = pipeline.prepare(orders(spark, folder), pipeline.FILL_FIRST)
+    return pipeline.run_metrics(spark, prepared, dataset="orders_features")
+
+
+# ---------------------------------------------------------------- whole plans
+
+
+@query
+def prep_slice(spark, folder):
+    filled = nulls.fill_constant(expanded(spark, folder).drop("target"))
+    table, _ = profile.drop_constant(filled)
+    return project.pick(table, project.by_prefix(table.columns), ["line_id"])
+
+
+@query
+def prep_onehot(spark, folder):
+    df = orders(spark, folder)
+    return rounded(pipeline.prepare(df, pipeline.ONEHOT).transform(df))
+
+
+@query
+def prep_fill_first(spark, folder):
+    df = orders(spark, folder)
+    return rounded(pipeline.prepare(df, pipeline.FILL_FIRST).transform(df))
+
+
+@query
+def prep_budget(spark, folder):
+    df = orders(spark, folder)
+    recipe = pipeline.replace(pipeline.BUDGET, most_columns=40)
+    return pipeline.prepare(df, recipe).transform(df)
+
+
+@query
+def prep_freq(spark, folder):
+    df = orders(spark, folder)
+    return pipeline.prepare(df, pipeline.FREQUENCY).transform(df)
+
+
+@query
+def replay_freq(spark, folder):
+    train, test = split.split_hash(orders(spark, folder))
+    return pipeline.prepare(train, pipeline.FREQUENCY).transform(test.drop("target"))
+
+
+@query
+def train_onehot(spark, folder):
+    train, test = split.split_hash(orders(spark, folder))
+    scorer = pipeline.train(train, models.REGRESSION, lambda n, w: models.ridge(n, width=w), pipeline.ONEHOT)
+    return scorer.predict(test)
+
+
+@query
+def train_freq(spark, folder):
+    train, test = split.split_hash(orders(spark, folder))
+    scorer, _ = pipeline.train_best(
+        train, models.REGRESSION, models.boosted_pair(models.REGRESSION, 5), pipeline.FREQUENCY, depths=[2, 3]
+    )
+    return scorer.predict(test)
+
+
+@query
+def score_pipeline(spark, folder):
+    train, test = split.split_hash(events(spark, folder))
+    scorer = pipeline.train(train, models.CLASSIFICATION, lambda n, w: models.logistic(n), pipeline.FILL_FIRST)
+    path = scratch_path(spark, "scored")
+    sinks.save_predictions(scorer.predict(test.drop("target"), probability=True), path)
+    return spark.read.schema("line_id bigint, prediction double").option("header", True).csv(path)
+
+
+@query
+def batch_runs(spark, folder):
+    sets = {
+        "orders": (models.REGRESSION, *split.split_hash(orders(spark, folder))),
+        "events": (models.CLASSIFICATION, *split.split_hash(events(spark, folder))),
+    }
+    return pipeline.run_all(spark, sets, models.linear, pipeline.FREQUENCY)
