@@ -39,6 +39,7 @@ SIX = ["weekday", "month", "day", "hour", "hour_of_week", "minute_of_day"]
 FIVE = ["year", "weekday", "month", "day", "hour"]
 
 HASH = "((({k}) % 2147483648) * 2654435761) % 4294967296"
+FOLD_HASH = "((line_id % 2147483648) * 3266489917) % 4294967296"
 IN_TEST = HASH.format(k="line_id") + " < 1073741824"
 
 NUMBERS = ["number_0", "number_1", "number_2"]
@@ -298,7 +299,7 @@ _SQL["parse_dt_sentinel"] = orders(
 )
 for _p in PARTS:
     _source = f"coalesce({PARSE}, {EMPTY})" if _p == "year" else PARSE
-    _SQL[f"dt_{_p}"] = orders(f"select line_id, {part(_p)} {_p} from (select line_id, {_source} t from f)")
+    _SQL[f"dt_{_p}"] = orders(f"select line_id, {part(_p)} {quoted(_p)} from (select line_id, {_source} t from f)")
 _SQL["datetime_expand6"] = orders(f"select line_id, {', '.join(DATES)} from x", X)
 _SQL["datetime_expand5"] = orders(
     f"select line_id, {parts(FIVE)} from (select line_id, coalesce({PARSE}, {EMPTY}) t from f)"
@@ -499,10 +500,15 @@ def scale_by(names: Iterable[str], source: str, stats: str, digits: int = 6, sin
     def value(c: str) -> str:
         return f"cast(cast({c} as float) as double)" if single else f"cast({c} as double)"
 
+    def narrow(e: str) -> str:
+        return f"cast({e} as float)" if single else e
+
     return ", ".join(
         r(
-            f"({value(c)} - (select avg({value(c)}) from {stats})) / (select case when max({c}) = min({c}) then 1 "
-            f"else stddev_pop({value(c)}) end from {stats})",
+            narrow(
+                f"({value(c)} - (select avg({value(c)}) from {stats})) / (select case when max({c}) = min({c}) then 1 "
+                f"else stddev_pop({value(c)}) end from {stats})"
+            ),
             digits,
         )
         + f" {c}"
@@ -539,13 +545,13 @@ _SQL["split_ordered"] = orders(
     "select line_id, row_number() over (order by line_id) > floor(count(*) over () * 0.75) is_test from f"
 )
 _SQL["kfold_assign"] = orders(
-    f"select line_id, cast(({HASH.format(k='line_id')}) * 3 // 4294967296 as integer) fold from f"
+    f"select line_id, cast(({FOLD_HASH}) * 3 // 4294967296 as integer) fold from f"
 )
 _SQL["sample_size_plan"] = (
-    "with s as (select event_type model, count(*) n, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000 seconds, "
+    "with s as (select event_type model, count(*) n, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000 secs, "
     "count(distinct user_id) users from events group by 1), "
-    "v as (select *, n / seconds fit, users / seconds pred from s) "
-    f"select model, n \"rows\", {r('fit')} fit_rows_s, greatest(cast(trunc(least((seconds * 12 - 3 * n / fit) / 14 / "
+    "v as (select *, n / secs fit, users / secs pred from s) "
+    f"select model, n \"rows\", {r('fit')} fit_rows_s, greatest(cast(trunc(least((secs * 12 - 3 * n / fit) / 14 / "
     "(0.75::double / fit + 0.25::double / pred), n)) as bigint), 0) sample_rows from v"
 )
 

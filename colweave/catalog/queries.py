@@ -170,7 +170,7 @@ def _one_feature(spark, folder):
 
 
 def _ridge_scorer(train_table):
-    return pipeline.train(train_table, models.REGRESSION, lambda n, w: models.ridge(n, width=w), pipeline.FREQUENCY)
+    return pipeline.train(train_table, models.REGRESSION, models.ridge, pipeline.FREQUENCY)
 
 
 @query
@@ -679,7 +679,7 @@ def _event_split(spark, folder):
 @query
 def fit_ridge(spark, folder):
     df = _one_feature(spark, folder)
-    fitted = models.fit(models.ridge(df.count()), df, ["number_1"])
+    fitted = models.fit(models.ridge(models.Shape.of(df, ["number_1"])), df, ["number_1"])
     row = (float(fitted.model.coefficients[0]), float(fitted.model.intercept))
     return rounded(spark.createDataFrame([row], "coefficient double, intercept double"))
 
@@ -687,7 +687,7 @@ def fit_ridge(spark, folder):
 @query
 def fit_logistic(spark, folder):
     train, test, names = _event_split(spark, folder)
-    fitted = models.fit(models.logistic(train.count()), train, names)
+    fitted = models.fit(models.logistic(models.Shape.of(train, names)), train, names)
     return response.importances(fitted, spark)
 
 
@@ -712,13 +712,13 @@ def fit_forest(spark, folder):
 @query
 def fit_linear_svm(spark, folder):
     train, test, names = _event_split(spark, folder)
-    return models.fit(models.linear_svm(train.count(), rounds=20), train, names).predict(test)
+    return models.fit(models.linear_svm(models.Shape.of(train, names), rounds=20), train, names).predict(test)
 
 
 @query
 def fit_document_quality(spark, folder):
     df = tables.labelled_documents(spark, folder)
-    scorer = pipeline.train(df, models.CLASSIFICATION, lambda n, w: models.logistic(n), pipeline.ONEHOT)
+    scorer = pipeline.train(df, models.CLASSIFICATION, models.logistic, pipeline.ONEHOT)
     return scorer.predict(df, probability=True)
 
 
@@ -791,14 +791,14 @@ def predict_label(spark, folder):
 @query
 def predict_proba(spark, folder):
     train, test = split.split_hash(events(spark, folder))
-    scorer = pipeline.train(train, models.CLASSIFICATION, lambda n, w: models.logistic(n), pipeline.ONEHOT)
+    scorer = pipeline.train(train, models.CLASSIFICATION, models.logistic, pipeline.ONEHOT)
     return scorer.predict(test, probability=True)
 
 
 @query
 def automl_leaderboard(spark, folder):
     train, _, names = _event_split(spark, folder)
-    candidates = models.all_families(models.CLASSIFICATION, train.count(), len(names), rounds=3)
+    candidates = models.all_families(models.CLASSIFICATION, models.Shape.of(train, names), rounds=3)
     return search.leaderboard(candidates, train, names, models.CLASSIFICATION)
 
 
@@ -817,7 +817,7 @@ def feature_response(spark, folder):
 @query
 def feature_response_linear(spark, folder):
     df = _one_feature(spark, folder)
-    fitted = models.fit(models.ridge(df.count()), df, ["number_1"])
+    fitted = models.fit(models.ridge(models.Shape.of(df, ["number_1"])), df, ["number_1"])
     return rounded(response.responses(fitted, df, ["number_1"]), 5)
 
 
@@ -917,7 +917,7 @@ def replay_freq(spark, folder):
 @query
 def train_onehot(spark, folder):
     train, test = split.split_hash(orders(spark, folder))
-    scorer = pipeline.train(train, models.REGRESSION, lambda n, w: models.ridge(n, width=w), pipeline.ONEHOT)
+    scorer = pipeline.train(train, models.REGRESSION, models.ridge, pipeline.ONEHOT)
     return scorer.predict(test)
 
 
@@ -933,7 +933,7 @@ def train_freq(spark, folder):
 @query
 def score_pipeline(spark, folder):
     train, test = split.split_hash(events(spark, folder))
-    scorer = pipeline.train(train, models.CLASSIFICATION, lambda n, w: models.logistic(n), pipeline.FILL_FIRST)
+    scorer = pipeline.train(train, models.CLASSIFICATION, models.logistic, pipeline.FILL_FIRST)
     path = scratch_path(spark, "scored")
     sinks.save_predictions(scorer.predict(test.drop("target"), probability=True), path)
     return spark.read.schema("line_id bigint, prediction double").option("header", True).csv(path)

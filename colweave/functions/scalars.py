@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Multiplier and modulus of the multiplicative row hash.
-HASH_MULTIPLIER = 2654435761
+# Odd multipliers (one per salt) and modulus of the multiplicative row hash.
+HASH_MULTIPLIERS = (2654435761, 2246822519, 3266489917)
 HASH_MODULUS = 1 << 32
 
 
@@ -37,7 +37,11 @@ def run_id() -> Column:
     return F.lit(str(uuid.uuid4()))
 
 
-def row_hash(key: Column) -> Column:
-    """Hash of an integer key in [0, 2^32): depends on the key only, not on the row layout."""
+def row_hash(key: Column, salt: int = 0) -> Column:
+    """Hash of an integer key in [0, 2^32): depends on the key only, not on the row layout.
+
+    Splits within splits need different salts: with the same one, the part held
+    out inside a training part would be empty.
+    """
     low = F.pmod(key.cast("bigint"), F.lit(1 << 31))
-    return F.pmod(low * F.lit(HASH_MULTIPLIER), F.lit(HASH_MODULUS))
+    return F.pmod(low * F.lit(HASH_MULTIPLIERS[salt]), F.lit(HASH_MODULUS))

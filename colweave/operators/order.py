@@ -88,7 +88,7 @@ def row_prefix(df: DataFrame, n: int, key: str = KEY) -> DataFrame:
 
 
 def range_sorted(df: DataFrame, *order: str | Column) -> DataFrame:
-    """Rows in global order with ``part`` (range partition) and ``pos`` (row within it).
+    """Rows in global order with ``_part`` (range partition) and ``_pos`` (row within it).
 
     The layout is written once, so that both numbers mean the same in every
     later read. Range partitions are balanced by sampling; callers bring rows
@@ -98,8 +98,8 @@ def range_sorted(df: DataFrame, *order: str | Column) -> DataFrame:
     tagged = df.orderBy(*order).withColumn("_tag", tag)
     fixed = settle(tagged, "sorted")
     return fixed.withColumns({
-        "part": F.shiftright("_tag", ROW_BITS).cast("int"),
-        "pos": F.col("_tag").bitwiseAND(F.lit((1 << ROW_BITS) - 1)),
+        "_part": F.shiftright("_tag", ROW_BITS).cast("int"),
+        "_pos": F.col("_tag").bitwiseAND(F.lit((1 << ROW_BITS) - 1)),
     }).drop("_tag")
 
 
@@ -111,13 +111,13 @@ def running_sums(df: DataFrame, order: Sequence[str], sums: dict[str, str]) -> D
     row per partition, small enough to broadcast by construction.
     """
     laid = range_sorted(df, *order)
-    totals = laid.groupBy("part").agg(*[F.sum(c).alias(f"_t_{new}") for new, c in sums.items()])
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("part", *[F.coalesce(F.sum(f"_t_{new}").over(before), F.lit(0)).alias(f"_o_{new}") for new in sums])
-    inside = Window.partitionBy("part").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    joined = laid.join(F.broadcast(offsets), "part")
+    totals = laid.groupBy("_part").agg(*[F.sum(c).alias(f"_t_{new}") for new, c in sums.items()])
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_part", *[F.coalesce(F.sum(f"_t_{new}").over(before), F.lit(0)).alias(f"_o_{new}") for new in sums])
+    inside = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    joined = laid.join(F.broadcast(offsets), "_part")
     added = {new: F.coalesce(F.sum(c).over(inside), F.lit(0)) + F.col(f"_o_{new}") for new, c in sums.items()}
-    return joined.withColumns(added).drop("part", "pos", *[f"_o_{new}" for new in sums])
+    return joined.withColumns(added).drop("_part", "_pos", *[f"_o_{new}" for new in sums])
 
 
 def dense_codes(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -128,13 +128,13 @@ def dense_codes(df: DataFrame, group: str, value: str) -> DataFrame:
     of partitions and of groups (columns).
     """
     laid = range_sorted(df, col(group), col(value))
-    sizes = laid.groupBy("part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    placed = laid.join(F.broadcast(offsets), "part").withColumn("_at", F.col("pos") + F.col("_offset"))
+    sizes = laid.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    placed = laid.join(F.broadcast(offsets), "_part").withColumn("_at", F.col("_pos") + F.col("_offset"))
     firsts = placed.groupBy(group).agg(F.min("_at").alias("_first"))
     return (
         placed.join(F.broadcast(firsts), group)
         .withColumn("code", F.col("_at") - F.col("_first"))
-        .drop("part", "pos", "_offset", "_at", "_first")
+        .drop("_part", "_pos", "_offset", "_at", "_first")
     )

@@ -10,7 +10,7 @@ only where the exact number is the result asked for.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -70,21 +70,21 @@ def _sketchable(name: str, dtype: T.DataType) -> str:
 
 def profile(df: DataFrame, names: Sequence[str] | None = None, sketch: bool = True) -> dict[str, ColumnProfile]:
     """Profile of each column: one row per batch of columns reaches the driver."""
-    return profile_with_flag(df, names, sketch)[0]
+    return profile_and(df, names, sketch)[0]
 
 
-def profile_with_flag(
-    df: DataFrame, names: Sequence[str] | None = None, sketch: bool = True, flag: str | None = None
-) -> tuple[dict[str, ColumnProfile], bool]:
-    """Profiles, and whether the condition ``flag`` holds on any row, in the same pass."""
+def profile_and(
+    df: DataFrame, names: Sequence[str] | None = None, sketch: bool = True, more: Mapping[str, str] | None = None
+) -> tuple[dict[str, ColumnProfile], dict[str, Any]]:
+    """Profiles, and the values of ``more`` aggregate expressions taken in the same pass."""
     names = list(df.columns if names is None else names)
     types = {f.name: f.dataType for f in df.schema.fields}
     out: dict[str, ColumnProfile] = {}
-    flagged = False
+    extra: dict[str, Any] = {}
     for at, batch in enumerate(batches(names)):
         aggs = ["count(1) as rows"]
-        if flag is not None and at == 0:
-            aggs.append(f"coalesce(bool_or({flag}), false) as flag")
+        if at == 0:
+            aggs += [f"{e} as more_{i}" for i, e in enumerate((more or {}).values())]
         for i, n in enumerate(batch):
             c = quoted(n)
             # timestamps travel as text: the driver only compares the two ends
@@ -96,14 +96,15 @@ def profile_with_flag(
                 sketched = f"theta_sketch_agg({_sketchable(n, types[n])}, {SKETCH_LG})"
                 aggs.append(f"theta_sketch_estimate({sketched}) as d{i}")
         row = df.selectExpr(*aggs).first()
-        flagged = flagged or (flag is not None and at == 0 and bool(row["flag"]))
+        if at == 0:
+            extra = {n: row[f"more_{i}"] for i, n in enumerate(more or {})}
         for i, n in enumerate(batch):
             out[n] = ColumnProfile(
                 n, types[n].simpleString(), row["rows"], row[f"n{i}"], row[f"a{i}"], row[f"z{i}"],
                 int(row[f"d{i}"] or 0) if sketch else -1,
                 row[f"m{i}"] if is_number(types[n]) else None,
             )
-    return out, flagged
+    return out, extra
 
 
 def constant_columns(df: DataFrame, names: Sequence[str] | None = None) -> list[str]:

@@ -12,13 +12,19 @@ from colweave.schema import KEY, col
 TEST_SHARE = 0.25
 
 
-def in_test(key: str = KEY, share: float = TEST_SHARE) -> Column:
-    return row_hash(col(key)) < F.lit(int(share * HASH_MODULUS))
+# Salts of the row hash: the outer split, the split inside a search, the folds.
+OUTER, INNER, FOLDS = 0, 1, 2
 
 
-def split_hash(df: DataFrame, share: float = TEST_SHARE, key: str = KEY) -> tuple[DataFrame, DataFrame]:
+def in_test(key: str = KEY, share: float = TEST_SHARE, salt: int = OUTER) -> Column:
+    return row_hash(col(key), salt) < F.lit(int(share * HASH_MODULUS))
+
+
+def split_hash(
+    df: DataFrame, share: float = TEST_SHARE, key: str = KEY, salt: int = OUTER
+) -> tuple[DataFrame, DataFrame]:
     """(train, test) by key hash: two filters, no shuffle, the same rows on every run."""
-    test = in_test(key, share)
+    test = in_test(key, share, salt)
     return df.where(~test), df.where(test)
 
 
@@ -36,5 +42,5 @@ def with_fold(df: DataFrame, folds: int, key: str = KEY, name: str = "fold") ->
     """Add a fold number in [0, folds)."""
     if folds < 2:
         raise ValueError("at least 2 folds are needed")
-    scaled = F.floor(row_hash(col(key)) * F.lit(folds) / F.lit(HASH_MODULUS))
+    scaled = F.floor(row_hash(col(key), FOLDS) * F.lit(folds) / F.lit(HASH_MODULUS))
     return df.withColumn(name, scaled.cast("int"))

@@ -36,18 +36,36 @@ BOOST_ROUNDS = 100
 SEED = 42
 
 
-def ridge(rows: int, alpha: float = 1.0, width: int = 0) -> Estimator:
-    """Least squares plus alpha * |w|^2 (Spark minimises the mean, hence alpha / rows)."""
-    solver = "normal" if width <= NORMAL_SOLVER_WIDTH else "l-bfgs"
+@dataclass(frozen=True)
+class Shape:
+    """What an estimator's parameters may depend on."""
+
+    rows: int
+    width: int = 0
+    label_deviation: float = 1.0
+
+    @classmethod
+    def of(cls, df: DataFrame, names: Sequence[str]) -> Shape:
+        row = df.agg(F.count(F.lit(1)), F.stddev_pop(F.col(LABEL).cast("double"))).first()
+        return cls(row[0], len(names), row[1] or 1.0)
+
+
+def ridge(shape: Shape, alpha: float = 1.0) -> Estimator:
+    """Squared error sum plus alpha * |w|^2.
+
+    Spark minimises half the mean error of a label divided by its deviation,
+    so its penalty is alpha * deviation / rows.
+    """
     return LinearRegression(
-        labelCol=LABEL, elasticNetParam=0.0, regParam=alpha / rows, standardization=False, solver=solver
+        labelCol=LABEL, elasticNetParam=0.0, regParam=alpha * shape.label_deviation / shape.rows,
+        standardization=False, solver="normal" if shape.width <= NORMAL_SOLVER_WIDTH else "l-bfgs",
     )
 
 
-def logistic(rows: int, c: float = 1.0, rounds: int = 100) -> Estimator:
+def logistic(shape: Shape, c: float = 1.0, rounds: int = 100) -> Estimator:
     """Logistic loss sum plus |w|^2 / (2 c)."""
     return LogisticRegression(
-        labelCol=LABEL, elasticNetParam=0.0, regParam=1.0 / (c * rows), standardization=False, maxIter=rounds
+        labelCol=LABEL, elasticNetParam=0.0, regParam=1.0 / (c * shape.rows), standardization=False, maxIter=rounds
     )
 
 
@@ -61,12 +79,12 @@ def forest(mode: str, trees: int = 20, **params) -> Estimator:
     return kind(labelCol=LABEL, numTrees=trees, seed=SEED, **params)
 
 
-def linear_svm(rows: int, c: float = 1.0, rounds: int = 50) -> Estimator:
-    return LinearSVC(labelCol=LABEL, regParam=1.0 / (c * rows), maxIter=rounds)
+def linear_svm(shape: Shape, c: float = 1.0, rounds: int = 50) -> Estimator:
+    return LinearSVC(labelCol=LABEL, regParam=1.0 / (c * shape.rows), maxIter=rounds)
 
 
-def linear(mode: str, rows: int, width: int = 0) -> Estimator:
-    return ridge(rows, width=width) if mode == REGRESSION else logistic(rows)
+def linear(mode: str, shape: Shape) -> Estimator:
+    return ridge(shape) if mode == REGRESSION else logistic(shape)
 
 
 def boosted_pair(mode: str, rounds: int = BOOST_ROUNDS) -> dict[str, Estimator]:
@@ -74,11 +92,11 @@ def boosted_pair(mode: str, rounds: int = BOOST_ROUNDS) -> dict[str, Estimator]:
     return {"boost_fast": boosted(mode, rounds), "boost_slow": boosted(mode, rounds, slow=True)}
 
 
-def all_families(mode: str, rows: int, width: int = 0, rounds: int = BOOST_ROUNDS) -> dict[str, Estimator]:
+def all_families(mode: str, shape: Shape, rounds: int = BOOST_ROUNDS) -> dict[str, Estimator]:
     """Candidates of the automatic search, one or more per model family."""
-    out = {"linear": linear(mode, rows, width), "forest": forest(mode), **boosted_pair(mode, rounds)}
+    out = {"linear": linear(mode, shape), "forest": forest(mode), **boosted_pair(mode, rounds)}
     if mode == CLASSIFICATION:
-        out["linear_svm"] = linear_svm(rows)
+        out["linear_svm"] = linear_svm(shape)
     return out
 
 

@@ -35,14 +35,14 @@ from colweave.operators.encode import (
 )
 from colweave.operators.narrow import Narrowing, fit_floats, fit_integers
 from colweave.operators.nulls import FillPolicy, fill_constant
-from colweave.operators.profile import profile, profile_with_flag, row_has_missing
+from colweave.operators.profile import profile, profile_and, row_has_missing
 from colweave.operators.project import EmptyInput, by_denial, by_prefix, guard_features, pick
 from colweave.operators.scale import Scaler
 from colweave.operators.score import auc_of_labels, rmse
 from colweave.operators.select import correlated_columns
-from colweave.plans.models import CLASSIFICATION, REGRESSION, Fitted, fit
+from colweave.plans.models import CLASSIFICATION, REGRESSION, Fitted, Shape, fit
 from colweave.plans.search import depth_search, select_model
-from colweave.schema import KEY, LABEL, Roles
+from colweave.schema import KEY, LABEL, Roles, is_number, quoted
 
 
 @dataclass(frozen=True)
@@ -78,8 +78,13 @@ class Prepared:
     lookup: Lookup | None
     used: Sequence[str]
     scaler: Scaler | None = None
+    label_deviation: float | None = None
     facts: Mapping[str, Any] = field(default_factory=dict)
 
+    @property
+    def shape(self) -> Shape:
+        return Shape(self.facts["rows"], len(self.used), self.label_deviation or 1.0)
+
     def transform(self, df: DataFrame) -> DataFrame:
         """Key and label (if present) followed by the fitted feature columns."""
         recipe, label = self.recipe, self.roles.label
@@ -104,7 +109,11 @@ def prepare(df: DataFrame, recipe: Recipe = ONEHOT, roles: Roles | None = None,
     table, flag = raw, row_has_missing(names)
     if recipe.fill_first:
         table, flag = fill_constant(raw.selectExpr("*", f"{flag} as _missing"), names), "_missing"
-    profiles, missing = profile_with_flag(table, names, recipe.encoder != "frequency", flag)
+    more = {"missing": f"coalesce(bool_or({flag}), false)"}
+    if label in raw.columns and is_number(raw.schema[label].dataType):
+        more["label_deviation"] = f"stddev_pop({quoted(label)})"
+    profiles, found = profile_and(table, names, recipe.encoder != "frequency", more)
+    missing = found["missing"]
     table = table.drop("_missing")
     rows = profiles[names[0]].rows if names else 0
     if rows < 2:
@@ -140,7 +149,8 @@ def prepare(df: DataFrame, recipe: Recipe = ONEHOT, roles: Roles | None = None,
         "onehot_columns": len([c for c in used if c.startswith("onehot")]),
         "number_columns": len([c for c in used if c.startswith("number")]),
     }
-    prepared = Prepared(recipe, roles, policy, onehot, lookup, used)
+    deviation = found.get("label_deviation")
+    prepared = Prepared(recipe, roles, policy, onehot, lookup, used, label_deviation=deviation)
     if recipe.drop_correlated:
         late = set(correlated_columns(prepared.transform(df), used, complete=True))
         used = [c for c in used if c not in late]
@@ -189,12 +199,12 @@ class Scorer:
 
 
 def train(
-    df: DataFrame, mode: str, estimator: Callable[[int, int], Estimator] | Estimator,
+    df: DataFrame, mode: str, estimator: Callable[[Shape], Estimator] | Estimator,
     recipe: Recipe = ONEHOT, roles: Roles | None = None,
 ) -> Scorer:
-    """Prepare and fit. ``estimator`` may be a function of (rows, feature columns)."""
+    """Prepare and fit. ``estimator`` may be a function of the prepared table's shape."""
     prepared = prepare(df, recipe, roles)
-    made = estimator if isinstance(estimator, Estimator) else estimator(prepared.facts["rows"], len(prepared.used))
+    made = estimator if isinstance(estimator, Estimator) else estimator(prepared.shape)
     return Scorer(prepared, fit(made, prepared.transform(df), prepared.used), mode)
 
 
@@ -226,13 +236,13 @@ def run_metrics(spark: SparkSession, prepared: Prepared, **more: Any) -> DataFra
 
 def run_all(
     spark: SparkSession, sets: Mapping[str, tuple[str, DataFrame, DataFrame]],
-    estimator: Callable[[str, int, int], Estimator], recipe: Recipe = ONEHOT,
+    estimator: Callable[[str, Shape], Estimator], recipe: Recipe = ONEHOT,
 ) -> DataFrame:
     """Train, predict and score each named (mode, train, test) set; one metrics row per set."""
     run, rows = str(uuid.uuid4()), []
     for name, (mode, train_table, test_table) in sets.items():
         start = time.monotonic()
-        scorer = train(train_table, mode, lambda n, w, mode=mode: estimator(mode, n, w), recipe)
+        scorer = train(train_table, mode, lambda shape, mode=mode: estimator(mode, shape), recipe)
         fitted_at = time.monotonic()
         scored = scorer.predict(test_table)
         value = (rmse(scored) if mode == REGRESSION else auc_of_labels(scored)).first()[0]
@@ -256,6 +266,7 @@ def save(scorer: Scorer, path: str) -> None:
         "policy": {"missing": p.policy.missing, "train_means": dict(p.policy.train_means), "stats": p.policy.stats},
         "onehot": {c: list(v) for c, v in p.onehot.values.items()},
         "scaler": {c: list(v) for c, v in p.scaler.stats.items()} if p.scaler else None,
+        "label_deviation": p.label_deviation,
         "lookup": {"rows": p.lookup.rows, "sizes": {c: list(s) for c, s in p.lookup.sizes.items()}} if p.lookup else None,
     }
     spark = SparkSession.getActiveSession()
@@ -275,7 +286,7 @@ def load(spark: SparkSession, path: str) -> Scorer:
     recipe = Recipe(**{**state["recipe"], "parts": tuple(state["recipe"]["parts"])})
     prepared = Prepared(
         recipe, Roles(state["roles"]), FillPolicy(**state["policy"]), OneHot(state["onehot"]), lookup,
-        state["used"], scaler, state["facts"],
+        state["used"], scaler, state["label_deviation"], state["facts"],
     )
     model = PipelineModel.load(f"{path}/model").stages[0]
     return Scorer(prepared, Fitted(model, state["names"]), state["mode"])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from colweave.operators.order import row_prefix
 from colweave.operators.score import auc_of_labels, neg_mse
-from colweave.operators.split import TEST_SHARE, split_hash, with_fold
+from colweave.operators.split import INNER, TEST_SHARE, split_hash, with_fold
 from colweave.plans.models import REGRESSION, Fitted, vectors
 from colweave.schema import LABEL
 
@@ -55,7 +55,7 @@ def leaderboard(candidates: Mapping[str, Estimator], df: DataFrame, names: Seque
     rows = table.count()
     train, test, sizes = table, table, (rows, rows)
     if rows >= LEAST_TRAIN_ROWS:
-        train, test = split_hash(table)
+        train, test = split_hash(table, salt=INNER)
         held = test.count()
         sizes = (rows - held, held)
     found = []
@@ -131,7 +131,7 @@ def depth_search(
 ) -> tuple[Estimator, DataFrame]:
     """(estimator at the kept depth, table (depth, score) of the depths tried)."""
     table = vectors(df, names).persist()
-    train, test = split_hash(table)
+    train, test = split_hash(table, salt=INNER)
     tried: list[tuple[int, float]] = []
     best = estimator
     for depth in depths:
