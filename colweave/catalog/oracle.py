@@ -173,7 +173,7 @@ _SQL["scan_csv"] = _CSV
 _SQL["scan_bounded"] = _CSV
 _SQL["scan_limit"] = orders("select * from f order by line_id limit 500")
 _SQL["scan_columns"] = orders("select line_id, number_0, string_1 from f")
-_SQL["sink_prediction"] = orders("select line_id, round(target) prediction from f")
+_SQL["sink_prediction"] = orders("select line_id, round(target) + cast(0 as double) prediction from f")
 _SQL["sink_metrics"] = orders(f"{ORDER_METRICS} union all {ORDER_METRICS}")
 _SQL["metrics_by_schema"] = orders(
     "select upper(md5('datasetrowsscorerun_id')) schema_hash, count(*) n_rows, cast(1 as bigint) n_runs from a "
@@ -581,7 +581,7 @@ _GAP = "(target - round(target)) * (target - round(target))"
 _SQL["score_rmse"] = orders(f"select {r(f'sqrt(avg({_GAP}))')} rmse from f")
 _SQL["score_neg_mse"] = orders(f"select {r(f'-avg({_GAP})')} neg_mse from f")
 _SQL["score_rmse_two_col"] = orders(f"select {r(f'sqrt(avg({_GAP}) / 2)')} rmse_two_col from f")
-_SQL["align_prediction"] = orders("select line_id, target, round(target) prediction from f")
+_SQL["align_prediction"] = orders("select line_id, target, round(target) + cast(0 as double) prediction from f")
 _SQL["score_auc"] = (
     "with g as (select value, sum(cast(event_type = 'click' as int)) p, sum(cast(event_type <> 'click' as int)) n "
     "from events group by 1), w as (select *, sum(n) over (order by value) - n below from g) "

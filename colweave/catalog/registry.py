@@ -557,7 +557,7 @@ def target_corr_topk(spark, folder):
     df = nulls.fill_constant(expanded(spark, folder))
     names = [*ORDER_NUMBERS, *DATE_NUMBERS]
     size = narrow.table_bytes(df).first()["bytes"]
-    return rounded(select.top_by_target(df, names, size, size // 3))
+    return rounded(select.top_by_target(df, names, size, size * 2 // 5))
 
 
 @query

@@ -111,4 +111,4 @@ def wide_orders(spark: SparkSession, folder: str, width: int = 300) -> DataFrame
 
 def with_prediction(df: DataFrame) -> DataFrame:
     """(line_id, target, prediction) with the rounded target as prediction."""
-    return df.select("line_id", "target", F.round("target").alias("prediction"))
+    return df.select("line_id", "target", (F.round("target") + 0.0).alias("prediction"))
