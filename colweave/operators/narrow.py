@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from colweave.schema import batches, col
+from colweave.operators.percolumn import per_column
+from colweave.schema import col
 
 # Bytes per value and signed ranges of the integer types.
 TYPE_WIDTHS = {
@@ -61,14 +62,10 @@ def fit_integers(df: DataFrame, names: Sequence[str] | None = None, unsigned: bo
     names = whole if names is None else [n for n in names if n in whole]
     types: dict[str, str] = {}
     ends: dict[str, tuple[Any, Any]] = {}
-    for batch in batches(names):
-        aggs = [F.struct(F.min(col(n)), F.max(col(n))).alias(f"e{i}") for i, n in enumerate(batch)]
-        row = df.agg(*aggs).first()
-        for i, n in enumerate(batch):
-            low, high = row[f"e{i}"]
-            ends[n] = (low, high)
-            if low is not None and not (unsigned and low < 0):
-                types[n] = smallest_integer(low, high)
+    for n, v in per_column(df, names, {"low": "min({v})", "high": "max({v})"})[0].items():
+        ends[n] = (v["low"], v["high"])
+        if v["low"] is not None and not (unsigned and v["low"] < 0):
+            types[n] = smallest_integer(v["low"], v["high"])
     return Narrowing(types, ends)
 
 
@@ -78,13 +75,11 @@ def fit_floats(df: DataFrame, names: Sequence[str] | None = None, tolerance: flo
     names = wide if names is None else [n for n in names if n in wide]
     types: dict[str, str] = {}
     ends: dict[str, tuple[Any, Any]] = {}
-    for batch in batches(names):
-        loss = [F.max(F.abs(col(n) - col(n).cast("float").cast("double"))).alias(f"l{i}") for i, n in enumerate(batch)]
-        row = df.agg(*loss).first()
-        for i, n in enumerate(batch):
-            ends[n] = (0.0, row[f"l{i}"])
-            if row[f"l{i}"] is None or row[f"l{i}"] <= tolerance:
-                types[n] = "float"
+    loss = {"loss": "max(abs({v} - cast(cast({v} as float) as double)))"}
+    for n, v in per_column(df, names, loss)[0].items():
+        ends[n] = (0.0, v["loss"])
+        if v["loss"] is None or v["loss"] <= tolerance:
+            types[n] = "float"
     return Narrowing(types, ends)
 
 

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from colweave.operators.percolumn import per_column
 from colweave.operators.profile import any_missing, long_by_type
-from colweave.schema import batches, is_number, literal, quoted
+from colweave.schema import is_number, literal, quoted
 
 FILL_NUMBER = -1
 FILL_TEXT = "-1"
@@ -46,20 +47,16 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if is_number(f.dataType)]
 
 
-def _per_column(df: DataFrame, names: Sequence[str], function: str) -> dict[str, Any]:
-    out: dict[str, Any] = {}
-    for batch in batches(names):
-        row = df.selectExpr(*[f"{function}({quoted(n)}) as v{i}" for i, n in enumerate(batch)]).first()
-        out.update({n: row[f"v{i}"] for i, n in enumerate(batch)})
-    return out
+def _one_each(df: DataFrame, names: Sequence[str], function: str) -> dict[str, Any]:
+    return {n: v["v"] for n, v in per_column(df, names, {"v": function + "({v})"})[0].items()}
 
 
 def means(df: DataFrame, names: Sequence[str] | None = None) -> dict[str, Any]:
-    return _per_column(df, numeric_columns(df) if names is None else names, "avg")
+    return _one_each(df, numeric_columns(df) if names is None else names, "avg")
 
 
 def maxima(df: DataFrame, names: Sequence[str] | None = None) -> dict[str, Any]:
-    return _per_column(df, numeric_columns(df) if names is None else names, "max")
+    return _one_each(df, numeric_columns(df) if names is None else names, "max")
 
 
 def modes(df: DataFrame, names: Sequence[str] | None = None) -> dict[str, Any]:

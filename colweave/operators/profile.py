@@ -16,12 +16,13 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from colweave.operators.order import rank_cutoffs
-from colweave.schema import KEY, batches, col, is_number, literal, quoted
+from colweave.operators.percolumn import per_column
+from colweave.schema import KEY, batches, col, literal, quoted
 
 SKETCH_LG = 12
+NUMBER_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 EXACT_DISTINCT = 3600
 
 
@@ -55,21 +56,29 @@ class ColumnProfile:
         return self.distinct < EXACT_DISTINCT
 
 
-def _sketchable(name: str, dtype: T.DataType) -> str:
-    c = quoted(name)
-    if isinstance(dtype, T.StringType):
-        return f"concat('=', {c})"  # a sketch skips the empty text
-    if isinstance(dtype, (T.DoubleType, T.LongType)):
-        return c
-    if isinstance(dtype, T.FloatType):
-        return f"cast({c} as double)"
-    if isinstance(dtype, T.IntegralType):
-        return f"cast({c} as bigint)"
-    return f"concat('=', cast({c} as string))"
+def _aggregates(sketch: bool):
+    def of(dtype: str) -> dict[str, str]:
+        number = dtype in NUMBER_TYPES or dtype.startswith("decimal")
+        # other types travel as text: the driver only compares the two ends
+        ends = "{v}" if number or dtype == "string" else "cast({v} as string)"
+        out = {"rows": "count(1)", "filled": "count({v})", "low": f"min({ends})", "high": f"max({ends})"}
+        if number:
+            out["mean"] = "avg({v})"
+        if sketch:
+            if number:
+                text = "cast({v} as double)" if dtype in ("float", "double") else "cast({v} as bigint)"
+            else:
+                text = "concat('=', cast({v} as string))"  # a sketch skips the empty text
+            if dtype.startswith("decimal"):
+                text = "concat('=', cast({v} as string))"
+            out["distinct"] = f"theta_sketch_estimate(theta_sketch_agg({text}, {SKETCH_LG}))"
+        return out
+
+    return of
 
 
 def profile(df: DataFrame, names: Sequence[str] | None = None, sketch: bool = True) -> dict[str, ColumnProfile]:
-    """Profile of each column: one row per batch of columns reaches the driver."""
+    """Profile of each column; a few numbers per column reach the driver."""
     return profile_and(df, names, sketch)[0]
 
 
@@ -78,32 +87,15 @@ def profile_and(
 ) -> tuple[dict[str, ColumnProfile], dict[str, Any]]:
     """Profiles, and the values of ``more`` aggregate expressions taken in the same pass."""
     names = list(df.columns if names is None else names)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    out: dict[str, ColumnProfile] = {}
-    extra: dict[str, Any] = {}
-    for at, batch in enumerate(batches(names)):
-        aggs = ["count(1) as rows"]
-        if at == 0:
-            aggs += [f"{e} as more_{i}" for i, e in enumerate((more or {}).values())]
-        for i, n in enumerate(batch):
-            c = quoted(n)
-            # timestamps travel as text: the driver only compares the two ends
-            ends = c if is_number(types[n]) or isinstance(types[n], T.StringType) else f"cast({c} as string)"
-            aggs += [f"count({c}) as n{i}", f"min({ends}) as a{i}", f"max({ends}) as z{i}"]
-            if is_number(types[n]):
-                aggs.append(f"avg({c}) as m{i}")
-            if sketch:
-                sketched = f"theta_sketch_agg({_sketchable(n, types[n])}, {SKETCH_LG})"
-                aggs.append(f"theta_sketch_estimate({sketched}) as d{i}")
-        row = df.selectExpr(*aggs).first()
-        if at == 0:
-            extra = {n: row[f"more_{i}"] for i, n in enumerate(more or {})}
-        for i, n in enumerate(batch):
-            out[n] = ColumnProfile(
-                n, types[n].simpleString(), row["rows"], row[f"n{i}"], row[f"a{i}"], row[f"z{i}"],
-                int(row[f"d{i}"] or 0) if sketch else -1,
-                row[f"m{i}"] if is_number(types[n]) else None,
-            )
+    types = dict(df.dtypes)
+    found, extra = per_column(df, names, _aggregates(sketch), more=more)
+    out = {
+        n: ColumnProfile(
+            n, types[n], v["rows"] or 0, v["filled"] or 0, v["low"], v["high"],
+            int(v["distinct"] or 0) if sketch else -1, v.get("mean"),
+        )
+        for n, v in found.items()
+    }
     return out, extra
 
 

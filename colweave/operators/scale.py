@@ -7,7 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from colweave.schema import batches, literal, quoted
+from colweave.operators.percolumn import per_column
+from colweave.schema import literal, quoted
 
 
 @dataclass(frozen=True)
@@ -19,15 +20,11 @@ class Scaler:
 
     @classmethod
     def fit(cls, df: DataFrame, names: Sequence[str], single: bool = False) -> Scaler:
-        """One aggregation per 200 columns. ``single`` rounds values to single precision first."""
-        stats: dict[str, tuple[float | None, float | None]] = {}
-        for batch in batches(list(names)):
-            aggs = []
-            for i, n in enumerate(batch):
-                c = _input(n, single)
-                aggs += [f"avg({c}) as m{i}", f"stddev_pop({c}) as s{i}"]
-            row = df.selectExpr(*aggs).first()
-            stats.update({n: (row[f"m{i}"], row[f"s{i}"]) for i, n in enumerate(batch)})
+        """One pass over all columns. ``single`` rounds values to single precision first."""
+        found, _ = per_column(
+            df, names, {"mean": "avg({v})", "deviation": "stddev_pop({v})"}, lambda n: _input(n, single)
+        )
+        stats = {n: (v["mean"], v["deviation"]) for n, v in found.items()}
         return cls(stats, single)
 
     def apply(self, df: DataFrame) -> DataFrame:

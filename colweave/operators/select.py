@@ -11,23 +11,37 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from colweave.operators.percolumn import per_column
 from colweave.operators.profile import profile
-from colweave.schema import LABEL, batches, col, quoted
+from colweave.schema import LABEL, col, quoted
 
 CORRELATION_LIMIT = 0.95
 VARIANCE_LIMIT = 0.001
 EXPLAINED_LIMIT = 0.99
-PAIR_BLOCK = 12  # columns per side of a block: up to 144 pairs in one aggregation
+PAIRS_PER_PASS = 2000
 
 
-def pearson(x: Column, y: Column) -> Column:
-    """Pearson r over the rows where both are filled; null where either does not vary.
+# r of x and y over rows where both are filled; null where a side does not vary (corr itself raises there)
+PEARSON = "try_divide(covar_pop(x, y), stddev_pop(x) * stddev_pop(y))"
 
-    ``corr`` itself raises on a constant side, so r is put together from its
-    parts with a division that gives null.
+
+def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> list[float | None]:
+    """Pearson r of each pair of columns, missing values left out pair by pair.
+
+    Rows become (pair, x, y) inside the task and are grouped by pair: one pass
+    per 2000 pairs, and a shuffle of one row per pair and task.
     """
-    both_x, both_y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(both_x) * F.stddev_pop(both_y))
+    out: list[float | None] = []
+    for at in range(0, len(pairs), PAIRS_PER_PASS):
+        batch = pairs[at : at + PAIRS_PER_PASS]
+        cells = ", ".join(
+            f"struct({i} as p, cast({quoted(a)} as double) as x, cast({quoted(b)} as double) as y)"
+            for i, (a, b) in enumerate(batch)
+        )
+        rows = df.selectExpr(f"inline(array({cells}))").where("x is not null and y is not null")
+        found = {r["p"]: r["r"] for r in rows.groupBy("p").agg(F.expr(PEARSON).alias("r")).collect()}
+        out += [found.get(i) for i in range(len(batch))]
+    return out
 
 
 def assemble(df: DataFrame, names: Sequence[str], out: str = "features", keep: Sequence[str] = ()) -> DataFrame:
@@ -38,17 +52,6 @@ def assemble(df: DataFrame, names: Sequence[str], out: str = "features", keep: S
     return VectorAssembler(inputCols=plain, outputCol=out).transform(safe).drop(*plain)
 
 
-def _pair_blocks(names: Sequence[str], size: int) -> list[list[tuple[str, str]]]:
-    blocks = [names[i : i + size] for i in range(0, len(names), size)]
-    out = []
-    for a in range(len(blocks)):
-        for b in range(a, len(blocks)):
-            pairs = [(x, y) for x in blocks[a] for y in blocks[b] if a != b or names.index(x) < names.index(y)]
-            if pairs:
-                out.append(pairs)
-    return out
-
-
 def _full_matrix(df: DataFrame, names: Sequence[str]) -> dict[tuple[str, str], float | None]:
     """All pairs of columns without missing values, from one matrix; null where a side does not vary."""
     table = assemble(df, names).persist()
@@ -64,9 +67,8 @@ def correlation_rows(df: DataFrame, names: Sequence[str], complete: bool = False
     """(i, j, r) for every pair i < j in the given order; missing values pair by pair.
 
     Columns without missing values go through one pass that builds the whole
-    matrix. Pairs with a column that has some are aggregated in blocks, each
-    reading its own few columns. The result is bounded by the square of the
-    width, never by the rows. ``complete`` says that nothing is missing and
+    matrix. Pairs with a column that has some are grouped row by row. The
+    result is bounded by the square of the width, never by the rows. ``complete`` says that nothing is missing and
     saves the profile.
     """
     names = list(names)
@@ -80,11 +82,8 @@ def correlation_rows(df: DataFrame, names: Sequence[str], complete: bool = False
     if len(dense) > 1:
         r.update(_full_matrix(df, dense))
     rest = set(varies) - set(dense)
-    for pairs in _pair_blocks(varies, PAIR_BLOCK) if rest else []:
-        open_pairs = [(x, y) for x, y in pairs if x in rest or y in rest]
-        if open_pairs:
-            row = df.agg(*[pearson(col(x), col(y)).alias(f"r{i}") for i, (x, y) in enumerate(open_pairs)]).first()
-            r.update({pair: row[f"r{i}"] for i, pair in enumerate(open_pairs)})
+    open_pairs = [(x, y) for i, x in enumerate(varies) for y in varies[i + 1 :] if x in rest or y in rest]
+    r.update(zip(open_pairs, pair_correlations(df, open_pairs), strict=True))
     return [(a, b, r.get((a, b))) for i, a in enumerate(names) for b in names[i + 1 :]]
 
 
@@ -104,10 +103,8 @@ def correlated_columns(
 
 def target_correlations(df: DataFrame, names: Sequence[str], label: str = LABEL) -> DataFrame:
     """(column, abs_corr) with the label; null for a column that does not vary."""
-    out: list[tuple[str, float | None]] = []
-    for batch in batches(list(names), 100):
-        row = df.agg(*[F.abs(pearson(col(label), col(n))).alias(f"r{i}") for i, n in enumerate(batch)]).first()
-        out += [(n, row[f"r{i}"]) for i, n in enumerate(batch)]
+    r = pair_correlations(df, [(n, label) for n in names])
+    out = [(n, None if v is None else abs(v)) for n, v in zip(names, r, strict=True)]
     return df.sparkSession.createDataFrame(out, "column string, abs_corr double")
 
 
@@ -123,11 +120,8 @@ def top_by_target(
 
 def variances(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """(column, variance), population form."""
-    out: list[tuple[str, float | None]] = []
-    for batch in batches(list(names)):
-        row = df.agg(*[F.var_pop(col(n)).alias(f"v{i}") for i, n in enumerate(batch)]).first()
-        out += [(n, row[f"v{i}"]) for i, n in enumerate(batch)]
-    return df.sparkSession.createDataFrame(out, "column string, variance double")
+    found, _ = per_column(df, names, {"v": "var_pop({v})"})
+    return df.sparkSession.createDataFrame([(n, v["v"]) for n, v in found.items()], "column string, variance double")
 
 
 def varying_columns(df: DataFrame, names: Sequence[str], limit: float = VARIANCE_LIMIT) -> list[str]:

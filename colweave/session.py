@@ -49,6 +49,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/colweave-{app}/{name}-{uuid.uuid4().hex}"
 
 
+SPREAD_PARTITIONS = 64
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a small input as many tasks as there are cores.
+
+    A file of one row group is one task, however many cores wait. Inputs of 64
+    partitions or more are left alone, so no large table is ever shuffled here;
+    filters and column pruning still reach the scan.
+    """
+    cores = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_PARTITIONS)
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def settle(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
