@@ -439,7 +439,15 @@ _SQL["drop_constant"] = orders("select * exclude (number_const) from f")
 _SQL["profile_distinct"] = distinct(
     ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *LINES, "l_returnflag", "l_linestatus", "l_shipdate"], "lineitem"
 )
-_SQL["column_means"] = union(f"select '{c}' \"column\", {r(f'avg({c})')} mean from lineitem" for c in LINES)
+_WIDE = "cast((line_id * (2 * i + 3) + i) % (7 + i % 31) as double)"
+_SQL["profile_distinct_wide"] = orders(
+    f"select 'number_w' || i \"column\", count(distinct {_WIDE}) n_distinct from f, range(300) t(i) group by i "
+    f"union all {distinct(COLUMNS, 'f')}"
+)
+_SQL["column_means_wide"] = orders(
+    f"select 'number_w' || i \"column\", {r(f'avg({_WIDE})', 9)} mean from f, range(300) t(i) group by i"
+)
+_SQL["column_means"] = union(f"select '{c}' \"column\", {r(f'avg({c})', 9)} mean from lineitem" for c in LINES)
 _SQL["distinct_values"] = "select distinct l_suppkey \"value\" from lineitem"
 _SQL["value_counts"] = "select l_partkey \"value\", count(*) n from lineitem group by 1"
 _SQL["corr_matrix"] = orders(corr_pairs([*NUMBERS, "number_const", *DATES], "x"), X)

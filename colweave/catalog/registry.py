@@ -519,9 +519,21 @@ def profile_distinct(spark, folder):
     return profile.distinct_counts(tables.read(spark, folder, "lineitem"))
 
 
+@query
+def profile_distinct_wide(spark, folder):
+    df = tables.wide_orders(spark, folder).drop("line_id", "target")
+    return profile.distinct_counts(df)
+
+
+@query
+def column_means_wide(spark, folder):
+    df = tables.wide_orders(spark, folder)
+    return rounded(profile.column_means(df, [c for c in df.columns if c.startswith("number_w")]), 9)
+
+
 @query
 def column_means(spark, folder):
-    return rounded(profile.column_means(tables.read(spark, folder, "lineitem"), LINE_NUMBERS))
+    return rounded(profile.column_means(tables.read(spark, folder, "lineitem"), LINE_NUMBERS), 9)
 
 
 @query
@@ -931,7 +943,7 @@ def train_freq(spark, folder):
 
 
 @query
-def score_pipeline(spark, folder):
+def score_replay(spark, folder):
     train, test = split.split_hash(events(spark, folder))
     scorer = pipeline.train(train, models.CLASSIFICATION, models.logistic, pipeline.FILL_FIRST)
     path = scratch_path(spark, "scored")

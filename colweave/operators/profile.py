@@ -32,7 +32,7 @@ class ColumnProfile:
     dtype: str
     rows: int
     filled: int
-    low: Any
+    low: Any  # of a number; the smallest hash for other types
     high: Any
     distinct: int  # exact below EXACT_DISTINCT, else an estimate
     mean: float | None = None
@@ -43,7 +43,11 @@ class ColumnProfile:
 
     @property
     def constant(self) -> bool:
-        """Exactly one value among the filled rows; an all-missing column has none."""
+        """Exactly one value among the filled rows; an all-missing column has none.
+
+        For other types than numbers the hashes of all values are equal, which
+        two different values are in one of 2^64 cases.
+        """
         return self.filled > 0 and self.low == self.high
 
     @property
@@ -59,8 +63,8 @@ class ColumnProfile:
 def _aggregates(sketch: bool):
     def of(dtype: str) -> dict[str, str]:
         number = dtype in NUMBER_TYPES or dtype.startswith("decimal")
-        # other types travel as text: the driver only compares the two ends
-        ends = "{v}" if number or dtype == "string" else "cast({v} as string)"
+        # of other types only the equality of the two ends matters: hashes keep the aggregation in fixed-width buffers
+        ends = "{v}" if number else "if({v} is null, null, xxhash64({v}))"
         out = {"rows": "count(1)", "filled": "count({v})", "low": f"min({ends})", "high": f"max({ends})"}
         if number:
             out["mean"] = "avg({v})"
@@ -177,8 +181,8 @@ def nonconstant_by_prefix(df: DataFrame, steps: Sequence[int], names: Sequence[s
 
 def column_means(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """(column, mean) of the numeric columns, one pass."""
-    means = F.array(*[F.struct(F.lit(n).alias("column"), F.avg(col(n)).alias("mean")) for n in names])
-    return df.agg(means.alias("rows")).select(F.inline("rows"))
+    found, _ = per_column(df, names, {"mean": "avg({v})"})
+    return df.sparkSession.createDataFrame([(n, v["mean"]) for n, v in found.items()], "column string, mean double")
 
 
 def value_counts(df: DataFrame, name: str) -> DataFrame:

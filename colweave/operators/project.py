@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
+from colweave.operators.percolumn import per_column
 from colweave.schema import DEFAULT_ROLES, KEY, Roles, col, quoted
 
 
@@ -66,21 +66,10 @@ def guard_features(names: Sequence[str]) -> None:
 
 def type_counts(df: DataFrame) -> DataFrame:
     """Number of columns and of non-missing values per column type, one pass."""
-    by_type: dict[str, list[str]] = {}
+    found, _ = per_column(df, df.columns, {"filled": "count({v})"})
+    totals: dict[str, tuple[int, int]] = {}
     for name, dtype in df.dtypes:
-        by_type.setdefault(dtype, []).append(name)
-    order = sorted(by_type)
-    sums = []
-    for dtype in order:
-        filled = [F.count(col(c)) for c in by_type[dtype]]
-        total = filled[0]
-        for extra in filled[1:]:
-            total = total + extra
-        sums.append(
-            F.struct(
-                F.lit(dtype).alias("dtype"),
-                F.lit(len(by_type[dtype])).cast("bigint").alias("n_columns"),
-                total.alias("n_values"),
-            )
-        )
-    return df.agg(F.array(*sums).alias("rows")).select(F.inline("rows"))
+        columns, values = totals.get(dtype, (0, 0))
+        totals[dtype] = (columns + 1, values + (found[name]["filled"] or 0))
+    rows = [(dtype, *totals[dtype]) for dtype in sorted(totals)]
+    return df.sparkSession.createDataFrame(rows, "dtype string, n_columns bigint, n_values bigint")

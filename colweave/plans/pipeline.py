@@ -19,6 +19,7 @@ from typing import Any
 from pyspark.ml.base import Estimator
 from pyspark.ml.pipeline import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from colweave.functions.dates import FIVE_PARTS, SIX_PARTS, expand_dates
 from colweave.operators.encode import (
@@ -35,16 +36,21 @@ from colweave.operators.encode import (
 )
 from colweave.operators.narrow import Narrowing, fit_floats, fit_integers
 from colweave.operators.nulls import FillPolicy, fill_constant
+from colweave.operators.order import row_prefix
 from colweave.operators.profile import profile, profile_and, row_has_missing
 from colweave.operators.project import EmptyInput, by_denial, by_prefix, guard_features, pick
 from colweave.operators.scale import Scaler
 from colweave.operators.score import auc_of_labels, rmse
 from colweave.operators.select import correlated_columns
 from colweave.plans.models import CLASSIFICATION, REGRESSION, Fitted, Shape, fit
-from colweave.plans.search import depth_search, select_model
+from colweave.plans.search import depth_search, sample_plan, select_model
 from colweave.schema import KEY, LABEL, Roles, is_number, quoted
 
 
+# A depth search needs rows on both sides of its split.
+LEAST_SEARCH_ROWS = 100
+
+
 @dataclass(frozen=True)
 class Recipe:
     """Steps of a preparation; the order is fixed but for the fill."""
@@ -210,22 +216,27 @@ def train(
 
 def train_best(
     df: DataFrame, mode: str, candidates: Mapping[str, Estimator], recipe: Recipe = FREQUENCY,
-    depths: Sequence[int] | None = None, roles: Roles | None = None,
+    depths: Sequence[int] | None = None, roles: Roles | None = None, seconds: float | None = None,
 ) -> tuple[Scorer, DataFrame]:
     """Prepare, pick the best candidate on a sample, search its depth, refit on all rows.
 
+    With a time budget in ``seconds`` the depth search runs on as many rows as
+    the speeds measured for the best candidate allow; none are left, no search.
     Gives the scorer and the leaderboard of the last round.
     """
     prepared = prepare(df, recipe, roles)
-    table = prepared.transform(df).persist()
-    try:
-        name, board = select_model(candidates, table, prepared.used, mode)
-        best = candidates[name]
-        if depths and best.hasParam("maxDepth"):
-            best, _ = depth_search(best, table, prepared.used, mode, depths)
-        return Scorer(prepared, fit(best, table, prepared.used), mode), board
-    finally:
-        table.unpersist()
+    rows, table = prepared.facts["rows"], prepared.transform(df)
+    name, board = select_model(candidates, table, prepared.used, mode, total=rows)
+    best = candidates[name]
+    if depths and best.hasParam("maxDepth"):
+        allowed = rows
+        if seconds is not None:
+            plan = sample_plan(board, rows, seconds, len(depths))
+            allowed = plan.where(F.col("model") == F.lit(name)).first()["sample_rows"]
+        if allowed >= LEAST_SEARCH_ROWS:
+            part = table if allowed >= rows else row_prefix(table, allowed)
+            best, _ = depth_search(best, part, prepared.used, mode, depths)
+    return Scorer(prepared, fit(best, table, prepared.used), mode), board
 
 
 def run_metrics(spark: SparkSession, prepared: Prepared, **more: Any) -> DataFrame:

@@ -78,11 +78,11 @@ def winner(board: DataFrame) -> DataFrame:
 
 def select_model(
     candidates: Mapping[str, Estimator], df: DataFrame, names: Sequence[str], mode: str,
-    samples: Sequence[int] = (SAMPLE_ROWS,),
+    samples: Sequence[int] = (SAMPLE_ROWS,), total: int | None = None,
 ) -> tuple[str, DataFrame]:
     """Rounds on growing row prefixes; after each, the candidates below the mean drop out."""
     left = dict(candidates)
-    total = df.count()
+    total = df.count() if total is None else total
     board = None
     for rows in samples:
         board = leaderboard(left, row_prefix(df, min(rows, total)), names, mode)

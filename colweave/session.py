@@ -52,15 +52,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 SPREAD_PARTITIONS = 64
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *columns: str) -> DataFrame:
     """Give a small input as many tasks as there are cores.
 
     A file of one row group is one task, however many cores wait. Inputs of 64
     partitions or more are left alone, so no large table is ever shuffled here;
-    filters and column pruning still reach the scan.
+    filters and column pruning still reach the scan. ``columns`` should be
+    nearly unique together: their hash spreads rows evenly, gives a lost task
+    the same rows again, and spares the sort that plain repartitioning needs.
     """
     cores = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_PARTITIONS)
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
 
 
 def settle(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -13,8 +13,19 @@ from colweave.functions.scalars import zero_pad
 from colweave.session import spread
 
 
+# Columns that together tell rows apart, for the tables that are worth spreading.
+SPREAD_BY = {
+    "orders": ["o_orderkey"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey"],
+    "events": ["event_id"],
+    "documents": ["doc_id"],
+    "embeddings": ["vec_id"],
+}
+
+
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(df, *SPREAD_BY[name]) if name in SPREAD_BY else df
 
 
 def orders_features(spark: SparkSession, folder: str) -> DataFrame:

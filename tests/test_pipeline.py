@@ -113,6 +113,9 @@ def test_train_best_and_batch(spark, folder, orders):
     train, test = split.split_hash(orders)
     scorer, board = pipeline.train_best(train, models.REGRESSION, {"forest": models.forest(models.REGRESSION, 3)}, depths=[2, 3])
     assert board.count() == 1 and scorer.predict(test).count() == test.count()
+    forest = {"forest": models.forest(models.REGRESSION, 3)}
+    hurried, _ = pipeline.train_best(train, models.REGRESSION, forest, depths=[2, 3], seconds=0.0)
+    assert hurried.fitted.model.getMaxDepth() == forest["forest"].getMaxDepth()
     sets = {
         "orders": (models.REGRESSION, train, test),
         "events": (models.CLASSIFICATION, *split.split_hash(tables.events_features(spark, folder))),
