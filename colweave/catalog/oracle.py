@@ -447,7 +447,7 @@ _SQL["profile_distinct_wide"] = orders(
 _SQL["column_means_wide"] = orders(
     f"select 'number_w' || i \"column\", {r(f'avg({_WIDE})', 9)} mean from f, range(300) t(i) group by i"
 )
-_SQL["column_means"] = union(f"select '{c}' \"column\", {r(f'avg({c})', 9)} mean from lineitem" for c in LINES)
+_SQL["column_means"] = union(f"select '{c}' \"column\", {r(f'avg({c})', 5)} mean from lineitem" for c in LINES)
 _SQL["distinct_values"] = "select distinct l_suppkey \"value\" from lineitem"
 _SQL["value_counts"] = "select l_partkey \"value\", count(*) n from lineitem group by 1"
 _SQL["corr_matrix"] = orders(corr_pairs([*NUMBERS, "number_const", *DATES], "x"), X)
@@ -469,7 +469,7 @@ _SQL["target_corr_topk"] = orders(
     X, XF,
 )
 _SQL["variance_filter"] = "select * from (" + union(
-    f"select '{c}' \"column\", {r(f'var_pop({c})', 4)} variance from lineitem having var_pop({c}) > 0.001" for c in LINES
+    f"select '{c}' \"column\", {r(f'var_pop({c})', 2)} variance from lineitem having var_pop({c}) > 0.001" for c in LINES
 ) + ")"
 
 _MI_COLUMNS = [*NUMBERS, "number_const", *DATES]

@@ -533,7 +533,7 @@ def column_means_wide(spark, folder):
 
 @query
 def column_means(spark, folder):
-    return rounded(profile.column_means(tables.read(spark, folder, "lineitem"), LINE_NUMBERS), 9)
+    return rounded(profile.column_means(tables.read(spark, folder, "lineitem"), LINE_NUMBERS), 5)
 
 
 @query
@@ -576,7 +576,7 @@ def target_corr_topk(spark, folder):
 def variance_filter(spark, folder):
     df = tables.read(spark, folder, "lineitem").withColumn("zero", F.lit(0.0))
     kept = select.varying_columns(df, [*LINE_NUMBERS, "zero"])
-    return rounded(select.variances(df, kept), 4)
+    return rounded(select.variances(df, kept), 2)
 
 
 @query
