@@ -177,7 +177,7 @@ def compact(df: DataFrame, roles: Roles | None = None) -> DataFrame:
     kept = [n for n in names if not profiles[n].constant]
     text = [n for n in kept if profiles[n].dtype == "string"]
     few = {n: profiles[n].values for n in text if profiles[n].exact and 2 < profiles[n].distinct <= ONEHOT_MOST_VALUES}
-    codes = fit_dictionary(df, [n for n in text if n not in few])
+    codes = fit_dictionary(df, [n for n in text if n not in few], profiles=profiles)
     onehot = OneHot.fit(df, few)
     numbers = [n for n in kept if profiles[n].dtype != "string"]
     out = codes.apply(onehot.apply(df))

@@ -131,3 +131,11 @@ def test_dictionary_codes(spark):
     order = sorted({r[1] for r in rows if r[1]})
     got = {r["line_id"]: r["string_0"] for r in fitted.apply(df).collect()}
     assert got == {i: order.index(w) if w else -1 for i, w, _ in rows}
+
+
+def test_dictionary_rule_is_exact_near_the_limit(spark):
+    # 5000 of 10,000 rows are distinct: not below half; one fewer is
+    df = spark.range(10_000).selectExpr(
+        "id line_id", "concat('a', id % 5000) string_a", "concat('b', least(id % 5000, 4998)) string_b", "uuid() string_u"
+    )
+    assert list(encode.fit_dictionary(df).sizes) == ["string_b"]

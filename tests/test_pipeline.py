@@ -133,3 +133,10 @@ def test_compact(spark):
     kinds = dict(out.dtypes)
     assert kinds["onehot_string_a=c"] == "tinyint" and "string_a" not in kinds and "number_k" not in kinds
     assert kinds["number_i"] == "tinyint" and kinds["string_b"] == "bigint" and kinds["id_0"] == "string"
+
+
+def test_spread_keeps_pruning_and_pushdown(spark, folder):
+    df = tables.read(spark, folder, "orders").where("o_totalprice > 1000").select("o_custkey")
+    plan = plan_of(df)
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double>" in plan
+    assert "GreaterThan(o_totalprice,1000.0)" in plan
