@@ -13,6 +13,8 @@ from colweave.schema import batches, quoted
 # Up to here all aggregates go into one row; beyond, generated code outgrows what the JVM compiles well.
 NARROW_COLUMNS = 24
 LONG_COLUMNS = 2000
+# Sketches live as objects: beyond 128 groups a task would sort all its rows instead of hashing them.
+SKETCH_COLUMNS = 120
 
 Aggregates = Mapping[str, str]
 
@@ -23,6 +25,7 @@ def per_column(
     aggregates: Aggregates | Callable[[str], Aggregates],
     value: Callable[[str], str] = quoted,
     more: Mapping[str, str] | None = None,
+    per_pass: int = LONG_COLUMNS,
 ) -> tuple[dict[str, dict[str, Any]], dict[str, Any]]:
     """({column: {alias: aggregate}}, {alias: value of a whole-table aggregate in ``more``}).
 
@@ -30,7 +33,8 @@ def per_column(
     function from the value's type to such a map. A narrow table is one global
     aggregation. A wide one is turned into (column number, value) rows inside
     each task and grouped: still one pass, with one small hash map per task and
-    a shuffle of one row per column and task.
+    a shuffle of one row per column and task. ``per_pass`` bounds the columns of
+    one pass; every pass reads only its own columns.
     """
     names = list(names)
     chosen = aggregates if callable(aggregates) else lambda _: aggregates
@@ -48,7 +52,7 @@ def per_column(
         for i, n in enumerate([] if wide else names):
             out[n] = {alias: row[f"c{i}_{alias}"] for alias in chosen(types[n])}
     for dtype in sorted(set(types.values())) if wide else []:
-        for batch in batches([n for n in names if types[n] == dtype], LONG_COLUMNS):
+        for batch in batches([n for n in names if types[n] == dtype], per_pass):
             cells = ", ".join(f"struct({i} as c, {value(n)} as v)" for i, n in enumerate(batch))
             grouped = df.selectExpr(f"inline(array({cells}))").groupBy("c")
             found = grouped.agg(*[F.expr(e.format(v="v")).alias(alias) for alias, e in chosen(dtype).items()])

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colweave.operators.order import rank_cutoffs
-from colweave.operators.percolumn import per_column
+from colweave.operators.percolumn import LONG_COLUMNS, SKETCH_COLUMNS, per_column
 from colweave.schema import KEY, batches, col, literal, quoted
 
 SKETCH_LG = 12
@@ -92,7 +92,9 @@ def profile_and(
     """Profiles, and the values of ``more`` aggregate expressions taken in the same pass."""
     names = list(df.columns if names is None else names)
     types = dict(df.dtypes)
-    found, extra = per_column(df, names, _aggregates(sketch), more=more)
+    found, extra = per_column(
+        df, names, _aggregates(sketch), more=more, per_pass=SKETCH_COLUMNS if sketch else LONG_COLUMNS
+    )
     out = {
         n: ColumnProfile(
             n, types[n], v["rows"] or 0, v["filled"] or 0, v["low"], v["high"],
