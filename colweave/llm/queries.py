@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from colweave.llm import minhash
+from colweave.llm import (
+    decontaminate, exact_dedup, language, license_scan, line_dedup, minhash, quality, sentencepiece, shard, url_rules,
+)
 from colweave.llm.tables import read
 
+# A parameter of the tokenizer query; the file is not part of the library.
+PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
@@ -28,10 +35,132 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The same rows as DuckDB SQL where SQL can express them at the size of whole tables."""
+    return {"op4_url_filters": _url_sql(), "op5_exact_dedup": _EXACT_SQL}
+
+
+_EXACT_SQL = """
+with t as (
+  select doc_id, length(coalesce(text, '')) as chars, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') as bare
+  from documents
+), g as (
+  select *, count(*) over (partition by bare) as group_size,
+    first_value(doc_id) over (partition by bare order by chars desc, doc_id) as keep_id
+  from t
+)
+select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(bare) as text_sha256 from g
+"""
+
+
+def _url_sql() -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    rules = ", ".join(
+        f"({', '.join(quoted(x) for x in (r.name, r.verdict, r.subject, r.pattern))})"
+        for r in (*url_rules.PAGE_RULES, *url_rules.PATTERN_RULES)
+    )
+    lower = f"{quoted(url_rules.UPPER)}, {quoted(url_rules.LOWER)}"
+    return f"""
+with rules(name, verdict, subject, pattern) as (values {rules}),
+u as (
+  select page_id, translate(regexp_extract(coalesce(url, ''), {quoted(url_rules.AFTER_SCHEME)}, 1), {lower}) as host,
+    regexp_extract(coalesce(url, ''), {quoted(url_rules.AFTER_SCHEME)}, 2) as path,
+    translate(regexp_extract(coalesce(url, ''), {quoted(url_rules.WHOLE)}, 1), {lower}) as rest
+  from pages
+),
+fits as (
+  select u.*, arg_max(name, length(name)) filter (subject = 'page') as rule,
+    arg_max(verdict, length(name)) filter (subject = 'page') as rule_verdict,
+    min(name) filter (subject = 'whole') as pattern, arg_min(verdict, name) filter (subject = 'whole') as pattern_verdict
+  from u left join rules on rest <> '' and case when subject = 'page'
+    then regexp_matches(host || path, pattern) else regexp_matches(rest, pattern) end
+  group by all
+)
+select page_id, host, path, rule, coalesce(rule_verdict, pattern_verdict, 'allow') as verdict, pattern from fits
+"""
 
 
 @query
 def op9_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicates of whole documents on two-word shingles."""
     return minhash.near_duplicates(read(spark, folder, "documents"), minhash.Params(words=2))
+
+
+@query
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's perplexity, its language's limit, and whether it is accepted."""
+    found = quality.assess(read(spark, folder, "documents"), read(spark, folder, "labels"))
+    return found.select("doc_id", "lang", "perplexity", "perplexity_limit", "accepted")
+
+
+@query
+def op2_histogram_sort_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 24 shards of near-equal bytes."""
+    placed = shard.shard(read(spark, folder, "documents"), shard.Params(shards=24))
+    return placed.select(
+        "doc_id",
+        "size",
+        F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the lines that repeat an earlier passage taken out."""
+    done = line_dedup.dedup_lines(read(spark, folder, "documents"))
+    return done.select(
+        "doc_id", "removed_lines", F.size("removed_lines").alias("n_removed"),
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("bytes_left"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+    )
+
+
+@query
+def op4_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's verdict under the page rules, else under the pattern rules."""
+    rules = url_rules.rule_table(spark, [*url_rules.PAGE_RULES, *url_rules.PATTERN_RULES])
+    return url_rules.judge(read(spark, folder, "pages"), rules).select("page_id", "host", "path", "rule", "verdict", "pattern")
+
+
+@query
+def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact copies among all documents, blanks aside."""
+    return exact_dedup.exact_duplicates(read(spark, folder, "documents"))
+
+
+@query
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from two thirds of them."""
+    return language.predict(read(spark, folder, "documents"))
+
+
+@query
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """One row for every document and benchmark item that it holds."""
+    marked = decontaminate.mark(read(spark, folder, "documents").select("doc_id", "text"), read(spark, folder, "benchmark"))
+    found = marked.select("doc_id", F.explode("contaminated_by").alias("c"))
+    return found.select("doc_id", "c.item_id", "c.similarity", "c.start", "c.words")
+
+
+@query
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and passages in every document."""
+    return license_scan.scan(read(spark, folder, "documents")).drop("matches")
+
+
+@query
+def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded and decoded again: its pieces counted and hashed, and whether the text came back."""
+    model = sentencepiece.load(PIECE_MODEL)
+    encoded = sentencepiece.encode(read(spark, folder, "documents").select("doc_id", "text"), model)
+    both = sentencepiece.decode(encoded, model)
+    return both.select(
+        "doc_id",
+        F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"),
+        F.xxhash64("ids").alias("pieces_hash"),
+        F.crc32(F.coalesce("decoded", F.lit(""))).alias("decoded_crc32"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
+    )
