@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colweave.llm.tables import discard, settle
+from colweave.llm.tables import bounded, discard, settle
 from colweave.llm.text import mix, slices
 
 START, NUL = "\x02", "\x01"
@@ -250,10 +250,6 @@ def _scored(docs: DataFrame, shards: list[tuple[np.ndarray, np.ndarray]], order:
     return docs
 
 
-def _few(ids: DataFrame, p: Params) -> DataFrame:
-    return F.broadcast(ids) if ids.count() <= p.broadcast_ids else ids
-
-
 def assess(docs: DataFrame, labels: DataFrame, params: Params | None = None) -> DataFrame:
     """All rows and columns of documents (doc_id, text, lang) with perplexity, perplexity_limit and accepted.
 
@@ -270,7 +266,7 @@ def assess(docs: DataFrame, labels: DataFrame, params: Params | None = None) ->
     """
     p = params or Params()
     docs = docs.drop("log_likelihood", "characters", "perplexity", "perplexity_limit", "accepted")
-    good = _few(labels.where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id").distinct(), p)
+    good = bounded(labels.where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id").distinct(), p.broadcast_ids)
     held = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(5)), F.lit(p.hold_out)) == 0
     model = train(docs.where(~held).join(good, "doc_id", "left_semi"), p.order)
     needed = settle(_grams(docs, p.order).select("gram"), "runs")

@@ -7,13 +7,20 @@ from pyspark.sql import functions as F
 
 from colweave.session import settle
 
-__all__ = ["discard", "read", "salted_join", "settle"]
+__all__ = ["bounded", "discard", "read", "salted_join", "settle"]
+
+BROADCAST_ROWS = 2_000_000
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def bounded(ids: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a table of ids for broadcast if its counted rows are few; else it is joined by shuffle, with the same result."""
+    return F.broadcast(ids) if ids.count() <= rows else ids
+
+
 def discard(*settled: DataFrame) -> None:
     """Delete settled tables that nothing reads any more; shared storage is freed at once."""
     for df in settled:
