@@ -57,7 +57,9 @@ class Index:
         self.rarity = np.clip(np.round(8 * np.log((len(ids) + 1) / held) / np.log(len(ids) + 2)), 1, 8).astype(np.int32)
         self.sizes = np.diff(first)
         grams, offsets = shingles(words, first, p.words)
+        # Whole items that are shorter than a shingle are looked up as runs of their own length.
         self.grams = np.unique(grams)
+        self.short = sorted({int(s) for s in self.sizes if 0 < s < p.words})
         self.filter = np.zeros(1 << 20, bool)
         self.filter[(self.grams & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         weights = self.weights(words)
@@ -130,12 +132,10 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float(both / max(1, a[1].sum() + b[1].sum() - both))
 
 
-def _matches(words: np.ndarray, grams: np.ndarray, index: Index) -> list[tuple[int, float, int]]:
+def _matches(words: np.ndarray, index: Index) -> list[tuple[int, float, int]]:
     """(item, similarity, first word) of the best window of every item found in one text."""
     p, n = index.p, len(words)
-    seeds = index.seeds(grams)
-    if not len(seeds):
-        return []
+    seeds_of = {w: index.seeds(shingles(words, np.array([0, n]), w)[0]) for w in {*index.short, p.words} if w <= n}
     weights = index.weights(words)
     sums = _signed_sums(words, weights)
     best: dict[int, tuple[float, int]] = {}
@@ -145,6 +145,7 @@ def _matches(words: np.ndarray, grams: np.ndarray, index: Index) -> list[tuple[i
         # Windows of the item's size that hold at least one seed.
         opened = np.zeros(n + 1, np.int32)
         width = min(p.words, size)
+        seeds = seeds_of[width]
         np.add.at(opened, np.maximum(0, seeds + width - size), 1)
         np.add.at(opened, np.minimum(seeds, n - size) + 1, -1)
         starts = np.flatnonzero(np.cumsum(opened[: n - size + 1]) > 0)
@@ -199,12 +200,14 @@ def mark(docs: DataFrame, benchmark: DataFrame, params: Params | None = None) ->
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in slices(batches, "text"):
                 words, first = _word_hashes(part.column("text"))
-                grams, offsets = shingles(words, first, p.words)
                 found = part.column("contaminated_by").to_pylist()
-                hit = np.unique(np.searchsorted(offsets, index.seeds(grams), "right") - 1)
-                for d in hit.tolist():
+                hit = set()
+                for width in (*index.short, p.words):
+                    grams, offsets = shingles(words, first, width)
+                    hit.update((np.searchsorted(offsets, index.seeds(grams), "right") - 1).tolist())
+                for d in sorted(hit):
                     a, b = first[d], first[d + 1]
-                    for k, score, start in _matches(words[a:b], grams[offsets[d] : offsets[d + 1]], index):
+                    for k, score, start in _matches(words[a:b], index):
                         found[d].append({"item_id": index.ids[k], "similarity": score, "start": start, "words": int(index.sizes[k])})
                 columns = list(part.columns)
                 columns[place] = pa.array(found, pa.list_(struct))

@@ -277,7 +277,7 @@ def assess(docs: DataFrame, labels: DataFrame, params: Params | None = None) ->
 
     # Limits come from a histogram in steps of a thousandth: exact to that step, and bounded in size.
     language = F.coalesce(F.col("lang").cast("string"), F.lit(""))
-    loss = -F.col("log_likelihood") / F.col("characters")
+    loss = F.try_divide(-F.col("log_likelihood"), F.col("characters"))
     sample = _scored(docs.where(held).join(good, "doc_id", "left_semi").select("text", "lang"), shards, p.order)
     bins = sample.where("characters > 0").select(F.floor(loss * 1000).alias("bin"), F.explode(F.array(language, F.lit(None).cast("string"))).alias("language"))
     counted = bins.groupBy("language", "bin").agg(F.count(F.lit(1)).alias("n"))
