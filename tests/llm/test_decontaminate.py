@@ -1,6 +1,6 @@
 import numpy as np
 import pyarrow as pa
-from llm_rows import frame, words
+from llm_rows import frame, odd_rows, words  # noqa: F401
 
 from colweave.llm import decontaminate as D
 
@@ -72,7 +72,7 @@ def test_candidates_are_all_pairs_within_the_radius():
         assert got == set(zip(*(x.tolist() for x in np.nonzero(near)), strict=True))
 
 
-def test_odd_rows_and_empty_tables(spark, odd_rows):
+def test_odd_rows_and_empty_tables(spark, odd_rows):  # noqa: F811
     marked = D.mark(frame(spark, odd_rows), items(spark, [*BENCH, (60, "two words"), (61, odd_rows[3][1])])).collect()
     assert len(marked) == len(odd_rows)
     found = sorted((r.doc_id or -1, c.item_id) for r in marked for c in r.contaminated_by)

@@ -3,7 +3,7 @@ import re
 
 from colweave.llm.exact_dedup import exact_duplicates
 
-from llm_rows import frame, words
+from llm_rows import frame, odd_rows, words  # noqa: F401
 
 
 def brute(rows):
@@ -30,7 +30,7 @@ def check(spark, rows):
     return got
 
 
-def test_odd_rows(spark, odd_rows):
+def test_odd_rows(spark, odd_rows):  # noqa: F811
     check(spark, odd_rows)
 
 

@@ -1,7 +1,7 @@
 import random
 import zlib
 
-from llm_rows import frame, words
+from llm_rows import frame, odd_rows, words  # noqa: F401
 
 from colweave.llm.language import Params, predict
 
@@ -31,7 +31,7 @@ def test_the_label_is_no_input(spark):
     assert both[0] == both[1]
 
 
-def test_odd_rows(spark, odd_rows):
+def test_odd_rows(spark, odd_rows):  # noqa: F811
     rows = [*odd_rows, (40, "123 !?", "en"), *[(100 + k, text(lang := sorted(LETTERS)[k % 2], k), lang) for k in range(60)]]
     got = predict(frame(spark, rows), Params(bits=12)).collect()
     assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)

@@ -1,6 +1,6 @@
 import re
 
-from llm_rows import frame, words
+from llm_rows import frame, odd_rows, words  # noqa: F401
 
 from colweave.llm.license_scan import BASE, TEMPLATES, Params, scan
 
@@ -19,7 +19,7 @@ def brute(text):
     return len(found), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(labels))
 
 
-def test_base_phrases_against_brute_force(spark, odd_rows):
+def test_base_phrases_against_brute_force(spark, odd_rows):  # noqa: F811
     rows = [
         *odd_rows, (20, "CC-BY 4.0, cc by; CC\nBY. all rights reserved all rights reserved", None), (21, "cc", None), (22, "by cc", None),
         (23, "GENERAL  public-License é general publicé license", None), (24, "cc by " * 5000, None), (25, "all rights", None), (26, "reserved", None),

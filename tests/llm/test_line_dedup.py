@@ -2,7 +2,7 @@ import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from llm_rows import frame, words
+from llm_rows import frame, odd_rows, words  # noqa: F401
 import numpy as np
 
 from colweave.llm.line_dedup import Params, dedup_lines, winnow
@@ -66,7 +66,7 @@ def test_short_runs_stay(spark):
     assert all(not r.removed_lines for r in dedup_lines(frame(spark, rows)).collect())
 
 
-def test_odd_rows(spark, odd_rows):
+def test_odd_rows(spark, odd_rows):  # noqa: F811
     rows = [*odd_rows, (30, "\n".join([words(5, 1)] * 2000), None), (31, words(60, 77), None), (31, words(60, 77), None)]
     got = dedup_lines(frame(spark, rows)).collect()
     assert len(got) == len(rows)

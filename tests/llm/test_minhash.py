@@ -6,7 +6,7 @@ import pytest
 from colweave.llm.components import components
 from colweave.llm.minhash import Params, near_duplicates
 
-from llm_rows import frame, words
+from llm_rows import frame, odd_rows, words  # noqa: F401
 
 
 def shingle_set(text, size):
@@ -57,7 +57,7 @@ def test_against_all_pairs(spark, size):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got) and len(got) == len(rows)
 
 
-def test_odd_rows(spark, odd_rows):
+def test_odd_rows(spark, odd_rows):  # noqa: F811
     got = near_duplicates(frame(spark, odd_rows)).collect()
     assert len(got) == len(odd_rows)
     found = {(r.doc_id, r.n_shingles): r for r in got}

@@ -3,7 +3,7 @@ import random
 from collections import Counter
 
 import pytest
-from llm_rows import frame, words
+from llm_rows import frame, odd_rows, words  # noqa: F401
 
 from colweave.llm import quality as Q
 
@@ -100,7 +100,7 @@ def test_perplexity_is_that_of_the_model(spark):
         assert got[k].perplexity == pytest.approx(math.exp(loss), rel=1e-4)
 
 
-def test_odd_rows_and_empty_tables(spark, odd_rows):
+def test_odd_rows_and_empty_tables(spark, odd_rows):  # noqa: F811
     rows, labels = table(spark)
     both = [*odd_rows, *rows]
     got = Q.assess(frame(spark, both), labels).collect()

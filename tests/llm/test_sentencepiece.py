@@ -3,7 +3,7 @@ import os
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from llm_rows import frame, words
+from llm_rows import frame, odd_rows, words  # noqa: F401
 
 from colweave.llm import sentencepiece as S
 from colweave.llm.queries import PIECE_MODEL
@@ -54,7 +54,7 @@ def test_chunks_seen_before_and_forgotten(model, monkeypatch):
             assert encoder.encode([t])[0].tolist() == w
 
 
-def test_round_trip_over_spark(spark, model, odd_rows):
+def test_round_trip_over_spark(spark, model, odd_rows):  # noqa: F811
     rows = [*odd_rows, *[(100 + k, t, None) for k, t in enumerate(TEXTS)]]
     both = S.decode(S.encode(frame(spark, rows), model), model).collect()
     assert len(both) == len(rows)

@@ -2,7 +2,7 @@ from collections import defaultdict
 
 from colweave.llm.shard import Params, shard
 
-from llm_rows import frame, words
+from llm_rows import frame, odd_rows, words  # noqa: F401
 
 
 def shards_of(rows):
@@ -41,6 +41,6 @@ def test_a_hot_text_is_cut(spark):
     assert sum(a != b for a, b in zip(texts, texts[1:], strict=False)) + 1 == len(set(texts))
 
 
-def test_odd_rows_and_empty_table(spark, odd_rows):
+def test_odd_rows_and_empty_table(spark, odd_rows):  # noqa: F811
     check(spark, odd_rows, Params(shards=3))
     assert shard(frame(spark, [])).collect() == []
