@@ -71,7 +71,7 @@ def stages(spark, folder: str) -> dict[str, Callable[[], object]]:
         "drop_constant_wide": lambda: run(profile.drop_constant(wide())[0]),
         "distinct_counts": lambda: run(profile.distinct_counts(lines())),
         "correlation_wide": lambda: select.correlated_columns(
-            nulls.fill_constant(wide()), project.by_prefix(wide().columns), complete=True
+            nulls.fill_constant(wide()), project.by_prefix(wide().columns)
         ),
         "scaling": lambda: run(
             scale.Scaler.fit(lines(), project.by_prefix(lines().columns)).apply(lines())

@@ -38,8 +38,9 @@ PARTS = {
 SIX = ["weekday", "month", "day", "hour", "hour_of_week", "minute_of_day"]
 FIVE = ["year", "weekday", "month", "day", "hour"]
 
-HASH = "((({k}) % 2147483648) * 2654435761) % 4294967296"
-FOLD_HASH = "((line_id % 2147483648) * 3266489917) % 4294967296"
+FOLDED = "((({k}) % 2147483648 + ((({k}) // 2147483648) % 2147483648 * 1103515245) % 2147483648) % 2147483648)"
+HASH = f"({FOLDED} * 2654435761) % 4294967296"
+FOLD_HASH = f"({FOLDED.format(k='line_id')} * 3266489917) % 4294967296"
 IN_TEST = HASH.format(k="line_id") + " < 1073741824"
 
 NUMBERS = ["number_0", "number_1", "number_2"]
@@ -171,6 +172,8 @@ def oracle_sql() -> dict[str, str]:
 _CSV = orders("select * replace (nullif(datetime_0, 'n/a') as datetime_0) from f")
 _SQL["scan_csv"] = _CSV
 _SQL["scan_bounded"] = _CSV
+_SQL["scan_csv_headers"] = _CSV
+_SQL["scan_csv_quoted"] = "select doc_id line_id, text string_0 from documents"
 _SQL["scan_limit"] = orders("select * from f order by line_id limit 500")
 _SQL["scan_columns"] = orders("select line_id, number_0, string_1 from f")
 _SQL["sink_prediction"] = orders("select line_id, round(target) + cast(0 as double) prediction from f")
@@ -301,6 +304,7 @@ for _p in PARTS:
     _source = f"coalesce({PARSE}, {EMPTY})" if _p == "year" else PARSE
     _SQL[f"dt_{_p}"] = orders(f"select line_id, {part(_p)} {quoted(_p)} from (select line_id, {_source} t from f)")
 _SQL["datetime_expand6"] = orders(f"select line_id, {', '.join(DATES)} from x", X)
+_SQL["datetime_expand6_zone"] = _SQL["datetime_expand6"]
 _SQL["datetime_expand5"] = orders(
     f"select line_id, {parts(FIVE)} from (select line_id, coalesce({PARSE}, {EMPTY}) t from f)"
 )
@@ -432,6 +436,12 @@ _TRAIN = f"tr as (select * from f where not ({IN_TEST})), te as (select * from f
 _columns, _joins = coded(_TEXT, "te")
 _SQL["freq_replay"] = orders(f"select line_id, {_columns} from te {_joins}", _TRAIN, frequencies(_TEXT, "tr"))
 _SQL["freq_replay_shuffled"] = _SQL["freq_replay"]
+_SQL["freq_replay_skewed"] = orders(
+    "select s.line_id, coalesce(c.n, -1) id_0 from s left join c on s.id_0 = c.id_0 where s.is_test",
+    f"s as (select line_id, {IN_TEST} is_test, case when line_id % 8 < 4 then 'c' when line_id % 8 < 6 then 'new' "
+    "when line_id % 8 = 6 then id_0 end id_0 from f)",
+    "c as (select id_0, count(*) n from s where not is_test and id_0 <> 'new' group by 1)",
+)
 
 # ---------------------------------------------------------------- profiles and selection
 
@@ -625,6 +635,7 @@ _ONEHOT_RAW = [
 ]
 _FILLED_NUMBERS = [(n, f"coalesce({n}, -1)") for n in [*NUMBERS, "number_null", *DATES]]
 _SQL["prep_onehot"] = orders(scaled([*_FILLED_NUMBERS, *_ONEHOT_RAW], "x"), X)
+_SQL["prep_onehot_nan"] = _SQL["prep_onehot"]
 
 # fill, encode with -1 as a value, drop the constant, scale
 _ONEHOT_FILLED = [

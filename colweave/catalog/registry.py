@@ -41,7 +41,6 @@ ROUNDS = 10
 def query(function: Query) -> Query:
     @wraps(function)
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
         return function(spark, folder.rstrip("/"))
 
     _QUERIES[function.__name__] = run
@@ -103,6 +102,25 @@ def scan_bounded(spark, folder):
     return scan.scan_bounded(spark, _orders_csv(spark, folder))
 
 
+@query
+def scan_csv_headers(spark, folder):
+    """Two folders of files under one path, whose headers name the same columns in another order."""
+    path, df = scratch_path(spark, "orders-csv"), orders(spark, folder)
+    even = F.col("line_id") % 2 == 0
+    df.where(even).write.option("header", True).option("escape", '"').csv(f"{path}/a")
+    df.where(~even).select(*reversed(df.columns)).write.option("header", True).option("escape", '"').csv(f"{path}/b")
+    return scan.scan_csv(spark, path).select(*df.columns)
+
+
+@query
+def scan_csv_quoted(spark, folder):
+    """Whole texts with quotes and line breaks, written and read again."""
+    path = scratch_path(spark, "texts-csv")
+    texts = tables.read(spark, folder, "documents").select(F.col("doc_id").alias("line_id"), F.col("text").alias("string_0"))
+    texts.write.option("header", True).option("escape", '"').option("quoteAll", True).option("lineSep", "\n").csv(path)
+    return scan.scan_csv(spark, path, multi_line=True)
+
+
 @query
 def estimate_rows(spark, folder):
     return scan.estimate(spark, _orders_csv(spark, folder))
@@ -356,6 +374,19 @@ def datetime_expand6(spark, folder):
     return expanded(spark, folder).select("line_id", *DATE_NUMBERS)
 
 
+@query
+def datetime_expand6_zone(spark, folder):
+    """The same parts in a session of another zone, whose clock skips an hour a year."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    df = orders(spark, folder)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # Expressions take the zone when they are resolved, which is here.
+        return dates.expand_six(df).select("line_id", *DATE_NUMBERS)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 @query
 def datetime_expand5(spark, folder):
     names = [dates.part_name(p, "datetime_0") for p in dates.FIVE_PARTS]
@@ -506,6 +537,19 @@ def freq_replay_shuffled(spark, folder):
     return _frequency_replay(spark, folder, most_rows=0)
 
 
+@query
+def freq_replay_skewed(spark, folder):
+    """The shuffled path with half of the rows on one known value, a quarter on an unseen one, and missing ones."""
+    def skewed(df):
+        part = F.col("line_id") % 8
+        value = F.when(part < 4, F.lit("c")).when(part < 6, F.lit("new")).when(part == 6, F.col("id_0"))
+        return df.select("line_id", value.alias("id_0"))
+
+    train, test = split.split_hash(orders(spark, folder).select("line_id", "id_0"))
+    known = skewed(train).where("id_0 != 'new'")
+    return encode.fit_frequency(known).apply(skewed(test), most_rows=0)
+
+
 # ---------------------------------------------------------------- profiles and selection
 
 
@@ -569,7 +613,7 @@ def target_corr_topk(spark, folder):
     df = nulls.fill_constant(expanded(spark, folder))
     names = [*ORDER_NUMBERS, *DATE_NUMBERS]
     size = narrow.table_bytes(df).first()["bytes"]
-    return rounded(select.top_by_target(df, names, size, size * 2 // 5))
+    return rounded(select.top_by_target(df, names, select.columns_within(len(names), size, size * 2 // 5)))
 
 
 @query
@@ -901,6 +945,14 @@ def prep_onehot(spark, folder):
     return rounded(pipeline.prepare(df, pipeline.ONEHOT).transform(df))
 
 
+@query
+def prep_onehot_nan(spark, folder):
+    """NaN is a missing value like null: the same preparation from a table that has one for the other."""
+    df = orders(spark, folder)
+    holes = df.withColumns({n: F.coalesce(F.col(n), F.lit(float("nan"))) for n in ("number_0", "number_null")})
+    return rounded(pipeline.prepare(holes, pipeline.ONEHOT).transform(holes))
+
+
 @query
 def prep_fill_first(spark, folder):
     df = orders(spark, folder)

@@ -8,22 +8,23 @@ from pyspark.sql import functions as F
 from colweave.schema import DEFAULT_ROLES, Roles, col
 
 # Accepted text lengths with their patterns, and the date that stands for "none".
-DATE_PATTERNS = {10: "yyyy-MM-dd", 19: "yyyy-MM-dd HH:mm:ss"}
+DATE_SHAPES = (r"^\d{4}-\d{2}-\d{2}$", r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$")
+DATE_LENGTHS = (10, 19)
 EMPTY_DATE = "0001-01-01 00:00:00"
 
 
 def parse_date(c: Column, strict: bool = False) -> Column:
-    """Text to timestamp by its length: 10 is a date, 19 a date with time, else null.
+    """Text to a time without a zone, whatever the session's zone: 10 characters are a date, 19 a date with time, else null.
 
     Text of the right length that is no date gives null, or fails the job when
     ``strict`` is set.
     """
-    read = F.to_timestamp if strict else F.try_to_timestamp
-    short, long = DATE_PATTERNS
-    return (
-        F.when(F.length(c) == short, read(c, F.lit(DATE_PATTERNS[short]) if not strict else DATE_PATTERNS[short]))
-        .when(F.length(c) == long, read(c, F.lit(DATE_PATTERNS[long]) if not strict else DATE_PATTERNS[long]))
-    ).cast("timestamp_ntz")
+    shaped = c.rlike(DATE_SHAPES[0]) | c.rlike(DATE_SHAPES[1])
+    found = F.when(shaped, c.try_cast("timestamp_ntz"))
+    if not strict:
+        return found
+    wrong = F.raise_error(F.concat(F.lit("not a date: "), c)).cast("timestamp_ntz")
+    return F.when(F.length(c).isin(*DATE_LENGTHS), F.coalesce(found, wrong))
 
 
 def parse_date_or_empty(c: Column, strict: bool = False) -> Column:

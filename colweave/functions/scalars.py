@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # Odd multipliers (one per salt) and modulus of the multiplicative row hash.
 HASH_MULTIPLIERS = (2654435761, 2246822519, 3266489917)
 HASH_MODULUS = 1 << 32
+HIGH_MULTIPLIER = 1103515245
 
 
 def scale_and_round(c: Column, factor: float = 10.0, digits: int = 0) -> Column:
@@ -43,5 +44,8 @@ def row_hash(key: Column, salt: int = 0) -> Column:
     Splits within splits need different salts: with the same one, the part held
     out inside a training part would be empty.
     """
-    low = F.pmod(key.cast("bigint"), F.lit(1 << 31))
+    whole = key.cast("bigint")
+    # The bits from 31 up are folded in; keys below 2^31 keep their hash.
+    high = F.pmod(F.shiftright(whole, 31), F.lit(1 << 31)) * F.lit(HIGH_MULTIPLIER)
+    low = F.pmod(F.pmod(whole, F.lit(1 << 31)) + F.pmod(high, F.lit(1 << 31)), F.lit(1 << 31))
     return F.pmod(low * F.lit(HASH_MULTIPLIERS[salt]), F.lit(HASH_MODULUS))

@@ -24,8 +24,9 @@ UNSEEN = -1
 # A lookup column is broadcast only below both bounds; beyond them it is joined by shuffle.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
-# A value is hot if it fills more than one in this many rows, so there are at most as many hot values.
-HOT_SHARE = 1024
+# A value is hot if it fills more rows than one task should sort; the most frequent ones are spread over tasks.
+HOT_ROWS = 20_000
+MOST_HOT = 50_000
 
 
 # ---------------------------------------------------------------- one-hot
@@ -185,18 +186,23 @@ class Lookup:
         entries, size = self.sizes[name]
         return entries <= most_rows and size <= most_bytes
 
-    def apply(self, df: DataFrame, most_rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    def apply(
+        self, df: DataFrame, most_rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS
+    ) -> DataFrame:
         """Replace each fitted column by its code; missing and unseen values get -1.
 
-        Columns of checked small size take a broadcast join, so the table does
-        not move. For a larger column only the hot values are broadcast (their
-        number is bounded by their share of the rows); rows with a hot or a
-        missing value carry a null join key and a spread-out salt, so the
-        shuffled join sees no heavy key and still keeps every row.
+        The smallest columns take a broadcast join as long as each is within
+        ``most_rows`` and all together within ``most_bytes``, so the table does
+        not move. A larger column is joined by shuffle on value and salt: a hot
+        value's rows are dealt over several salts, and its entry is repeated
+        for each; missing values get a salt of their own per row. Values are
+        counted on the table that is scored, so one that training never saw is spread too.
         """
-        order = df.columns
-        for i, name in enumerate(self.sizes):
-            df = self._small(df, name, i) if self.small(name, most_rows, most_bytes) else self._large(df, name, i)
+        order, left = df.columns, most_bytes
+        for i, name in enumerate(sorted(self.sizes, key=lambda n: (self.sizes[n][1], n))):
+            small = self.small(name, most_rows, left)
+            left -= self.sizes[name][1] if small else 0
+            df = self._small(df, name, i) if small else self._large(df, name, i, hot_rows)
         return df.select(*[col(c) for c in order])
 
     def _small(self, df: DataFrame, name: str, i: int) -> DataFrame:
@@ -205,28 +211,35 @@ class Lookup:
         joined = df.join(F.broadcast(part), col(name).cast("string") == F.col(key), "left")
         return joined.withColumn(name, F.coalesce(F.col(code), F.lit(UNSEEN).cast("bigint"))).drop(key, code)
 
-    def _large(self, df: DataFrame, name: str, i: int) -> DataFrame:
-        hot_at = max(1, -(-self.rows // HOT_SHARE))
-        part = self.part(name)
-        hot = part.where(F.col("n") >= F.lit(hot_at)).select(
-            F.col("value").alias(f"_h{i}"), F.col("code").alias(f"_hc{i}")
-        )
-        cold = part.where(F.col("n") < F.lit(hot_at)).select(
-            F.col("value").alias(f"_v{i}"), F.col("code").alias(f"_c{i}"), F.lit(0).cast("bigint").alias(f"_vs{i}")
-        )
+    def _large(self, df: DataFrame, name: str, i: int, hot_rows: int) -> DataFrame:
         spread = F.xxhash64(col(KEY)) if KEY in df.columns else F.monotonically_increasing_id()
         text = col(name).cast("string")
-        marked = df.join(F.broadcast(hot), text == F.col(f"_h{i}"), "left").withColumns({
-            f"_k{i}": F.when(F.col(f"_h{i}").isNull(), text),
-            f"_s{i}": F.when(F.col(f"_h{i}").isNull() & text.isNotNull(), F.lit(0).cast("bigint")).otherwise(spread),
-        })
+        part = self.part(name).select(F.col("value").alias(f"_v{i}"), F.col("code").alias(f"_c{i}"))
+        counted = self._counts(df, name).where(F.col("n") > F.lit(hot_rows)).orderBy(F.desc("n")).limit(MOST_HOT)
+        # A hash and a number per hot value, at most MOST_HOT of them: safe to broadcast. Two values
+        # with one hash only share their number of salts.
+        hot = F.broadcast(counted.groupBy(F.xxhash64("value").alias(f"_h{i}")).agg(
+            F.ceil(F.max("n") / F.lit(hot_rows)).cast("bigint").alias(f"_p{i}")
+        ))
+        marked = df.join(hot, F.xxhash64(text) == F.col(f"_h{i}"), "left").withColumns({
+            f"_k{i}": text,
+            f"_s{i}": F.when(text.isNull(), spread).otherwise(F.coalesce(F.pmod(spread, F.col(f"_p{i}")), F.lit(0))),
+        }).drop(f"_h{i}", f"_p{i}")
+        entries = part.join(hot, F.xxhash64(f"_v{i}") == F.col(f"_h{i}"), "left").withColumn(
+            f"_vs{i}", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(f"_p{i}") - 1, F.lit(0).cast("bigint"))))
+        ).drop(f"_h{i}", f"_p{i}")
         joined = marked.join(
-            cold, (F.col(f"_k{i}") == F.col(f"_v{i}")) & (F.col(f"_s{i}") == F.col(f"_vs{i}")), "left"
-        )
-        value = F.coalesce(F.col(f"_hc{i}"), F.col(f"_c{i}"), F.lit(UNSEEN).cast("bigint"))
-        return joined.withColumn(name, value).drop(
-            f"_h{i}", f"_hc{i}", f"_k{i}", f"_s{i}", f"_v{i}", f"_c{i}", f"_vs{i}"
+            entries, (F.col(f"_k{i}") == F.col(f"_v{i}")) & (F.col(f"_s{i}") == F.col(f"_vs{i}")), "left"
         )
+        value = F.coalesce(F.col(f"_c{i}"), F.lit(UNSEEN).cast("bigint"))
+        return joined.withColumn(name, value).drop(f"_k{i}", f"_s{i}", f"_v{i}", f"_c{i}", f"_vs{i}")
+
+    def _counts(self, df: DataFrame, name: str) -> DataFrame:
+        """(value, n) of the table that is scored, map-side combined; of the training table for a stream."""
+        if df.isStreaming:
+            return self.part(name).select("value", "n")
+        values = df.select(col(name).cast("string").alias("value")).where("value is not null")
+        return values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def fit_frequency(df: DataFrame, names: Sequence[str] | None = None, roles: Roles = DEFAULT_ROLES) -> Lookup:

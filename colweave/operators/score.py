@@ -16,21 +16,22 @@ ONE_WINDOW_SCORES = 100_000  # distinct scores that one sorted window may hold
 def align(truth: DataFrame, prediction: DataFrame, key: str = KEY, strict: bool = True) -> DataFrame:
     """(key, target, prediction) joined by key.
 
-    ``strict`` fails the job at the first row that has no partner: the check
-    rides on the join itself and needs no extra pass.
+    ``strict`` fails the job if a key stands on one side only, or twice on a
+    side: both sides are reduced to one row per key (which the join needs
+    anyway), and the check is a filter, so no later step can prune it away.
     """
-    t = truth.select(col(key).alias("_kt"), col(LABEL).alias(LABEL), F.lit(True).alias("_t"))
-    p = prediction.select(col(key).alias("_kp"), col(PREDICTION).alias(PREDICTION), F.lit(True).alias("_p"))
+    t = truth.select(col(key).alias("_kt"), col(LABEL).alias(LABEL))
+    p = prediction.select(col(key).alias("_kp"), col(PREDICTION).alias(PREDICTION))
     match = F.col("_kt") == F.col("_kp")
     if not strict:
         return t.join(p, match, "inner").select(F.col("_kt").alias(key), LABEL, PREDICTION)
+    t = t.groupBy("_kt").agg(F.first(LABEL).alias(LABEL), F.count(F.lit(1)).alias("_nt"))
+    p = p.groupBy("_kp").agg(F.first(PREDICTION).alias(PREDICTION), F.count(F.lit(1)).alias("_np"))
     both = t.join(p, match, "full_outer")
-    paired = F.col("_t").isNotNull() & F.col("_p").isNotNull()
-    wrong = F.raise_error(F.lit("truth and prediction do not hold the same keys"))
-    return both.select(
-        F.coalesce("_kt", "_kp").alias(key),
-        F.when(paired, F.col(LABEL)).otherwise(wrong.cast("double")).alias(LABEL),
-        F.when(paired, F.col(PREDICTION)).otherwise(wrong.cast("double")).alias(PREDICTION),
+    paired = F.coalesce((F.col("_nt") == 1) & (F.col("_np") == 1), F.lit(False))
+    wrong = F.raise_error(F.lit("truth and prediction do not hold the same keys, each once"))
+    return both.where(F.when(paired, F.lit(True)).otherwise(wrong.cast("boolean"))).select(
+        F.col("_kt").alias(key), LABEL, PREDICTION
     )
 
 
@@ -59,7 +60,7 @@ def rmse_two_columns(truth: DataFrame, prediction: DataFrame, key: str = KEY) ->
 
 
 def auc(df: DataFrame, target: str = LABEL, score: str = PREDICTION, one_window: int = ONE_WINDOW_SCORES) -> DataFrame:
-    """Area under the ROC curve, ties at half weight; null when a class is absent.
+    """Area under the ROC curve, ties at half weight; null when a class is absent. Rows without label or score are left out.
 
     Rows are first reduced to one per distinct score (map-side combined, so a
     score shared by a third of the rows is one row). A small score table takes
@@ -67,7 +68,8 @@ def auc(df: DataFrame, target: str = LABEL, score: str = PREDICTION, one_window:
     """
     positive = F.sum(F.when(col(target) == 1, 1).otherwise(0)).alias("pos")
     negative = F.sum(F.when(col(target) == 1, 0).otherwise(1)).alias("neg")
-    by_score = df.groupBy(col(score).alias("score")).agg(positive, negative)
+    known = df.where(col(target).isNotNull() & col(score).isNotNull())
+    by_score = known.groupBy(col(score).alias("score")).agg(positive, negative)
     written = settle(by_score, "scores")
     if written.count() <= one_window:
         below = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,30 +18,86 @@ from colweave.schema import LABEL, col, quoted
 CORRELATION_LIMIT = 0.95
 VARIANCE_LIMIT = 0.001
 EXPLAINED_LIMIT = 0.99
-PAIRS_PER_PASS = 2000
-
+# Bytes of one block of sums, blocks that a task adds up at a time, and bytes of the rows it multiplies at once.
+SUMS_BYTES = 64 << 20
+BLOCKS_PER_PASS = 4
+BATCH_BYTES = 16 << 20
+ROUNDING = 1e-13
+
+
+def _blob_sums(parts: DataFrame, spread: int = 32) -> DataFrame:
+    """(block, sums): arrays of doubles added up per block, in two steps so that no task adds up all of them."""
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, raw in zip(batch.column("block").to_pylist(), batch.column("sums").to_pylist(), strict=True):
+                found = np.frombuffer(raw)
+                total[block] = total[block] + found if block in total else found
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())],
+            names=["block", "sums"],
+        )
 
-# r of x and y over rows where both are filled; null where a side does not vary (corr itself raises there)
-PEARSON = "try_divide(covar_pop(x, y), stddev_pop(x) * stddev_pop(y))"
+    kind = "block int, sums binary"
+    dealt = parts.withColumn("bucket", F.pmod(F.spark_partition_id(), F.lit(spread))).repartition(spread, "block", "bucket")
+    first = dealt.drop("bucket").mapInArrow(add, kind)
+    return first.repartition("block").mapInArrow(add, kind)
 
 
-def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> list[float | None]:
-    """Pearson r of each pair of columns, missing values left out pair by pair.
+def pair_correlations(df: DataFrame, left: Sequence[str], right: Sequence[str] | None = None) -> np.ndarray:
+    """Pearson r of each left with each right column (default: the left ones); missing values left out pair by pair.
 
-    Rows become (pair, x, y) inside the task and are grouped by pair: one pass
-    per 2000 pairs, and a shuffle of one row per pair and task.
+    NaN where a side does not vary. Every task adds up products of whole Arrow
+    batches: one pass over the table whatever the number of pairs (until the
+    sums outgrow a task, at some thousand columns). Columns are shifted by their means first, for precision.
     """
-    out: list[float | None] = []
-    for at in range(0, len(pairs), PAIRS_PER_PASS):
-        batch = pairs[at : at + PAIRS_PER_PASS]
-        cells = ", ".join(
-            f"struct({i} as p, cast({quoted(a)} as double) as x, cast({quoted(b)} as double) as y)"
-            for i, (a, b) in enumerate(batch)
-        )
-        rows = df.selectExpr(f"inline(array({cells}))").where("x is not null and y is not null")
-        found = {r["p"]: r["r"] for r in rows.groupBy("p").agg(F.expr(PEARSON).alias("r")).collect()}
-        out += [found.get(i) for i in range(len(batch))]
-    return out
+    left = list(left)
+    right = left if right is None else list(right)
+    names = list(dict.fromkeys([*left, *right]))
+    if not left or not right:
+        return np.zeros((len(left), len(right)))
+    ends = profile(df, names, sketch=False)
+    shift = np.array([ends[n].mean if ends[n].mean is not None else 0.0 for n in names], float)
+    at = {n: i for i, n in enumerate(names)}
+    a, b = np.array([at[n] for n in left]), np.array([at[n] for n in right])
+    plain = df.selectExpr(*[f"cast({quoted(n)} as double) as _f{i}" for i, n in enumerate(names)])
+    wide = max(1, SUMS_BYTES // (6 * 8 * len(b)))
+    blocks = [a[i : i + wide] for i in range(0, len(a), wide)]
+    rows = max(1, BATCH_BYTES // (8 * len(names)))
+
+    def products(chosen: dict[int, np.ndarray]):  # noqa: ANN202
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = {block: np.zeros((6, len(c), len(b))) for block, c in chosen.items()}
+            for batch in batches:
+                for start in range(0, batch.num_rows, rows):
+                    part = batch.slice(start, rows)
+                    x = np.stack([c.to_numpy(zero_copy_only=False) for c in part.columns], 1).astype(float) - shift
+                    filled = np.isfinite(x)
+                    x, m = np.where(filled, x, 0.0), filled.astype(float)
+                    for block, c in chosen.items():
+                        xa, ma, xb, mb = x[:, c].T, m[:, c].T, x[:, b], m[:, b]
+                        total[block] += np.stack([ma @ mb, xa @ mb, ma @ xb, (xa * xa) @ mb, ma @ (xb * xb), xa @ xb])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())],
+                names=["block", "sums"],
+            )
+
+        return run
+
+    found = np.zeros((6, len(a), len(b)))
+    for first in range(0, len(blocks), BLOCKS_PER_PASS):
+        chosen = dict(enumerate(blocks[first : first + BLOCKS_PER_PASS], first))
+        for row in _blob_sums(plain.mapInArrow(products(chosen), "block int, sums binary")).toLocalIterator():
+            part = np.frombuffer(row["sums"]).reshape(6, -1, len(b))
+            found[:, row["block"] * wide : row["block"] * wide + part.shape[1]] += part
+    n, sx, sy, sxx, syy, sxy = found
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mx, my = sx / n, sy / n
+        vx, vy = sxx / n - mx * mx, syy / n - my * my
+        # Below the rounding of the shifted sums a side counts as constant.
+        still = (vx <= ROUNDING * (sxx / n + shift[a][:, None] ** 2 * ROUNDING)) | (vy <= ROUNDING * (syy / n + shift[b] ** 2 * ROUNDING))
+        return np.where(still, np.nan, (sxy / n - mx * my) / np.sqrt(vx * vy))
 
 
 def assemble(df: DataFrame, names: Sequence[str], out: str = "features", keep: Sequence[str] = ()) -> DataFrame:
@@ -52,68 +108,41 @@ def assemble(df: DataFrame, names: Sequence[str], out: str = "features", keep: S
     return VectorAssembler(inputCols=plain, outputCol=out).transform(safe).drop(*plain)
 
 
-def _full_matrix(df: DataFrame, names: Sequence[str]) -> dict[tuple[str, str], float | None]:
-    """All pairs of columns without missing values, from one matrix; null where a side does not vary."""
-    table = assemble(df, names).persist()
-    try:
-        matrix = Correlation.corr(table, "features").first()[0].toArray()
-    finally:
-        table.unpersist()
-    pairs = ((i, j) for i in range(len(names)) for j in range(i + 1, len(names)))
-    return {(names[i], names[j]): None if math.isnan(matrix[i, j]) else float(matrix[i, j]) for i, j in pairs}
-
-
-def correlation_rows(df: DataFrame, names: Sequence[str], complete: bool = False) -> list[tuple[str, str, float | None]]:
-    """(i, j, r) for every pair i < j in the given order; missing values pair by pair.
-
-    Columns without missing values go through one pass that builds the whole
-    matrix. Pairs with a column that has some are grouped row by row. The
-    result is bounded by the square of the width, never by the rows. ``complete`` says that nothing is missing and
-    saves the profile.
-    """
-    names = list(names)
-    if complete:
-        r = _full_matrix(df, names) if len(names) > 1 else {}
-        return [(a, b, r[(a, b)]) for i, a in enumerate(names) for b in names[i + 1 :]]
-    profiles = profile(df, names, sketch=False)
-    varies = [n for n in names if profiles[n].filled and not profiles[n].constant]
-    dense = [n for n in varies if not profiles[n].has_missing]
-    r: dict[tuple[str, str], float | None] = {}
-    if len(dense) > 1:
-        r.update(_full_matrix(df, dense))
-    rest = set(varies) - set(dense)
-    open_pairs = [(x, y) for i, x in enumerate(varies) for y in varies[i + 1 :] if x in rest or y in rest]
-    r.update(zip(open_pairs, pair_correlations(df, open_pairs), strict=True))
-    return [(a, b, r.get((a, b))) for i, a in enumerate(names) for b in names[i + 1 :]]
-
-
 def correlation_matrix(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Long form (column_i, column_j, r) with i before j."""
-    rows = correlation_rows(df, names)
-    return df.sparkSession.createDataFrame(rows, "column_i string, column_j string, r double")
+    """Long form (column_i, column_j, r) with i before j; missing values pair by pair, null where a side does not vary."""
+    names = list(names)
+    r = pair_correlations(df, names)
+    i, j = np.triu_indices(len(names), 1)
+    label, values = pa.array(names, pa.string()), r[i, j]
+    long = pa.table({
+        "column_i": label.take(pa.array(i)), "column_j": label.take(pa.array(j)), "r": pa.array(values, mask=np.isnan(values)),
+    })
+    return df.sparkSession.createDataFrame(long)
 
 
-def correlated_columns(
-    df: DataFrame, names: Sequence[str], limit: float = CORRELATION_LIMIT, complete: bool = False
-) -> list[str]:
+def correlated_columns(df: DataFrame, names: Sequence[str], limit: float = CORRELATION_LIMIT) -> list[str]:
     """The later column of every pair above the limit, also when the earlier one is dropped too."""
-    late = {b for _, b, r in correlation_rows(df, names, complete) if r is not None and abs(r) > limit}
-    return [n for n in names if n in late]
+    r = np.nan_to_num(np.abs(pair_correlations(df, names)))
+    late = np.triu(r > limit, 1).any(0) if len(names) else ()
+    return [n for n, gone in zip(names, late, strict=True) if gone]
 
 
 def target_correlations(df: DataFrame, names: Sequence[str], label: str = LABEL) -> DataFrame:
     """(column, abs_corr) with the label; null for a column that does not vary."""
-    r = pair_correlations(df, [(n, label) for n in names])
-    out = [(n, None if v is None else abs(v)) for n, v in zip(names, r, strict=True)]
+    r = pair_correlations(df, names, [label])[:, 0]
+    out = [(n, None if np.isnan(v) else float(abs(v))) for n, v in zip(names, r, strict=True)]
     return df.sparkSession.createDataFrame(out, "column string, abs_corr double")
 
 
+def columns_within(width: int, size_bytes: int, limit_bytes: int) -> int:
+    """How many of ``width`` columns shrink a table of ``size_bytes`` to the limit; what a caller may pass as ``k``."""
+    return min(width, int(width / (size_bytes / limit_bytes))) if size_bytes else width
+
+
 def top_by_target(
-    df: DataFrame, names: Sequence[str], size_bytes: int, limit_bytes: int, label: str = LABEL
+    df: DataFrame, names: Sequence[str], k: int, label: str = LABEL
 ) -> DataFrame:
-    """The columns most correlated with the label, as many as shrink the table to the limit."""
-    width = len(names)
-    k = min(width, int(width / (size_bytes / limit_bytes))) if size_bytes else width
+    """The ``k`` columns most correlated with the label; see ``columns_within``."""
     ranked = target_correlations(df, names, label)
     return ranked.orderBy(F.desc_nulls_last("abs_corr"), "column").limit(k)
 

@@ -23,19 +23,19 @@ def in_test(key: str = KEY, share: float = TEST_SHARE, salt: int = OUTER) -> Col
 def split_hash(
     df: DataFrame, share: float = TEST_SHARE, key: str = KEY, salt: int = OUTER
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, test) by key hash: two filters, no shuffle, the same rows on every run."""
-    test = in_test(key, share, salt)
+    """(train, test) by key hash: two filters, no shuffle, the same rows on every run; rows without a key train."""
+    test = F.coalesce(in_test(key, share, salt), F.lit(False))
     return df.where(~test), df.where(test)
 
 
 def split_ordered(df: DataFrame, share: float = TEST_SHARE, key: str = KEY) -> tuple[DataFrame, DataFrame]:
-    """(train, test): the first rows by key train. The cut key is found without a sort."""
-    rows = df.select(col(key)).count()
+    """(train, test): the first rows by key train, and rows without a key. The cut key is found without a sort."""
+    rows = df.where(col(key).isNotNull()).count()
     train_rows = int(rows * (1 - share))
     if train_rows <= 0:
-        return df.limit(0), df
+        return df.where(col(key).isNull()), df.where(col(key).isNotNull())
     cut = rank_cutoffs(df, [train_rows], key)[train_rows]
-    return df.where(col(key) <= F.lit(cut)), df.where(col(key) > F.lit(cut))
+    return df.where((col(key) <= F.lit(cut)) | col(key).isNull()), df.where(col(key) > F.lit(cut))
 
 
 def with_fold(df: DataFrame, folds: int, key: str = KEY, name: str = "fold") -> DataFrame:

@@ -36,19 +36,14 @@ from colweave.operators.encode import (
 )
 from colweave.operators.narrow import Narrowing, fit_floats, fit_integers
 from colweave.operators.nulls import FillPolicy, fill_constant
-from colweave.operators.order import row_prefix
 from colweave.operators.profile import profile, profile_and, row_has_missing
 from colweave.operators.project import EmptyInput, by_denial, by_prefix, guard_features, pick
 from colweave.operators.scale import Scaler
 from colweave.operators.score import auc_of_labels, rmse
 from colweave.operators.select import correlated_columns
 from colweave.plans.models import CLASSIFICATION, REGRESSION, Fitted, Shape, fit
-from colweave.plans.search import depth_search, sample_plan, select_model
-from colweave.schema import KEY, LABEL, Roles, is_number, quoted
-
-
-# A depth search needs rows on both sides of its split.
-LEAST_SEARCH_ROWS = 100
+from colweave.plans.search import depth_search, select_model
+from colweave.schema import KEY, LABEL, Roles, is_number, plain_numbers, quoted
 
 
 @dataclass(frozen=True)
@@ -94,7 +89,7 @@ class Prepared:
     def transform(self, df: DataFrame) -> DataFrame:
         """Key and label (if present) followed by the fitted feature columns."""
         recipe, label = self.recipe, self.roles.label
-        out = expand_dates(df, list(recipe.parts), recipe.empty_date, roles=self.roles)
+        out = expand_dates(plain_numbers(df), list(recipe.parts), recipe.empty_date, roles=self.roles)
         if recipe.fill_first:
             out = self.policy.apply(out, self.roles.features(out.columns))
         out = self.lookup.apply(out) if self.lookup else self.onehot.apply(out)
@@ -110,6 +105,7 @@ def prepare(df: DataFrame, recipe: Recipe = ONEHOT, roles: Roles | None = None,
     """Fit a preparation on a training table."""
     roles = roles or Roles()
     label = roles.label
+    df = plain_numbers(df)
     raw = expand_dates(df, list(recipe.parts), recipe.empty_date, roles=roles)
     names = roles.features(raw.columns)
     table, flag = raw, row_has_missing(names)
@@ -158,7 +154,7 @@ def prepare(df: DataFrame, recipe: Recipe = ONEHOT, roles: Roles | None = None,
     deviation = found.get("label_deviation")
     prepared = Prepared(recipe, roles, policy, onehot, lookup, used, label_deviation=deviation)
     if recipe.drop_correlated:
-        late = set(correlated_columns(prepared.transform(df), used, complete=True))
+        late = set(correlated_columns(prepared.transform(df), used))
         used = [c for c in used if c not in late]
         prepared = replace(prepared, used=used)
     if recipe.scale:
@@ -217,25 +213,20 @@ def train(
 def train_best(
     df: DataFrame, mode: str, candidates: Mapping[str, Estimator], recipe: Recipe = FREQUENCY,
     depths: Sequence[int] | None = None, roles: Roles | None = None, seconds: float | None = None,
+    samples: Sequence[int] = (),
 ) -> tuple[Scorer, DataFrame]:
-    """Prepare, pick the best candidate on a sample, search its depth, refit on all rows.
+    """Prepare, pick the best candidate, search its depth, refit; every step on all rows.
 
-    With a time budget in ``seconds`` the depth search runs on as many rows as
-    the speeds measured for the best candidate allow; none are left, no search.
-    Gives the scorer and the leaderboard of the last round.
+    ``samples`` asks for earlier selection rounds on that many rows. With a
+    time budget in ``seconds`` the depth search stops between fits when the
+    rest is needed for the final fit. Gives the scorer and the leaderboard of the last round.
     """
     prepared = prepare(df, recipe, roles)
-    rows, table = prepared.facts["rows"], prepared.transform(df)
-    name, board = select_model(candidates, table, prepared.used, mode, total=rows)
+    table = prepared.transform(df)
+    name, board = select_model(candidates, table, prepared.used, mode, samples, prepared.facts["rows"])
     best = candidates[name]
     if depths and best.hasParam("maxDepth"):
-        allowed = rows
-        if seconds is not None:
-            plan = sample_plan(board, rows, seconds, len(depths))
-            allowed = plan.where(F.col("model") == F.lit(name)).first()["sample_rows"]
-        if allowed >= LEAST_SEARCH_ROWS:
-            part = table if allowed >= rows else row_prefix(table, allowed)
-            best, _ = depth_search(best, part, prepared.used, mode, depths)
+        best, _ = depth_search(best, table, prepared.used, mode, depths, seconds)
     return Scorer(prepared, fit(best, table, prepared.used), mode), board
 
 
@@ -269,7 +260,11 @@ def run_all(
 
 
 def save(scorer: Scorer, path: str) -> None:
-    """State as one JSON row, the lookup table as parquet, the model in Spark ML's format."""
+    """State as one JSON row, the lookup table as parquet, the model in Spark ML's format.
+
+    Everything goes to a new version folder; the file that names the current
+    version is switched last, so a scorer loaded from ``path`` can be saved there, and a failed save changes nothing.
+    """
     p = scorer.prepared
     state = {
         "mode": scorer.mode, "names": list(scorer.fitted.names), "used": list(p.used), "facts": dict(p.facts),
@@ -280,14 +275,30 @@ def save(scorer: Scorer, path: str) -> None:
         "label_deviation": p.label_deviation,
         "lookup": {"rows": p.lookup.rows, "sizes": {c: list(s) for c, s in p.lookup.sizes.items()}} if p.lookup else None,
     }
-    spark = SparkSession.getActiveSession()
-    spark.createDataFrame([(json.dumps(state),)], "state string").write.mode("overwrite").parquet(f"{path}/state")
+    spark = p.lookup.table.sparkSession if p.lookup else SparkSession.active()
+    version = uuid.uuid4().hex
+    folder = f"{path}/{version}"
+    spark.createDataFrame([(json.dumps(state),)], "state string").write.parquet(f"{folder}/state")
     if p.lookup:
-        p.lookup.table.write.mode("overwrite").parquet(f"{path}/lookup")
-    PipelineModel([scorer.fitted.model]).write().overwrite().save(f"{path}/model")
+        p.lookup.table.write.parquet(f"{folder}/lookup")
+    PipelineModel([scorer.fitted.model]).write().session(spark).save(f"{folder}/model")
+    name, files = _pointer(spark, path)
+    out = files.create(name, True)
+    out.write(bytearray(version, "ascii"))
+    out.close()
+
+
+def _pointer(spark: SparkSession, path: str):
+    """(path of the small file that names the current version, its file system)"""
+    jvm = spark.sparkContext._jvm
+    name = jvm.org.apache.hadoop.fs.Path(f"{path}/current")
+    return name, name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def load(spark: SparkSession, path: str) -> Scorer:
+    """The scorer saved last; versions saved before stay readable for those who hold them."""
+    name, _ = _pointer(spark, path)
+    path = f"{path}/{spark.read.text(name.toString()).first()[0]}"
     state = json.loads(spark.read.parquet(f"{path}/state").first()["state"])
     lookup = None
     if state["lookup"]:

@@ -14,15 +14,13 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from colweave.operators.order import row_prefix
+from colweave.functions.scalars import HASH_MODULUS, row_hash
 from colweave.operators.score import auc_of_labels, neg_mse
-from colweave.operators.split import INNER, TEST_SHARE, split_hash, with_fold
+from colweave.operators.split import FOLDS, INNER, TEST_SHARE, split_hash, with_fold
 from colweave.plans.models import REGRESSION, Fitted, vectors
-from colweave.schema import LABEL
+from colweave.schema import KEY, LABEL, col
 
-# Sample of the first selection round, smallest train part, searched depths, safety factor.
-SAMPLE_ROWS = 10_000
-LEAST_TRAIN_ROWS = 7_500
+# Searched depths, safety factor.
 DEPTHS = list(range(2, 16))
 REFIT_FACTOR = 3
 SMALL_TIME = 1e-10
@@ -48,16 +46,11 @@ def _timed_fit(estimator: Estimator, train: DataFrame, test: DataFrame, rows: tu
 def leaderboard(candidates: Mapping[str, Estimator], df: DataFrame, names: Sequence[str], mode: str) -> DataFrame:
     """(model, score, fit_rows_s, predict_rows_s) of each candidate.
 
-    Below 7,500 rows a candidate is scored on the rows it was fitted on, else
-    on a quarter of the rows, chosen by key.
+    A candidate is fitted on three quarters of the rows, chosen by key, and scored on the others, whatever their number.
     """
     table = vectors(df, names).persist()
-    rows = table.count()
-    train, test, sizes = table, table, (rows, rows)
-    if rows >= LEAST_TRAIN_ROWS:
-        train, test = split_hash(table, salt=INNER)
-        held = test.count()
-        sizes = (rows - held, held)
+    train, test = split_hash(table, salt=INNER)
+    sizes = (train.count(), test.count())
     found = []
     for name, estimator in candidates.items():
         found.append((name, *_timed_fit(estimator, train, test, sizes, mode)))
@@ -78,15 +71,20 @@ def winner(board: DataFrame) -> DataFrame:
 
 def select_model(
     candidates: Mapping[str, Estimator], df: DataFrame, names: Sequence[str], mode: str,
-    samples: Sequence[int] = (SAMPLE_ROWS,), total: int | None = None,
+    samples: Sequence[int] = (), total: int | None = None,
 ) -> tuple[str, DataFrame]:
-    """Rounds on growing row prefixes; after each, the candidates below the mean drop out."""
+    """Rounds on growing samples, then on all rows; after each, the candidates below the mean drop out.
+
+    There are no samples unless the caller asks for them. About as many rows as asked for are drawn by a hash of the key,
+    so a sample is no older or newer than the table.
+    """
     left = dict(candidates)
-    total = df.count() if total is None else total
+    total = df.count() if samples and total is None else total
     board = None
-    for rows in samples:
-        board = leaderboard(left, row_prefix(df, min(rows, total)), names, mode)
-        if rows >= total:
+    for rows in [n for n in samples if n < total] + [None]:
+        drawn = df if rows is None else df.where(row_hash(col(KEY), FOLDS) < F.lit(int(HASH_MODULUS * rows / total)))
+        board = leaderboard(left, drawn, names, mode)
+        if rows is None:
             break
         kept = {r["model"] for r in survivors(board).collect()}
         left = {n: e for n, e in left.items() if n in kept}
@@ -127,23 +125,36 @@ def first_best(trials: DataFrame, step: str = "depth", score: str = "score") ->
 
 
 def depth_search(
-    estimator: Estimator, df: DataFrame, names: Sequence[str], mode: str, depths: Sequence[int] = tuple(DEPTHS)
+    estimator: Estimator, df: DataFrame, names: Sequence[str], mode: str, depths: Sequence[int] = tuple(DEPTHS),
+    seconds: float | None = None, refit_factor: float = REFIT_FACTOR,
 ) -> tuple[Estimator, DataFrame]:
-    """(estimator at the kept depth, table (depth, score) of the depths tried)."""
+    """(estimator at the kept depth, table (depth, score, stopped_early) of the depths tried), always on all rows.
+
+    With ``seconds`` the search ends once the time left would not hold another
+    step like the last one and the final fit; the best so far is kept and the table says so.
+    """
+    began, stopped = time.monotonic(), False
     table = vectors(df, names).persist()
     train, test = split_hash(table, salt=INNER)
     tried: list[tuple[int, float]] = []
     best = estimator
     for depth in depths:
+        start = time.monotonic()
         trial = estimator.copy({estimator.maxDepth: depth})
         score = _score(Fitted(trial.fit(train), ()).predict_vectors(test), mode)
-        worse = bool(tried) and tried[-1][1] > score
+        # No score (one class only in the held-out part) ranks below any other.
+        worse = bool(tried) and (score is None or (tried[-1][1] is not None and tried[-1][1] > score))
         tried.append((depth, score))
         if worse:
             break
         best = trial
+        spent = time.monotonic() - start
+        if seconds is not None and time.monotonic() - began + spent + refit_factor * spent > seconds:
+            stopped = depth != depths[-1]
+            break
     table.unpersist()
-    return best, df.sparkSession.createDataFrame(tried, "depth int, score double")
+    rows = [(depth, score, stopped) for depth, score in tried]
+    return best, df.sparkSession.createDataFrame(rows, "depth int, score double, stopped_early boolean")
 
 
 def grid_search(

@@ -128,6 +128,18 @@ def one_missing(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def plain_numbers(df: DataFrame) -> DataFrame:
+    """Numbers as every step expects them: decimals as doubles, and null in place of NaN and the infinities."""
+    changed = {}
+    for field in df.schema.fields:
+        c = col(field.name)
+        if isinstance(field.dataType, T.DecimalType):
+            changed[field.name] = c.cast("double")
+        elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            changed[field.name] = F.when(F.abs(c) < F.lit(float("inf")), c)
+    return df.withColumns(changed) if changed else df
+
+
 def is_number(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.NumericType)
 

@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from colweave.operators.narrow import TYPE_WIDTHS
 from colweave.operators.order import row_prefix
 from colweave.operators.project import pick_present
-from colweave.schema import DEFAULT_ROLES, KEY, Roles, one_missing, prefix_schema
+from colweave.schema import DEFAULT_ROLES, KEY, MISSING_TEXTS, Roles, col, one_missing, prefix_schema
 
 # Sampled rows of an estimate, fast-mode rows, cell budget, safety factor.
 ESTIMATE_ROWS = 200
 FAST_ROWS = 1000
 CELL_BUDGET = 10**7
 ESTIMATE_SAFETY = 0.8
+# Files whose first line is read at the same time.
+HEADER_READERS = 16
 
 
 def all_rows(limit: int | str | None) -> bool:
@@ -24,19 +29,93 @@ def all_rows(limit: int | str | None) -> bool:
     return limit is None or limit == "" or int(limit) == -1
 
 
+def _headers(spark: SparkSession, path: str, sep: str) -> dict[tuple[str, ...], list[str]]:
+    """Header -> files that have it. One line of every file is read, many files at a time."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").collect()
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first_line(name: str) -> tuple[str, ...]:
+        file = jvm.org.apache.hadoop.fs.Path(name)
+        stream, codec = file.getFileSystem(conf).open(file), codecs.getCodec(file)
+        reader = jvm.java.io.BufferedReader(
+            jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8")
+        )
+        line = reader.readLine()
+        reader.close()
+        return tuple(next(csv.reader([line.lstrip("\ufeff")], delimiter=sep))) if line else ()
+
+    names = sorted(r.path for r in listed)
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        heads = list(pool.map(first_line, names))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for name, head in zip(names, heads, strict=True):
+        if head:
+            found.setdefault(head, []).append(name)
+    return found
+
+
+def _as_text(spark: SparkSession, path: str, sep: str, multi_line: bool) -> DataFrame:
+    """All cells as text, columns by name whatever their place in each file. A record that does not fit its header fails."""
+    reader = spark.read.option("header", True).option("sep", sep).option("escape", '"').option("multiLine", multi_line)
+    parts = []
+    for head, files in _headers(spark, path, sep).items():
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in head])
+        parts.append(reader.schema(schema).option("mode", "FAILFAST").csv(files))
+    if not parts:
+        raise ValueError(f"no file with a header under {path}")
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part, allowMissingColumns=True)
+    return whole
+
+
+def _given(name: str) -> Column:
+    """Null for a missing-value text."""
+    return F.when(~col(name).isin(MISSING_TEXTS), col(name))
+
+
 def scan_csv(
     spark: SparkSession, path: str, limit: int | str | None = None, columns: Sequence[str] | None = None,
-    roles: Roles = DEFAULT_ROLES, sep: str = ",",
+    roles: Roles = DEFAULT_ROLES, sep: str = ",", multi_line: bool = False, bad: str = "fail",
 ) -> DataFrame:
     """CSV with header; types follow from the column names, so no inference pass runs.
 
-    ``limit`` keeps the first rows by key, ``columns`` those that exist.
+    Columns go by the header of each file; a column that a file lacks is null
+    there. ``multi_line`` allows line breaks in quotes, at the price that a file
+    cannot be split; without it such a record fails. A cell that is neither a
+    missing-value text nor of its column's type fails the job, or is missing with
+    ``bad="null"`` (``bad_cells`` counts them). ``limit`` keeps the first rows by key, ``columns`` those that exist.
     """
-    reader = spark.read.option("header", True).option("sep", sep).option("escape", '"')
-    header = reader.option("inferSchema", False).csv(path).columns
-    # quoted line breaks need whole-file reads, which cannot be split: not used
-    df = one_missing(reader.schema(prefix_schema(header, roles)).csv(path))
-    return limited(df, limit, columns)
+    text = _as_text(spark, path, sep, multi_line)
+    typed = []
+    for field in prefix_schema(text.columns, roles).fields:
+        given = _given(field.name)
+        if not isinstance(field.dataType, T.StringType):
+            kind = field.dataType.simpleString()
+            value = F.trim(given).try_cast(kind)
+            if bad == "fail":
+                wrong = F.raise_error(F.concat(F.lit(f"not a {kind} in {field.name}: "), given)).cast(kind)
+                value = F.when(given.isNotNull(), F.coalesce(value, wrong))
+            given = value
+        typed.append(given.alias(field.name))
+    return limited(one_missing(text.select(*typed)), limit, columns)
+
+
+def bad_cells(
+    spark: SparkSession, path: str, roles: Roles = DEFAULT_ROLES, sep: str = ",", multi_line: bool = False
+) -> DataFrame:
+    """(column, bad): cells of each typed column that are neither missing nor of its type."""
+    text = _as_text(spark, path, sep, multi_line)
+    typed = [f for f in prefix_schema(text.columns, roles).fields if not isinstance(f.dataType, T.StringType)]
+    counts = [
+        F.struct(
+            F.lit(f.name).alias("column"),
+            F.count_if(_given(f.name).isNotNull() & F.trim(col(f.name)).try_cast(f.dataType.simpleString()).isNull()).alias("bad"),
+        )
+        for f in typed
+    ]
+    return text.agg(F.array(*counts).alias("cells")).select(F.inline("cells"))
 
 
 def limited(df: DataFrame, limit: int | str | None = None, columns: Sequence[str] | None = None, key: str = KEY) -> DataFrame:
@@ -79,8 +158,11 @@ def bounded_rows(estimated_rows: float, width: int, fast: bool = False) -> int |
     return None if estimated_rows * ESTIMATE_SAFETY < cap else cap
 
 
-def scan_bounded(spark: SparkSession, path: str, fast: bool = False, roles: Roles = DEFAULT_ROLES) -> DataFrame:
-    """CSV scan whose row count is bounded by the width of the table."""
-    df = scan_csv(spark, path, roles=roles)
-    rows = estimate(spark, path, 1).first()["rows"]
-    return limited(df, bounded_rows(rows, len(df.columns), fast))
+def scan_bounded(
+    spark: SparkSession, path: str, most_rows: int | None = None, roles: Roles = DEFAULT_ROLES
+) -> DataFrame:
+    """CSV scan of the whole table, or of its first ``most_rows`` rows by key if the caller sets that.
+
+    ``bounded_rows`` suggests a limit for a table's width; nothing is cut unless it is passed on.
+    """
+    return limited(scan_csv(spark, path, roles=roles), most_rows)

@@ -97,10 +97,23 @@ def test_frequency_paths_agree_on_a_hot_value(spark):
     assert "SortMergeJoin" not in plan_of(small)
 
 
-def test_hot_rows_spread_over_salts(spark):
-    fitted = encode.fit_frequency(_skewed(spark))
-    plan = fitted.apply(_skewed(spark), most_rows=10)._jdf.queryExecution().optimizedPlan().toString()
-    assert "xxhash64(line_id" in plan
+def test_hot_missing_and_unseen_rows_are_spread(spark):
+    values = F.when(F.col("id") % 8 < 4, "hot").when(F.col("id") % 8 < 6, "unseen").when(F.col("id") % 8 < 7, F.concat(F.lit("v"), F.col("id")))
+    df = spark.range(16_000).select(F.col("id").alias("line_id"), values.alias("id_0"))
+    fitted = encode.fit_frequency(df.where("id_0 != 'unseen'"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        coded = fitted.apply(df, most_rows=0, hot_rows=200)
+        sizes = [r["count"] for r in coded.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / len(sizes)
+        assert {r["id_0"]: r["count"] for r in coded.groupBy("id_0").count().collect()} == {8000: 8000, -1: 6000, 1: 2000}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_frequency_without_text_columns(spark):

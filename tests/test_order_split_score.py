@@ -116,3 +116,25 @@ def test_align_refuses_unmatched_keys(spark, extra):
     with pytest.raises(Exception, match="same keys"):
         score.rmse(score.align(truth, guess)).collect()
     assert score.align(truth, guess, strict=False).count() == 3
+
+
+def test_align_sees_repeated_and_missing_keys_under_any_action(spark):
+    truth = spark.createDataFrame([(1, 1.0), (2, 2.0)], "line_id bigint, target double")
+    for rows in ([(1, 1.0)], [(1, 1.0), (2, 2.0), (2, 3.0)], [(1, 1.0), (3, 2.0)], [(1, 1.0), (2, 2.0), (None, 2.0)]):
+        guess = spark.createDataFrame(rows, "line_id bigint, prediction double")
+        with pytest.raises(Exception, match="same keys"):
+            score.align(truth, guess).count()
+
+
+def test_auc_leaves_out_rows_without_label_or_score(spark):
+    rows = [(1, 0.9), (0, 0.1), (None, 0.5), (1, None)]
+    assert score.auc(spark.createDataFrame(rows, "target int, prediction double")).first()[0] == 1.0
+
+
+def test_keys_with_only_high_bits_and_without_value_are_split(spark):
+    high = spark.range(4000).select((F.col("id") * (1 << 31)).alias("line_id"))
+    train, test = split.split_hash(high)
+    assert 0.2 < test.count() / 4000 < 0.3
+    loose = spark.createDataFrame([(None,), (1,), (2,), (3,), (4,)], "line_id bigint")
+    for train, test in (split.split_hash(loose), split.split_ordered(loose)):
+        assert train.count() + test.count() == 5

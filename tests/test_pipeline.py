@@ -115,7 +115,7 @@ def test_train_best_and_batch(spark, folder, orders):
     assert board.count() == 1 and scorer.predict(test).count() == test.count()
     forest = {"forest": models.forest(models.REGRESSION, 3)}
     hurried, _ = pipeline.train_best(train, models.REGRESSION, forest, depths=[2, 3], seconds=0.0)
-    assert hurried.fitted.model.getMaxDepth() == forest["forest"].getMaxDepth()
+    assert hurried.fitted.model.getMaxDepth() == 2
     sets = {
         "orders": (models.REGRESSION, train, test),
         "events": (models.CLASSIFICATION, *split.split_hash(tables.events_features(spark, folder))),
@@ -140,3 +140,27 @@ def test_spread_keeps_pruning_and_pushdown(spark, folder):
     plan = plan_of(df)
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double>" in plan
     assert "GreaterThan(o_totalprice,1000.0)" in plan
+
+
+def test_a_loaded_scorer_can_be_saved_to_its_own_folder(spark, tmp_path, orders):
+    path = str(tmp_path / "m")
+    made = pipeline.train(orders, models.REGRESSION, models.ridge, pipeline.FREQUENCY)
+    pipeline.save(made, path)
+    pipeline.save(pipeline.load(spark, path), path)
+    assert pipeline.load(spark, path).predict(orders).count() == orders.count()
+
+
+def test_nan_infinity_and_decimals(spark, tmp_path, orders):
+    odd = orders.withColumns({
+        "number_0": F.when(F.col("line_id") % 5 == 0, F.lit(float("nan"))).when(F.col("line_id") % 7 == 0, F.lit(float("inf"))).otherwise(F.col("number_0")),
+        "number_1": F.col("number_1").cast("decimal(10,2)"),
+    })
+    plain = odd.withColumns({
+        "number_0": F.when((F.col("line_id") % 5 != 0) & (F.col("line_id") % 7 != 0), F.col("number_0")),
+        "number_1": F.col("number_1").cast("double"),
+    })
+    a, b = (pipeline.prepare(df, pipeline.ONEHOT).transform(df).orderBy("line_id").collect() for df in (odd, plain))
+    assert a == b
+    made = pipeline.train(odd, models.REGRESSION, models.ridge, pipeline.ONEHOT)
+    pipeline.save(made, str(tmp_path / "d"))
+    assert pipeline.load(spark, str(tmp_path / "d")).predict(odd).where("prediction is null").count() == 0

@@ -30,7 +30,7 @@ def _columns(df, names):
 
 def test_correlations_pair_by_pair(numbers):
     x = _columns(numbers, NAMES)
-    got = {(a, b): r for a, b, r in select.correlation_rows(numbers, NAMES)}
+    got = {(a, b): r for a, b, r in select.correlation_matrix(numbers, NAMES).collect()}
     for i, a in enumerate(NAMES):
         for j in range(i + 1, len(NAMES)):
             r = got[(a, NAMES[j])]
@@ -46,7 +46,7 @@ def test_many_columns_use_several_blocks(spark):
     rows = [tuple(rnd.random() if rnd.random() > 0.1 else None for _ in range(15)) for _ in range(60)]
     df = spark.createDataFrame(rows, ", ".join(f"number_{i} double" for i in range(15)))
     x = _columns(df, df.columns)
-    got = {(a, b): r for a, b, r in select.correlation_rows(df, df.columns)}
+    got = {(a, b): r for a, b, r in select.correlation_matrix(df, df.columns).collect()}
     assert len(got) == 15 * 14 // 2
     for (a, b), r in got.items():
         i, j = df.columns.index(a), df.columns.index(b)
@@ -57,12 +57,11 @@ def test_many_columns_use_several_blocks(spark):
 def test_later_column_of_each_pair_goes(spark):
     df = spark.range(50).selectExpr("id * 1.0D a", "id * 2.0D b", "id * -3.0D c", "pmod(id * 37, 50) * 1.0D d")
     assert select.correlated_columns(df, ["a", "b", "c", "d"]) == ["b", "c"]
-    assert select.correlated_columns(df, ["a", "b", "c", "d"], complete=True) == ["b", "c"]
 
 
 def test_top_by_target(numbers):
     x = _columns(numbers, [*NAMES, "target"])
-    ranked = select.top_by_target(numbers, NAMES, 100, 50).collect()
+    ranked = select.top_by_target(numbers, NAMES, select.columns_within(5, 100, 50)).collect()
     assert len(ranked) == 2
     by_hand = {}
     for i, n in enumerate(NAMES[:4]):
@@ -71,7 +70,7 @@ def test_top_by_target(numbers):
     order = sorted(by_hand, key=by_hand.get, reverse=True)
     assert {r["column"] for r in ranked} == set(order[:2])
     assert ranked[0]["abs_corr"] == pytest.approx(by_hand[order[0]])
-    assert select.top_by_target(numbers, NAMES, 100, 1000).count() == 5
+    assert select.top_by_target(numbers, NAMES, select.columns_within(5, 100, 1000)).count() == 5
 
 
 def test_variance(spark):

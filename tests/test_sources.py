@@ -31,7 +31,7 @@ def _csv(tmp_path, text, name="t.csv"):
 
 def test_csv_missing_spellings(spark, tmp_path):
     path = _csv(tmp_path, "line_id,target,number_0,string_0\n1,1,NaN,n/a\n2,0,,NULL\n3,1,2.5,x\n4,1,abc,\n")
-    rows = scan.scan_csv(spark, path).orderBy("line_id").collect()
+    rows = scan.scan_csv(spark, path, bad="null").orderBy("line_id").collect()
     assert [(r["number_0"], r["string_0"]) for r in rows] == [(None, None), (None, None), (2.5, "x"), (None, None)]
 
 
@@ -61,10 +61,33 @@ def test_bounded_rows():
     assert scan.bounded_rows(10**5, 42) is None
 
 
-def test_scan_bounded_fast(spark, tmp_path):
+def test_scan_bounded_cuts_only_what_the_caller_asks_for(spark, tmp_path):
     path = _csv(tmp_path, "line_id,number_0\n" + "".join(f"{i},1\n" for i in range(3000, 0, -1)))
-    got = scan.scan_bounded(spark, path, fast=True).agg(F.count("line_id"), F.max("line_id")).first()
-    assert tuple(got) == (1000, 1000)
+    ends = F.count("line_id"), F.max("line_id")
+    assert tuple(scan.scan_bounded(spark, path, 1000).agg(*ends).first()) == (1000, 1000)
+    assert tuple(scan.scan_bounded(spark, path).agg(*ends).first()) == (3000, 3000)
+
+
+def test_columns_go_by_the_header_of_each_file(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "a.csv").write_text("line_id,number_0,number_1\n1,10,20\n")
+    (tmp_path / "t" / "b.csv").write_text("number_1,line_id,string_0\n40,2,x\n")
+    got = scan.scan_csv(spark, str(tmp_path / "t")).orderBy("line_id").collect()
+    assert [tuple(r) for r in got] == [(1, 10.0, 20.0, None), (2, None, 40.0, "x")]
+
+
+def test_quoted_line_breaks_and_bad_numbers(spark, tmp_path):
+    path = _csv(tmp_path, 'line_id,string_0,number_0\n1,"a\nb ""c""",2\n2,x,N/A\n')
+    got = [tuple(r) for r in scan.scan_csv(spark, path, multi_line=True).orderBy("line_id").collect()]
+    assert got == [(1, 'a\nb "c"', 2.0), (2, "x", None)]
+    with pytest.raises(Exception, match=".*"):
+        scan.scan_csv(spark, path).collect()
+    (tmp_path / "bad").mkdir()
+    path = _csv(tmp_path / "bad", "line_id,number_0,number_1\n1,bad,1\n2,3,\n")
+    with pytest.raises(Exception, match="not a double in number_0: bad"):
+        scan.scan_csv(spark, path).collect()
+    assert [r.number_0 for r in scan.scan_csv(spark, path, bad="null").orderBy("line_id").collect()] == [None, 3.0]
+    assert {r["column"]: r["bad"] for r in scan.bad_cells(spark, path).collect()} == {"line_id": 0, "number_0": 1, "number_1": 0}
 
 
 def test_prediction_sink_replaces(spark, tmp_path):
