@@ -163,6 +163,37 @@ _SQL: dict[str, str] = {}
 
 
 
+# ---------------------------------------------------------------- what must hold of fits and random values
+
+_EVENT_TEST = HASH.format(k="event_id") + " < 1073741824"
+_NUMBER_FACTS = orders(f"select line_id, true is_finite, true beats_mean from f where {IN_TEST}")
+_EVENT_FACTS = f"select event_id line_id, true in_range from events where {_EVENT_TEST}"
+for _name in ("fit_gbt_reg", "fit_forest", "train_onehot", "train_freq"):
+    _SQL[_name] = _NUMBER_FACTS
+for _name in ("fit_gbt_cls", "fit_linear_svm", "predict_proba", "score_replay"):
+    _SQL[_name] = _EVENT_FACTS
+_SQL["fit_document_quality"] = "select doc_id line_id, true in_range from documents join labels using (doc_id)"
+_SQL["fit_logistic"] = "select true every_feature, true balanced"
+_SQL["run_id"] = "select cast(count(*) as bigint) \"rows\", cast(1 as bigint) ids, 36 length from orders"
+_SQL["estimate_rows"] = "select count(*) \"rows\", true rows_near, true row_size_near from orders"
+_SQL["pca_k99"] = "select cast(64 as bigint) components, true sums_to_one, true kept_by_rule"
+_SQL["candidate_leaderboard"] = "select unnest(['boost_fast', 'boost_slow']) model, true scored, true timed"
+_SQL["automl_leaderboard"] = (
+    "select unnest(['linear', 'forest', 'boost_fast', 'boost_slow', 'linear_svm']) model, true scored, true timed"
+)
+_SQL["grid_search"] = (
+    "select 'maxDepth=' || d || ', stepSize=' || s params, true scored from "
+    "(select unnest(['2', '4']) d), (select unnest(['0.1', '0.3']) s)"
+)
+_SQL["depth_search"] = "select true in_order, true steady, true ended, true kept_rule"
+_SQL["boost_curve"] = "select cast(10 as bigint) rounds, true comes_down, true positive"
+_SQL["feature_response"] = "select true shares_one, true bounded"
+_SQL["batch_runs"] = orders(
+    f"select 'orders' dataset, 'regression' \"mode\", count(*) \"rows\", true score_ok, true timed, true named from f where not ({IN_TEST}) "
+    f"union all select 'events', 'classification', count(*), true, true, true from events where not ({_EVENT_TEST})"
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 

@@ -123,7 +123,12 @@ def scan_csv_quoted(spark, folder):
 
 @query
 def estimate_rows(spark, folder):
-    return scan.estimate(spark, _orders_csv(spark, folder))
+    """How far the estimate from the first lines is off: within a tenth of the rows, and of a row's bytes as written."""
+    path = _orders_csv(spark, folder)
+    found, rows = scan.estimate(spark, path).first(), orders(spark, folder).count()
+    size = scan.file_bytes(spark, path) / rows
+    near = abs(found["rows"] - rows) <= rows / 10, abs(found["row_size"] - size) <= size / 10
+    return spark.createDataFrame([(rows, *near)], "rows bigint, rows_near boolean, row_size_near boolean")
 
 
 @query
@@ -420,7 +425,8 @@ def zero_pad(spark, folder):
 
 @query
 def run_id(spark, folder):
-    return _order_metrics(spark, folder).withColumn("run_id", scalars.run_id())
+    named = _order_metrics(spark, folder).withColumn("run_id", scalars.run_id())
+    return named.agg(F.sum("rows").alias("rows"), F.countDistinct("run_id").alias("ids"), F.max(F.length("run_id")).alias("length"))
 
 
 # ---------------------------------------------------------------- narrower types
@@ -639,7 +645,10 @@ def mutual_info_select(spark, folder):
 @query
 def pca_k99(spark, folder):
     df = tables.embedding_features(spark, folder)
-    return select.principal_components(df, project.by_prefix(df.columns)).table(spark)
+    found = select.principal_components(df, project.by_prefix(df.columns)).table(spark)
+    total = F.abs(F.max("cumulative") - 1) < 1e-9
+    kept = F.count_if(F.col("kept")) == F.count_if(F.col("cumulative") <= select.EXPLAINED_LIMIT) + 1
+    return found.agg(F.count(F.lit(1)).alias("components"), total.alias("sums_to_one"), kept.alias("kept_by_rule"))
 
 
 @query
@@ -719,6 +728,16 @@ def sample_size_plan(spark, folder):
 # ---------------------------------------------------------------- models
 
 
+def _facts(scored: DataFrame, regression: bool = True) -> DataFrame:
+    """What must hold of predictions whose values no SQL can give: per row finite and, for labels or
+    probabilities, within 0 to 1; for numbers, half the squared error of the mean or less over all rows."""
+    if not regression:
+        return scored.select("line_id", F.col("prediction").between(0.0, 1.0).alias("in_range"))
+    gap = F.col("target") - F.col("prediction")
+    better = scored.agg(F.avg(gap * gap) <= F.var_pop("target") / 2).first()[0]
+    return scored.select("line_id", (F.abs("prediction") < float("inf")).alias("is_finite"), F.lit(better).alias("beats_mean"))
+
+
 def _frequency_split(spark, folder):
     """Prepared (train, test) tables of the orders with their feature names."""
     train, test = split.split_hash(orders(spark, folder))
@@ -744,44 +763,53 @@ def fit_ridge(spark, folder):
 def fit_logistic(spark, folder):
     train, test, names = _event_split(spark, folder)
     fitted = models.fit(models.logistic(models.Shape.of(train, names)), train, names)
-    return response.importances(fitted, spark)
+    # The intercept carries no penalty, so at the optimum the mean probability is the share of the class.
+    scored = fitted.predict(train, True)
+    gap = scored.agg(F.abs(F.avg("prediction") - F.avg("target"))).first()[0]
+    found = response.importances(fitted, spark)
+    return found.agg((F.count(F.lit(1)) == len(names)).alias("every_feature"), (F.lit(gap) < 1e-4).alias("balanced"))
 
 
 @query
 def fit_gbt_reg(spark, folder):
     train, test, names = _frequency_split(spark, folder)
-    return models.fit(models.boosted(models.REGRESSION, ROUNDS), train, names).predict(test)
+    return _facts(models.fit(models.boosted(models.REGRESSION), train, names).predict(test))
 
 
 @query
 def fit_gbt_cls(spark, folder):
     train, test, names = _event_split(spark, folder)
-    return models.fit(models.boosted(models.CLASSIFICATION, ROUNDS), train, names).predict(test)
+    return _facts(models.fit(models.boosted(models.CLASSIFICATION, ROUNDS), train, names).predict(test), False)
 
 
 @query
 def fit_forest(spark, folder):
     train, test, names = _frequency_split(spark, folder)
-    return models.fit(models.forest(models.REGRESSION, 10), train, names).predict(test)
+    return _facts(models.fit(models.forest(models.REGRESSION), train, names).predict(test))
 
 
 @query
 def fit_linear_svm(spark, folder):
     train, test, names = _event_split(spark, folder)
-    return models.fit(models.linear_svm(models.Shape.of(train, names), rounds=20), train, names).predict(test)
+    return _facts(models.fit(models.linear_svm(models.Shape.of(train, names)), train, names).predict(test), False)
 
 
 @query
 def fit_document_quality(spark, folder):
     df = tables.labelled_documents(spark, folder)
     scorer = pipeline.train(df, models.CLASSIFICATION, models.logistic, pipeline.ONEHOT)
-    return scorer.predict(df, probability=True)
+    return _facts(scorer.predict(df, probability=True), False)
+
+
+def _board_facts(board: DataFrame) -> DataFrame:
+    """(model, scored, timed) of a leaderboard."""
+    return board.select("model", F.col("score").isNotNull().alias("scored"), ((F.col("fit_rows_s") > 0) & (F.col("predict_rows_s") > 0)).alias("timed"))
 
 
 @query
 def candidate_leaderboard(spark, folder):
     train, _, names = _frequency_split(spark, folder)
-    return search.leaderboard(models.boosted_pair(models.REGRESSION, ROUNDS // 2), train, names, models.REGRESSION)
+    return _board_facts(search.leaderboard(models.boosted_pair(models.REGRESSION, ROUNDS // 2), train, names, models.REGRESSION))
 
 
 def _single_column_board(spark, folder):
@@ -828,14 +856,26 @@ def first_best_rule(spark, folder):
 def depth_search(spark, folder):
     train, _, names = _frequency_split(spark, folder)
     estimator = models.boosted(models.REGRESSION, 3)
-    return search.depth_search(estimator, train, names, models.REGRESSION, [2, 3, 4])[1]
+    best, tried = search.depth_search(estimator, train, names, models.REGRESSION)
+    rows = [tuple(r) for r in tried.orderBy("depth").collect()]
+    # No score before the last is worse than the one before it, and the kept depth is the last that was not worse.
+    steady = all(a[1] <= b[1] for a, b in zip(rows, rows[1:-1], strict=False))
+    dropped = len(rows) > 1 and rows[-1][1] < rows[-2][1]
+    kept = rows[-2][0] if dropped else rows[-1][0]
+    first = [r[0] for r in rows] == search.DEPTHS[: len(rows)]
+    ended = dropped or len(rows) == len(search.DEPTHS)
+    return spark.createDataFrame(
+        [(first, steady, ended, best.getMaxDepth() == kept)], "in_order boolean, steady boolean, ended boolean, kept_rule boolean"
+    )
 
 
 @query
 def grid_search(spark, folder):
     train, _, names = _frequency_split(spark, folder)
     estimator = models.boosted(models.REGRESSION, 3)
-    return search.grid_search(estimator, {"maxDepth": [2, 4], "stepSize": [0.1, 0.3]}, train, names, models.REGRESSION)[1]
+    return search.grid_search(estimator, {"maxDepth": [2, 4], "stepSize": [0.1, 0.3]}, train, names, models.REGRESSION)[1].select(
+        "params", (F.col("score") < 0).alias("scored")
+    )
 
 
 @query
@@ -848,26 +888,38 @@ def predict_label(spark, folder):
 def predict_proba(spark, folder):
     train, test = split.split_hash(events(spark, folder))
     scorer = pipeline.train(train, models.CLASSIFICATION, models.logistic, pipeline.ONEHOT)
-    return scorer.predict(test, probability=True)
+    return _facts(scorer.predict(test, probability=True), False)
 
 
 @query
 def automl_leaderboard(spark, folder):
     train, _, names = _event_split(spark, folder)
     candidates = models.all_families(models.CLASSIFICATION, models.Shape.of(train, names), rounds=3)
-    return search.leaderboard(candidates, train, names, models.CLASSIFICATION)
+    return _board_facts(search.leaderboard(candidates, train, names, models.CLASSIFICATION))
+
+
+def _curve_facts(curve: DataFrame) -> DataFrame:
+    """Rounds, and whether boosting brought the error down from the first to the last."""
+    last = F.max(F.struct("iter", "rmse"))["rmse"]
+    first = F.min(F.struct("iter", "rmse"))["rmse"]
+    return curve.agg(F.count(F.lit(1)).alias("rounds"), (last < first).alias("comes_down"), (F.min("rmse") > 0).alias("positive"))
 
 
 @query
 def boost_curve(spark, folder):
     train, test, names = _frequency_split(spark, folder)
-    return response.boost_curve(models.fit(models.boosted(models.REGRESSION, ROUNDS), train, names), test)
+    curve = response.boost_curve(models.fit(models.boosted(models.REGRESSION, ROUNDS), train, names), test)
+    return _curve_facts(curve)
 
 
 @query
 def feature_response(spark, folder):
     train, test, names = _frequency_split(spark, folder)
-    return response.feature_table(models.fit(models.boosted(models.REGRESSION, ROUNDS), train, names), test)
+    found = response.feature_table(models.fit(models.boosted(models.REGRESSION, ROUNDS), train, names), test)
+    # Mean sizes bound mean changes, and all importances share one.
+    bounded = F.bool_and((F.abs("fr_dec") <= F.col("frd_abs") + 1e-9) & (F.abs("fr_inc") <= F.col("fri_abs") + 1e-9))
+    share = F.abs(F.sum("importance") - 1) < 1e-9
+    return found.agg(share.alias("shares_one"), F.coalesce(bounded, F.lit(False)).alias("bounded"))
 
 
 @query
@@ -982,16 +1034,16 @@ def replay_freq(spark, folder):
 def train_onehot(spark, folder):
     train, test = split.split_hash(orders(spark, folder))
     scorer = pipeline.train(train, models.REGRESSION, models.ridge, pipeline.ONEHOT)
-    return scorer.predict(test)
+    return _facts(scorer.predict(test))
 
 
 @query
 def train_freq(spark, folder):
     train, test = split.split_hash(orders(spark, folder))
     scorer, _ = pipeline.train_best(
-        train, models.REGRESSION, models.boosted_pair(models.REGRESSION, 5), pipeline.FREQUENCY, depths=[2, 3]
+        train, models.REGRESSION, models.boosted_pair(models.REGRESSION, ROUNDS), pipeline.FREQUENCY, depths=search.DEPTHS[:4]
     )
-    return scorer.predict(test)
+    return _facts(scorer.predict(test))
 
 
 @query
@@ -1000,7 +1052,7 @@ def score_replay(spark, folder):
     scorer = pipeline.train(train, models.CLASSIFICATION, models.logistic, pipeline.FILL_FIRST)
     path = scratch_path(spark, "scored")
     sinks.save_predictions(scorer.predict(test.drop("target"), probability=True), path)
-    return spark.read.schema("line_id bigint, prediction double").option("header", True).csv(path)
+    return _facts(spark.read.schema("line_id bigint, prediction double").option("header", True).csv(path), False)
 
 
 @query
@@ -1009,4 +1061,10 @@ def batch_runs(spark, folder):
         "orders": (models.REGRESSION, *split.split_hash(orders(spark, folder))),
         "events": (models.CLASSIFICATION, *split.split_hash(events(spark, folder))),
     }
-    return pipeline.run_all(spark, sets, models.linear, pipeline.FREQUENCY)
+    runs = pipeline.run_all(spark, sets, models.linear, pipeline.FREQUENCY)
+    path = scratch_path(spark, "batch-metrics")
+    sinks.append_metrics(runs, path)
+    back = spark.read.schema(runs.schema).option("header", True).csv(path)
+    score_ok = F.when(F.col("mode") == models.REGRESSION, F.col("score") > 0).otherwise(F.col("score").between(0.3, 1.0))
+    timed = (F.col("train_seconds") > 0) & (F.col("predict_seconds") > 0)
+    return back.select("dataset", "mode", "rows", score_ok.alias("score_ok"), timed.alias("timed"), (F.length("run_id") == 36).alias("named"))
