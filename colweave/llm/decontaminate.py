@@ -71,9 +71,12 @@ class Index:
             self.bags.append(self.bag(words[a:b], weights[a:b]))
             if b > a:
                 prints[k] = _fingerprints(_signed_sums(words[a:b], weights[a:b]), np.zeros(1, np.int64), b - a)[0]
-        for size in np.unique(self.sizes[self.sizes > 0]):
+        size_of = np.repeat(self.sizes, np.diff(offsets))
+        self.grams_of: dict[int, np.ndarray] = {}
+        for size in np.unique(self.sizes[self.sizes > 0]).tolist():
             items = np.flatnonzero(self.sizes == size)
-            self.by_size[int(size)] = items, prints[items]
+            self.by_size[size] = items, prints[items]
+            self.grams_of[size] = np.unique(grams[size_of == size])
 
     def weights(self, words: np.ndarray) -> np.ndarray:
         at, known = _member(words, self.vocabulary)
@@ -135,17 +138,21 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 def _matches(words: np.ndarray, index: Index) -> list[tuple[int, float, int]]:
     """(item, similarity, first word) of the best window of every item found in one text."""
     p, n = index.p, len(words)
-    seeds_of = {w: index.seeds(shingles(words, np.array([0, n]), w)[0]) for w in {*index.short, p.words} if w <= n}
+    runs = {w: shingles(words, np.array([0, n]), w)[0] for w in {*index.short, p.words} if w <= n}
+    seeds_of = {w: index.seeds(grams) for w, grams in runs.items()}
     weights = index.weights(words)
     sums = _signed_sums(words, weights)
     best: dict[int, tuple[float, int]] = {}
     for size, (items, prints) in index.by_size.items():
         if size > n:
             continue
-        # Windows of the item's size that hold at least one seed.
-        opened = np.zeros(n + 1, np.int32)
+        # Windows of this size that hold at least one shingle of an item of this size.
         width = min(p.words, size)
         seeds = seeds_of[width]
+        seeds = seeds[_member(runs[width][seeds], index.grams_of[size])[1]]
+        if not len(seeds):
+            continue
+        opened = np.zeros(n + 1, np.int32)
         np.add.at(opened, np.maximum(0, seeds + width - size), 1)
         np.add.at(opened, np.minimum(seeds, n - size) + 1, -1)
         starts = np.flatnonzero(np.cumsum(opened[: n - size + 1]) > 0)
