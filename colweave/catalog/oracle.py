@@ -516,12 +516,13 @@ _SQL["variance_filter"] = "select * from (" + union(
 _MI_COLUMNS = [*NUMBERS, "number_const", *DATES]
 
 
-def _bin(c: str) -> str:
-    share = f"(cast({c} as double) - min({c}) over ()) / (max({c}) over () - min({c}) over ()) * 16"
-    return f"case when max({c}) over () = min({c}) over () then 0 else least(cast(floor({share}) as bigint), 15) end"
-
-
-_BINNED = "b as (select " + ", ".join(f"{_bin(c)} b_{c}" for c in [*_MI_COLUMNS, "target"]) + " from xf)"
+_SHARES = f"[{', '.join(str(k / 16) for k in range(1, 16))}]"
+_CUTS = "cuts as (select " + ", ".join(
+    f"list_distinct(quantile_disc(cast({c} as double), {_SHARES})) q_{c}" for c in [*_MI_COLUMNS, "target"]
+) + " from xf)"
+_BINNED = _CUTS + ", b as (select " + ", ".join(
+    f"len(list_filter(q_{c}, lambda e: e < cast({c} as double))) b_{c}" for c in [*_MI_COLUMNS, "target"]
+) + " from xf, cuts)"
 _JOINT = "j as (" + union(
     f"select '{c}' \"column\", b_{c} bx, b_target byy, count(*) n from b group by 2, 3" for c in _MI_COLUMNS
 ) + ")"
@@ -531,9 +532,9 @@ _MI = (
     "cast(sum(n) over (partition by \"column\", bx) as double) / sum(n) over (partition by \"column\") px, "
     "cast(sum(n) over (partition by \"column\", byy) as double) / sum(n) over (partition by \"column\") py from j) group by 1)"
 )
-_SQL["mutual_info"] = orders(f"select \"column\", {r('mi')} mi from mi", X, XF, _BINNED, _JOINT, _MI)
+_SQL["mutual_info"] = orders(f"select \"column\", {r('mi', 2)} mi from mi", X, XF, _BINNED, _JOINT, _MI)
 _SQL["mutual_info_select"] = orders(
-    f"select \"column\", {r('mi')} mi from mi where mi > (select avg(mi) + 0.5 * stddev_pop(mi) from mi)",
+    f"select \"column\", {r('mi', 2)} mi from mi where mi > (select avg(mi) + 0.5 * stddev_pop(mi) from mi)",
     X, XF, _BINNED, _JOINT, _MI,
 )
 _SQL["pca_two_columns"] = orders(

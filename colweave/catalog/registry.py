@@ -632,14 +632,15 @@ def variance_filter(spark, folder):
 @query
 def mutual_info(spark, folder):
     df = nulls.fill_constant(expanded(spark, folder))
-    return rounded(select.mutual_information(df, [*ORDER_NUMBERS, "number_const", *DATE_NUMBERS]))
+    # Cuts are found by sketch, so the estimate is stated to two digits.
+    return rounded(select.mutual_information(df, [*ORDER_NUMBERS, "number_const", *DATE_NUMBERS]), 2)
 
 
 @query
 def mutual_info_select(spark, folder):
     df = nulls.fill_constant(expanded(spark, folder))
     table = select.mutual_information(df, [*ORDER_NUMBERS, "number_const", *DATE_NUMBERS])
-    return rounded(select.above_spread(table, "mi", 0.5))
+    return rounded(select.above_spread(table, "mi", 0.5), 2)
 
 
 @query
