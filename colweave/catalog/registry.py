@@ -979,7 +979,10 @@ def score_auc_labels(spark, folder):
 @query
 def run_metrics(spark, folder):
     prepared = pipeline.prepare(orders(spark, folder), pipeline.FILL_FIRST)
-    return pipeline.run_metrics(spark, prepared, dataset="orders_features")
+    found = pipeline.run_metrics(spark, prepared, dataset="orders_features")
+    steps = [c for c in found.columns if c.startswith("seconds_")]
+    timed = F.lit(all(prepared.seconds[c.removeprefix("seconds_")] > 0 for c in steps))
+    return found.drop(*steps).withColumns({"steps": F.lit(len(steps)), "timed": timed})
 
 
 # ---------------------------------------------------------------- whole plans

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from colweave.operators.order import dense_codes
 from colweave.operators.profile import ColumnProfile, profile
 from colweave.schema import DEFAULT_ROLES, KEY, Roles, batches, col, is_number, literal, quoted
-from colweave.session import settle
+from colweave.session import discard, settle
 
 # Limits of the encoder variants.
 ONEHOT_MOST_VALUES = 20
@@ -66,11 +66,16 @@ def choose_by_budget(
 def choose_by_width(
     profiles: Mapping[str, ColumnProfile], width: int, big: bool = False, most_columns: int = CAP_MOST_COLUMNS
 ) -> dict[str, int]:
-    """Columns in table order until the next one would pass ``most_columns``; none of a big table."""
+    """Columns in table order until the next one would pass ``most_columns``; none of a table the caller calls big.
+
+    A column whose number of values is only estimated has more than any limit here allows for.
+    """
     out: dict[str, int] = {}
     for name, p in {} if big else profiles.items():
         if width + p.distinct > most_columns:
             break
+        if not p.exact:
+            raise ValueError(f"{name}: over {most_columns} columns asked for, but its values are only estimated")
         out[name] = p.values
         width += p.values
     return out
@@ -78,9 +83,13 @@ def choose_by_width(
 
 @dataclass(frozen=True)
 class OneHot:
-    """Fitted values per column, in value order; None stands for missing."""
+    """Fitted values per column, in value order; None stands for missing.
+
+    ``left_out`` has the values that a limit kept out of a chosen column.
+    """
 
     values: Mapping[str, Sequence[Any]]
+    left_out: Mapping[str, Sequence[Any]] = field(default_factory=dict)
 
     @classmethod
     def fit(cls, df: DataFrame, chosen: Mapping[str, int]) -> OneHot:
@@ -98,8 +107,9 @@ class OneHot:
                 aggs += [f"sort_array(collect_set({c})) as s{i}", f"bool_or({c} is null) as m{i}"]
             row = df.selectExpr(*aggs).first()
             for i, n in enumerate(batch):
-                found[n] = (list(row[f"s{i}"]) + ([None] if row[f"m{i}"] else []))[: chosen[n]]
-        return cls(found)
+                found[n] = list(row[f"s{i}"]) + ([None] if row[f"m{i}"] else [])
+        cut = {n: v[chosen[n] :] for n, v in found.items() if len(v) > chosen[n]}
+        return cls({n: v[: chosen[n]] for n, v in found.items()}, cut)
 
     def names(self) -> list[str]:
         return [onehot_name(c, v) for c, values in self.values.items() for v in values]
@@ -120,6 +130,13 @@ class OneHot:
         rows = [(c, None if v is None else str(v), i) for c, vs in self.values.items() for i, v in enumerate(vs)]
         return spark.createDataFrame(rows, "column string, value string, position int")
 
+    def dropped(self, spark, profiles: Mapping[str, ColumnProfile] | None = None) -> DataFrame:
+        """(column, value): values that a limit left out; with ``profiles`` also the columns with 3 or more
+        values that were not encoded at all (value null and ``whole`` true)."""
+        rows = [(c, None if v is None else str(v), False) for c, vs in self.left_out.items() for v in vs]
+        rows += [(n, None, True) for n, p in (profiles or {}).items() if p.values > 2 and n not in self.values]
+        return spark.createDataFrame(rows, "column string, value string, whole boolean")
+
 
 def _comparable(name: str, dtype) -> str:
     c = quoted(name)
@@ -280,4 +297,5 @@ def fit_dictionary(
     distinct = {r["column"]: r["d"] for r in counted.groupBy("column").agg(F.count(F.lit(1)).alias("d")).collect()}
     chosen = [n for n in text if rows and distinct.get(n, 0) / rows < most_share]
     coded = settle(dense_codes(counted.where(F.col("column").isin(chosen)), "column", "value"), "codes")
+    discard(counted)
     return Lookup.of(coded, rows, chosen)

@@ -81,6 +81,7 @@ class Prepared:
     scaler: Scaler | None = None
     label_deviation: float | None = None
     facts: Mapping[str, Any] = field(default_factory=dict)
+    seconds: Mapping[str, float] = field(default_factory=dict)  # of the steps of the fit
 
     @property
     def shape(self) -> Shape:
@@ -106,6 +107,12 @@ def prepare(df: DataFrame, recipe: Recipe = ONEHOT, roles: Roles | None = None,
     roles = roles or Roles()
     label = roles.label
     df = plain_numbers(df)
+    seconds, since = {}, time.monotonic()
+
+    def passed(step: str) -> None:
+        nonlocal since
+        seconds[step], since = time.monotonic() - since, time.monotonic()
+
     raw = expand_dates(df, list(recipe.parts), recipe.empty_date, roles=roles)
     names = roles.features(raw.columns)
     table, flag = raw, row_has_missing(names)
@@ -116,6 +123,7 @@ def prepare(df: DataFrame, recipe: Recipe = ONEHOT, roles: Roles | None = None,
         more["label_deviation"] = f"stddev_pop({quoted(label)})"
     profiles, found = profile_and(table, names, recipe.encoder != "frequency", more)
     missing = found["missing"]
+    passed("profile")
     table = table.drop("_missing")
     rows = profiles[names[0]].rows if names else 0
     if rows < 2:
@@ -136,6 +144,7 @@ def prepare(df: DataFrame, recipe: Recipe = ONEHOT, roles: Roles | None = None,
         onehot = OneHot.fit(table, choose_by_count(profiles))
     if lookup is None:
         table = onehot.apply(table)
+    passed("encode")
     # the indicator of "missing" is 0 on every row, hence constant
     constant += [onehot_name(c, None) for c, values in onehot.values.items() if None in values]
 
@@ -157,9 +166,11 @@ def prepare(df: DataFrame, recipe: Recipe = ONEHOT, roles: Roles | None = None,
         late = set(correlated_columns(prepared.transform(df), used))
         used = [c for c in used if c not in late]
         prepared = replace(prepared, used=used)
+        passed("select")
     if recipe.scale:
         prepared = replace(prepared, scaler=Scaler.fit(prepared.transform(df), used))
-    return replace(prepared, facts={**facts, "used_columns": len(used)})
+        passed("scale")
+    return replace(prepared, facts={**facts, "used_columns": len(used)}, seconds=seconds)
 
 
 def compact(df: DataFrame, roles: Roles | None = None) -> DataFrame:
@@ -231,8 +242,9 @@ def train_best(
 
 
 def run_metrics(spark: SparkSession, prepared: Prepared, **more: Any) -> DataFrame:
-    """One row of run metrics: the counts of a fit plus what the caller measured."""
-    row = {**prepared.facts, **more}
+    """One row of run metrics: the counts of a fit, the seconds of its steps, and what the caller measured
+    (best method, its parameters, sizes)."""
+    row = {**prepared.facts, **{f"seconds_{k}": float(v) for k, v in prepared.seconds.items()}, **more}
     return spark.createDataFrame([tuple(row.values())], list(row))
 
 

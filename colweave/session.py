@@ -66,6 +66,15 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
 
 
+def discard(*settled: DataFrame) -> None:
+    """Delete settled tables that nothing reads any more."""
+    for df in settled:
+        context = df.sparkSession.sparkContext
+        for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settle(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
