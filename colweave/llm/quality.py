@@ -23,8 +23,9 @@ class Params:
     its language that the model has not seen, plus ``margin`` times the distance from the median to it.
 
     One in ``hold_out`` trusted documents sets the limits instead of training.
-    A task looks up at most ``shard_rows`` rows of the model at a time. Trusted ids
-    up to ``broadcast_ids`` travel to the tasks, more are joined by shuffle.
+    A task looks up at most ``shard_rows`` rows of the model at a time, and the driver passes on at most
+    ``shards_per_pass`` such shards before the sums so far are written down. Trusted ids up to
+    ``broadcast_ids`` travel to the tasks, more are joined by shuffle.
     """
 
     order: int = 5
@@ -32,6 +33,7 @@ class Params:
     margin: float = 0.5
     hold_out: int = 5
     shard_rows: int = 1_500_000
+    shards_per_pass: int = 4
     broadcast_ids: int = 2_000_000
 
 
@@ -202,8 +204,9 @@ class _Lookup:
         return out
 
 
-def _shards(scores: DataFrame, order: int, p: Params) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The scored runs as (hashes, log-probabilities), in pieces of bounded size."""
+def _shards(scores: DataFrame, p: Params) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The scored runs as (hashes, log-probabilities), in pieces of bounded size, one after the other."""
+    order = p.order
 
     def name(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,8 +224,9 @@ def _shards(scores: DataFrame, order: int, p: Params) -> Iterator[tuple[np.ndarr
         yield table.column("key").to_numpy().view(np.uint64), table.column("score").to_numpy()
 
 
-def _scored(docs: DataFrame, shards: list[tuple[np.ndarray, np.ndarray]], order: int) -> DataFrame:
-    """All rows and columns with ``log_likelihood`` and ``characters``; every shard adds what it knows."""
+def _scored(docs: DataFrame, scores: DataFrame, p: Params) -> DataFrame:
+    """All rows and columns with ``log_likelihood`` and ``characters``; every shard of the scores adds what it knows."""
+    order = p.order
     docs = docs.withColumns({"text": F.col("text").cast("string"), "log_likelihood": F.lit(0.0), "characters": F.lit(0).cast("long")})
     fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     names = docs.columns
@@ -245,7 +249,9 @@ def _scored(docs: DataFrame, shards: list[tuple[np.ndarray, np.ndarray]], order:
 
         return run
 
-    for keys, values in shards:
+    for k, (keys, values) in enumerate(_shards(scores, p)):
+        if k and k % p.shards_per_pass == 0:
+            docs = settle(docs, "scored")
         docs = docs.mapInArrow(add(keys, values), fields)
     return docs
 
@@ -271,14 +277,13 @@ def assess(docs: DataFrame, labels: DataFrame, params: Params | None = None) ->
     model = train(docs.where(~held).join(good, "doc_id", "left_semi"), p.order)
     needed = settle(_grams(docs, p.order).select("gram"), "runs")
     scores = settle(probabilities(needed, model, p.order), "scores")
-    shards = list(_shards(scores, p.order, p))
     model.forget()
-    discard(needed, scores)
+    discard(needed)
 
     # Limits come from a histogram in steps of a thousandth: exact to that step, and bounded in size.
     language = F.coalesce(F.col("lang").cast("string"), F.lit(""))
     loss = F.try_divide(-F.col("log_likelihood"), F.col("characters"))
-    sample = _scored(docs.where(held).join(good, "doc_id", "left_semi").select("text", "lang"), shards, p.order)
+    sample = _scored(docs.where(held).join(good, "doc_id", "left_semi").select("text", "lang"), scores, p)
     bins = sample.where("characters > 0").select(F.floor(loss * 1000).alias("bin"), F.explode(F.array(language, F.lit(None).cast("string"))).alias("language"))
     counted = bins.groupBy("language", "bin").agg(F.count(F.lit(1)).alias("n"))
     limits = {}
@@ -296,7 +301,9 @@ def assess(docs: DataFrame, labels: DataFrame, params: Params | None = None) ->
         pairs = F.create_map(*[F.lit(x) for item in sorted(limits.items()) for x in item])
         limit = F.coalesce(F.element_at(pairs, language), limit)
     full = F.col("characters") > 0
-    return _scored(docs, shards, p.order).withColumns({
+    scored = _scored(docs, scores, p)
+    discard(scores)
+    return scored.withColumns({
         "perplexity": F.when(full, F.exp(loss)),
         "perplexity_limit": F.exp(limit),
         "accepted": ~F.coalesce(full & (loss > limit), F.lit(False)),
