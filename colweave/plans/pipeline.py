@@ -44,6 +44,7 @@ from colweave.operators.select import correlated_columns
 from colweave.plans.models import CLASSIFICATION, REGRESSION, Fitted, Shape, fit
 from colweave.plans.search import depth_search, select_model
 from colweave.schema import KEY, LABEL, Roles, is_number, plain_numbers, quoted
+from colweave.session import discard, settle
 
 
 @dataclass(frozen=True)
@@ -215,10 +216,16 @@ def train(
     df: DataFrame, mode: str, estimator: Callable[[Shape], Estimator] | Estimator,
     recipe: Recipe = ONEHOT, roles: Roles | None = None,
 ) -> Scorer:
-    """Prepare and fit. ``estimator`` may be a function of the prepared table's shape."""
+    """Prepare and fit. ``estimator`` may be a function of the prepared table's shape.
+
+    The source is read once: its rows are settled for the passes of the fit and deleted after it.
+    """
+    df = settle(df, "train")
     prepared = prepare(df, recipe, roles)
     made = estimator if isinstance(estimator, Estimator) else estimator(prepared.shape)
-    return Scorer(prepared, fit(made, prepared.transform(df), prepared.used), mode)
+    fitted = fit(made, prepared.transform(df), prepared.used)
+    discard(df)
+    return Scorer(prepared, fitted, mode)
 
 
 def train_best(
@@ -232,13 +239,16 @@ def train_best(
     time budget in ``seconds`` the depth search stops between fits when the
     rest is needed for the final fit. Gives the scorer and the leaderboard of the last round.
     """
+    df = settle(df, "train")
     prepared = prepare(df, recipe, roles)
-    table = prepared.transform(df)
+    table = settle(prepared.transform(df), "prepared")
     name, board = select_model(candidates, table, prepared.used, mode, samples, prepared.facts["rows"])
     best = candidates[name]
     if depths and best.hasParam("maxDepth"):
         best, _ = depth_search(best, table, prepared.used, mode, depths, seconds)
-    return Scorer(prepared, fit(best, table, prepared.used), mode), board
+    fitted = fit(best, table, prepared.used)
+    discard(df, table)
+    return Scorer(prepared, fitted, mode), board
 
 
 def run_metrics(spark: SparkSession, prepared: Prepared, **more: Any) -> DataFrame:

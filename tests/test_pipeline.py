@@ -164,3 +164,16 @@ def test_nan_infinity_and_decimals(spark, tmp_path, orders):
     made = pipeline.train(odd, models.REGRESSION, models.ridge, pipeline.ONEHOT)
     pipeline.save(made, str(tmp_path / "d"))
     assert pipeline.load(spark, str(tmp_path / "d")).predict(odd).where("prediction is null").count() == 0
+
+
+def test_a_fit_reads_its_source_once(spark, orders):
+    rows = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+
+    source = orders.mapInArrow(counted, orders.schema)
+    pipeline.train(source, models.REGRESSION, models.ridge, pipeline.FREQUENCY)
+    assert rows.value == orders.count()
