@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +14,10 @@ from colweave.plans.models import Fitted, vectors
 from colweave.schema import LABEL
 
 
+# Each feature adds two copies of a row's vector while they are scored.
+FEATURES_AT_A_TIME = 4
+
+
 def importances(fitted: Fitted, spark) -> DataFrame:
     """(feature, importance); coefficients' size for a linear model."""
     if hasattr(fitted.model, "featureImportances"):
@@ -28,13 +33,34 @@ def responses(fitted: Fitted, df: DataFrame, features: Sequence[str], half: Mapp
     """How the prediction moves when one feature goes down or up by half its deviation.
 
     (feature, delta, fr_dec, fr_inc, frd_abs, fri_abs, frd_mad, fri_mad): mean
-    change, mean and median size of the change. Every row is scored in its own
-    task for all shifts at once; only sums and quantile sketches are shuffled.
+    change, mean and median size of the change. A linear model's responses
+    follow from its coefficients, and a feature that no tree splits on has
+    none. For the others, a few features at a time, every row is scored in its
+    own task for all their shifts; only sums and quantile sketches are shuffled.
     """
     if half is None:
         stats = Scaler.fit(df, features).stats
         half = {n: (stats[n][1] or 0.0) / 2 for n in features}
     position = {n: i for i, n in enumerate(fitted.names)}
+    still = {}
+    if isinstance(fitted.model, LinearRegressionModel):
+        still = {n: float(fitted.model.coefficients[position[n]]) * half[n] for n in features}
+    elif hasattr(fitted.model, "featureImportances"):
+        weights = fitted.model.featureImportances
+        still = {n: 0.0 for n in features if weights[position[n]] == 0.0}
+    kind = "feature string, fr_dec double, fr_inc double, frd_abs double, fri_abs double, frd_mad double, fri_mad double, delta double"
+    rows = [(n, -c, c, abs(c), abs(c), abs(c), abs(c), float(half[n])) for n, c in still.items()]
+    table = df.sparkSession.createDataFrame(rows, kind)
+    moving = [n for n in features if n not in still]
+    for i in range(0, len(moving), FEATURES_AT_A_TIME):
+        table = table.unionByName(_moved(fitted, df, moving[i : i + FEATURES_AT_A_TIME], half, position))
+    return table
+
+
+def _moved(
+    fitted: Fitted, df: DataFrame, features: Sequence[str], half: Mapping[str, float], position: Mapping[str, int]
+) -> DataFrame:
+    """Responses of a few features, by scoring every row once per shift."""
     base = fitted.model.transform(vectors(df, fitted.names)).select(
         vector_to_array("features").alias("_x"), F.col("prediction").alias("_base")
     )
