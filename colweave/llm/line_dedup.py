@@ -148,7 +148,7 @@ def _extended(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             after = size
             while i + after < len(a) and j + after < len(b) and a[i + after] == b[j + after]:
                 after += 1
-            # Within one text the first place itself must not fall to a run that overlaps it from the left.
+            # Each line that goes equals one further to the front, so every line stays somewhere.
             rows.append((r["doc"], r["first"] - before, r["first"] + after))
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int32()))], names=["doc", "start", "stop"]
