@@ -19,7 +19,6 @@ from typing import Any
 from pyspark.ml.base import Estimator
 from pyspark.ml.pipeline import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from colweave.functions.dates import FIVE_PARTS, SIX_PARTS, expand_dates
 from colweave.operators.encode import (
