@@ -155,12 +155,15 @@ def train(trusted: DataFrame, order: int) -> Model:
 def probabilities(grams: DataFrame, model: Model, k: int) -> DataFrame:
     """(gram, p) of distinct runs of k characters, by joins with the counts of every order below.
 
-    p = alpha(run) + gamma(context) * p(run without its first character).
+    p = alpha(run) + gamma(context) * p(run without its first character). Every
+    order is settled, as each is read twice: a plan stays as small as one order.
     """
     if k == 1:
         return grams.join(model.weights[0], "gram", "left").select("gram", (F.coalesce("alpha", F.lit(0.0)) + model.floor).alias("p"))
     shorter = F.substring("gram", 2, k - 1)
-    lower = probabilities(grams.select(shorter.alias("gram")).distinct(), model, k - 1)
+    needed = settle(grams.select(shorter.alias("gram")).distinct(), "runs")
+    lower = settle(probabilities(needed, model, k - 1), "scores")
+    model.settled.extend([needed, lower])
     joined = (
         grams.select("gram", F.substring("gram", 1, k - 1).alias("context"), shorter.alias("shorter"))
         .join(model.weights[k - 1], "gram", "left")
