@@ -1,7 +1,8 @@
-"""Repeated runs of lines: winnowed fingerprints, joined positions, runs extended both ways."""
+"""Repeated passages: winnowed fingerprints of words, joined positions, runs extended both ways."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -10,229 +11,320 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colweave.llm.tables import discard, salted_join, settle
+from colweave.llm.tables import bounded, discard, salted_join, settle
 from colweave.llm.text import LOWER, NOT_SPACE, flat, mix, ragged, slices, span_hash, word_spans
 
 _BASE = np.uint64(0xD6E8FEB86659FD93)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 @dataclass(frozen=True)
 class Params:
     """Runs of under ``least_words`` words are never deleted; every repeated run of ``sure_words`` or more is.
 
-    A run is compared for up to ``reach`` lines beyond its fingerprint, either
-    way; longer runs hold more fingerprints.
+    Runs begin and end at any word, also inside a line. What a run holds beside its outermost fingerprints
+    is compared for up to ``reach`` words either way; more than ``sure_words`` words would hold another fingerprint.
     """
 
     least_words: int = 40
     sure_words: int = 50
-    reach: int = 16
-
-
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc, doc_id, at, hash, words): numbers, hashes and word counts of the lines that have words."""
-
-    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
-            data, offsets = flat(part.column("text"))
-            low = LOWER[data]
-            starts, ends, first = word_spans(low, offsets, NOT_SPACE)
-            breaks = np.cumsum(data == 10)
-            # The number of a word's line, counted over the slice; texts start lines of their own.
-            line = breaks[starts] if len(starts) else starts
-            owner = np.repeat(np.arange(part.num_rows), np.diff(first))
-            before = np.concatenate([[0], breaks])[offsets[:-1]]
-            new = np.ones(len(starts), bool)
-            new[1:] = (line[1:] != line[:-1]) | (owner[1:] != owner[:-1])
-            begin = np.flatnonzero(new)
-            words = np.diff(np.append(begin, len(starts)))
-            place = (np.arange(len(starts)) - np.repeat(begin, words)).astype(np.uint64)
-            spread = mix(span_hash(low, starts, ends) + place * _BASE)
-            hashes = mix(np.add.reduceat(spread, begin)) if len(begin) else spread
-            bounds = np.searchsorted(begin, first)
-            at = line[begin] - before[owner[begin]]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc"), part.column("doc_id"), ragged(at, bounds, pa.int32()),
-                    ragged(hashes.view(np.int64), bounds, pa.int64()), ragged(words, bounds, pa.int32()),
-                ],
-                names=["doc", "doc_id", "at", "hash", "words"],
-            )
-
-    return docs.mapInArrow(read, "doc long, doc_id long, at array<int>, hash array<long>, words array<int>")
+    reach: int = 50
 
 
 def _ends(words: np.ndarray, least: int) -> np.ndarray:
-    """For every start line the end of the shortest run of ``least`` words, or one past the last line + 1."""
+    """For every start the end of the shortest run of ``least`` words, or one past the last unit + 1."""
     total = np.concatenate([[0], np.cumsum(words)])
     return np.searchsorted(total, total[:-1] + least)
 
 
-def winnow(hashes: np.ndarray, words: np.ndarray, p: Params) -> list[tuple[int, int, int]]:
-    """(fingerprint, first line, end line) of the chosen runs of one text.
-
-    A gram is the shortest run of ``least_words`` words from a line on; a window
-    is the shortest of ``sure_words``. Every window gives the smallest of the
-    grams inside it (the last of equals), so two texts that share a window share a fingerprint.
-    """
+def _smallest(value: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Place of the smallest of value[low:high], the last of equals, for every pair."""
+    best = [np.arange(len(value))]
+    while len(low) and (1 << len(best)) <= int((high - low).max()):
+        half = 1 << (len(best) - 1)
+        a, b = best[-1][:-half], best[-1][half:]
+        best.append(np.where(value[b] <= value[a], b, a))
+    level = np.frexp((high - low).astype(float))[1] - 1
+    out = np.zeros(len(low), np.int64)
+    for k, places in enumerate(best):
+        at = np.flatnonzero(level == k)
+        a, b = places[low[at]], places[high[at] - (1 << k)]
+        out[at] = np.where(value[b] <= value[a], b, a)
+    return out
+
+
+def _choose(hashes: np.ndarray, words: np.ndarray, first: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(fingerprints, first units, end units) of texts that stand one after the other, text k from unit first[k] on."""
     n = len(hashes)
     gram_end, window_end = _ends(words, p.least_words), _ends(words, p.sure_words)
     total = np.zeros(n + 1, np.uint64)
-    power = np.ones(n + 1, np.uint64)
+    power, inverse = np.full((2, n + 1), 1, np.uint64)
     power[1:] = np.cumprod(np.full(n, _BASE), dtype=np.uint64)
+    # A run's hash must not depend on where it stands: divide by the power of its first unit.
+    inverse[1:] = np.cumprod(np.full(n, _INVERSE), dtype=np.uint64)
     total[1:] = np.cumsum(hashes.view(np.uint64) * power[:n], dtype=np.uint64)
     whole = np.flatnonzero(gram_end <= n)
-    # A run's hash must not depend on where it stands: divide by the power of its first line.
-    inverse = np.ones(n + 1, np.uint64)
-    inverse[1:] = np.cumprod(np.full(n, np.uint64(pow(int(_BASE), -1, 1 << 64))), dtype=np.uint64)
     value = mix((total[gram_end[whole]] - total[whole]) * inverse[whole])
     # Grams end in the order they start, so those inside a window are consecutive.
-    chosen, queue, head, stop = [], [], 0, 0
-    for start in np.flatnonzero(window_end <= n).tolist():
-        while stop < len(whole) and gram_end[whole[stop]] <= window_end[start]:
-            while len(queue) > head and value[queue[-1]] >= value[stop]:
-                queue.pop()
-            queue.append(stop)
-            head = min(head, len(queue) - 1)
-            stop += 1
-        while whole[queue[head]] < start:
-            head += 1
-        if not chosen or chosen[-1] != queue[head]:
-            chosen.append(queue[head])
-    signed = value.view(np.int64)
-    return [(int(signed[g]), int(whole[g]), int(gram_end[whole[g]])) for g in chosen]
-
-
-def _fingerprints(lines: DataFrame, p: Params) -> DataFrame:
-    """(gram, nameless, doc_id, doc, first, end, low, near): chosen runs with the lines around them."""
+    start = np.flatnonzero(window_end <= np.repeat(first[1:], np.diff(first)))
+    low = np.searchsorted(whole, start)
+    high = np.searchsorted(gram_end[whole], window_end[start], "right")
+    chosen = np.unique(_smallest(value, low, high))
+    return value[chosen].view(np.int64), whole[chosen], gram_end[whole[chosen]]
+
+
+def winnow(hashes: np.ndarray, words: np.ndarray, p: Params) -> list[tuple[int, int, int]]:
+    """(fingerprint, first unit, end unit) of the chosen runs of one text of units of so many words.
+
+    A gram is the shortest run of ``least_words`` words from a unit on; a window
+    is the shortest of ``sure_words``. Every window gives the smallest of the
+    grams inside it (the last of equals), so two texts that share a window share a fingerprint.
+    """
+    found = _choose(hashes, words, np.array([0, len(hashes)]), p)
+    return list(zip(*(column.tolist() for column in found), strict=True))
+
+
+def _words(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of the words that are left, first word per text, words that follow a cut)."""
+    data, offsets = flat(part.column("text"))
+    low = LOWER[data]
+    starts, ends, first = word_spans(low, offsets, NOT_SPACE)
+    hashes = span_hash(low, starts, ends)
+    lengths = part.column("starts").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    if not lengths.any():
+        return hashes, first, np.zeros(0, np.int64)
+    base = np.repeat(first[:-1], lengths)
+    begin, stop = (base + part.column(name).flatten().to_numpy(zero_copy_only=False) for name in ("starts", "stops"))
+    depth = np.zeros(len(hashes) + 1, np.int64)
+    np.add.at(depth, begin, 1)
+    np.add.at(depth, stop, -1)
+    left = np.cumsum(depth[:-1]) == 0
+    number = np.concatenate([[0], np.cumsum(left)])
+    return hashes[left], number[first], number[begin]
+
+
+def _fingerprints(texts: DataFrame, p: Params) -> DataFrame:
+    """(gram, nameless, doc_id, doc, first, fresh): chosen runs by their first word; fresh are those beside a cut."""
 
     def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            hashes, first, cuts = _words(part)
+            gram, begin, _ = _choose(hashes, np.ones(len(hashes), np.int64), first, p)
+            row = np.searchsorted(first, begin, "right") - 1
+            # A window over a cut is new, and so may be its choice.
+            fresh = np.searchsorted(cuts, begin - p.sure_words) < np.searchsorted(cuts, begin + p.sure_words, "right")
+            ids = part.column("doc_id").take(pa.array(row))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(gram, pa.int64()), ids.is_null(), ids, part.column("doc").take(pa.array(row)),
+                    pa.array(begin - first[row], pa.int32()), pa.array(fresh, pa.bool_()),
+                ],
+                names=["gram", "nameless", "doc_id", "doc", "first", "fresh"],
+            )
+
+    return texts.mapInArrow(choose, "gram long, nameless boolean, doc_id long, doc long, first int, fresh boolean")
+
+
+def _segments(met: DataFrame, p: Params) -> DataFrame:
+    """(doc, start, stop, other, there): equal fingerprints that overlap and stand as far from each other's first place."""
+
+    def chain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple] = []
-            flat_hash = batch.column("hash").flatten().to_numpy(zero_copy_only=False)
-            flat_words = batch.column("words").flatten().to_numpy(zero_copy_only=False)
-            ends = np.concatenate([[0], np.cumsum(batch.column("hash").value_lengths().to_numpy(zero_copy_only=False))])
-            for doc, doc_id, a, b in zip(batch.column("doc").to_pylist(), batch.column("doc_id").to_pylist(), ends[:-1], ends[1:], strict=True):
-                if flat_words[a:b].sum() < p.sure_words:
-                    continue
-                hashes = flat_hash[a:b]
-                for gram, first, end in winnow(hashes, flat_words[a:b], p):
-                    low = max(0, first - p.reach)
-                    rows.append((gram, doc_id is None, doc_id, doc, first, end, low, hashes[low : end + p.reach]))
-                if len(rows) > 20_000:
-                    yield table(rows)
-                    rows = []
-            yield table(rows)
-
-    def table(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
-        names = ["gram", "nameless", "doc_id", "doc", "first", "end", "low", "near"]
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(8)], names=names)
-
-    return lines.mapInArrow(
-        choose, "gram long, nameless boolean, doc_id long, doc long, first int, end int, low int, near array<long>"
-    )
+            met = batch.column("met")
+            sizes = met.value_lengths().to_numpy(zero_copy_only=False)
+            flat_met = met.flatten()
+            first, other, there = (flat_met.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            doc = np.repeat(batch.column("doc").to_numpy(), sizes)
+            shift = first - there
+            order = np.lexsort([first, shift, other, doc])
+            doc, first, other, shift = (x[order] for x in (doc, first, other, shift))
+            new = np.ones(len(doc), bool)
+            new[1:] = (first[1:] > first[:-1] + p.least_words) | (shift[1:] != shift[:-1]) | (other[1:] != other[:-1]) | (doc[1:] != doc[:-1])
+            a = np.flatnonzero(new)
+            last = np.append(a[1:], len(doc))[: len(a)] - 1
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(doc[a], pa.int64()), pa.array(first[a], pa.int32()), pa.array(first[last] + p.least_words, pa.int32()),
+                    pa.array(other[a], pa.int64()), pa.array(first[a] - shift[a], pa.int32()),
+                ],
+                names=["doc", "start", "stop", "other", "there"],
+            )
+
+    return met.mapInArrow(chain, "doc long, start int, stop int, other long, there int")
+
+
+def _around(texts: DataFrame, p: Params) -> DataFrame:
+    """(doc, start, stop, before, after): the hashes of the words around each of the spots of a text."""
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            hashes, first, _ = _words(part)
+            spots = part.column("spots")
+            sizes = spots.value_lengths().to_numpy(zero_copy_only=False)
+            start, stop = (spots.flatten().field(k).to_numpy(zero_copy_only=False) for k in range(2))
+            a, b = np.repeat(first[:-1], sizes), np.repeat(first[1:], sizes)
+            sides = []
+            for low, high in ((np.maximum(a, a + start - p.reach), a + start), (a + stop, np.minimum(b, a + stop + p.reach))):
+                ends = np.concatenate([[0], np.cumsum(high - low)])
+                at = np.arange(ends[-1]) + np.repeat(low - ends[:-1], high - low)
+                sides.append(ragged(hashes[at].view(np.int64), ends, pa.int64()))
+            doc = np.repeat(part.column("doc").to_numpy(), sizes)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc, pa.int64()), pa.array(start, pa.int32()), pa.array(stop, pa.int32()), *sides],
+                names=["doc", "start", "stop", "before", "after"],
+            )
+
+    return texts.mapInArrow(read, "doc long, start int, stop int, before array<long>, after array<long>")
 
 
 def _extended(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, start, stop): lines that equal those around the first place of the fingerprint."""
+    """(doc, start, stop): words that equal those around the first place of the fingerprints."""
     for batch in batches:
         rows = []
         for r in batch.to_pylist():
-            a, b = r["near"], r["origin"]["near"]
-            i, j = r["first"] - r["low"], r["origin"]["first"] - r["origin"]["low"]
-            size = r["end"] - r["first"]
-            before = 0
-            while before < min(i, j) and a[i - before - 1] == b[j - before - 1]:
-                before += 1
-            after = size
-            while i + after < len(a) and j + after < len(b) and a[i + after] == b[j + after]:
-                after += 1
-            # Each line that goes equals one further to the front, so every line stays somewhere.
-            rows.append((r["doc"], r["first"] - before, r["first"] + after))
+            start, stop = r["start"], r["stop"]
+            for x, y in zip(reversed(r["before"]), reversed(r["before_there"])):  # noqa: B905
+                if x != y:
+                    break
+                start -= 1
+            for x, y in zip(r["after"], r["after_there"]):  # noqa: B905
+                if x != y:
+                    break
+                stop += 1
+            # Each word that goes equals one further to the front, so every word stays somewhere.
+            rows.append((r["doc"], start, stop))
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int32()))], names=["doc", "start", "stop"]
         )
 
 
-def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Take the runs out of the line lists; ``cut`` gathers the numbers of the lines taken."""
+def _united(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, starts, stops): older cuts, in words of the text, and runs, in words left by them, as one list in words of the text."""
     for batch in batches:
-        at, hashes, words, cut = ([], [], [], [])
-        for r in batch.select(["at", "hash", "words", "cut", "runs"]).to_pylist():
-            gone = np.zeros(len(r["at"]), bool)
-            for run in r["runs"] or ():
-                gone[run["start"] : run["stop"]] = True
-            numbers = np.array(r["at"], np.int32)
-            at.append(numbers[~gone])
-            hashes.append(np.array(r["hash"], np.int64)[~gone])
-            words.append(np.array(r["words"], np.int32)[~gone])
-            cut.append(np.concatenate([np.array(r["cut"], np.int32), numbers[gone]]))
+        starts, stops = [], []
+        for r in batch.select(["runs", "starts", "stops"]).to_pylist():
+            old = list(zip(r["starts"] or (), r["stops"] or (), strict=True))
+            gaps = np.array([a for a, _ in old], np.int64)
+            gone = np.concatenate([[0], np.cumsum([b - a for a, b in old])]).astype(np.int64)
+            # The words left before each older cut; a word goes back behind all cuts that have at most as many before them.
+            left = gaps - gone[:-1]
+            back = lambda word: int(word + gone[np.searchsorted(left, word, "right")])  # noqa: B023, E731
+            spans = sorted([*old, *((back(x["start"]), back(x["stop"] - 1) + 1) for x in r["runs"] or ())])
+            joined: list[list[int]] = []
+            for a, b in spans:
+                if joined and a <= joined[-1][1]:
+                    joined[-1][1] = max(joined[-1][1], b)
+                else:
+                    joined.append([a, b])
+            starts.append([a for a, _ in joined])
+            stops.append([b for _, b in joined])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc"), batch.column("doc_id"), pa.array(at, pa.list_(pa.int32())), pa.array(hashes, pa.list_(pa.int64())),
-             pa.array(words, pa.list_(pa.int32())), pa.array(cut, pa.list_(pa.int32()))],
-            names=["doc", "doc_id", "at", "hash", "words", "cut"],
+            [batch.column("doc"), *(pa.array(x, pa.list_(pa.int32())) for x in (starts, stops))], names=["doc", "starts", "stops"]
         )
 
 
-def repeated_lines(docs: DataFrame, params: Params | None = None) -> DataFrame:
-    """(doc, cut) for the texts of documents (doc, doc_id, text) that lose lines: the numbers of those lines.
+def repeated_words(docs: DataFrame, params: Params | None = None) -> DataFrame:
+    """(doc, starts, stops) for the texts of documents (doc, doc_id, text) that lose words: spans of word numbers.
 
     Of equal runs the one with the smallest doc_id (null last), then the first in the text, stays.
     Rounds go on until no fingerprint stands twice, so that a run whose first
-    place shares only a part of it is finished against its other places.
+    place shares only a part of it is finished against its other places. Only fingerprints beside
+    a cut can stand twice anew, so later rounds read the texts with cuts and compare those.
     """
     p = params or Params()
-    lines = settle(_lines(docs).withColumn("cut", F.array().cast("array<int>")), "lines")
+    none = F.lit(None).cast("array<int>")
+    uncut = settle(_fingerprints(docs.withColumns({"starts": none, "stops": none}), p), "fingerprints")
+    cuts = docs.sparkSession.createDataFrame([], "doc long, starts array<int>, stops array<int>")
+    marks, redone = uncut, None
     while True:
-        marks = settle(_fingerprints(lines.drop("cut"), p), "fingerprints")
-        place = F.struct("nameless", "doc_id", "doc", "first", "low", "near")
-        origins = marks.groupBy("gram").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        met = salted_join(marks, origins, ["gram"], "doc").where(
-            (F.col("doc") != F.col("origin.doc")) | (F.col("first") != F.col("origin.first"))
-        )
-        found = met.select("doc", "first", "end", "low", "near", "origin").mapInArrow(_extended, "doc long, start int, stop int")
-        runs = settle(found.distinct().groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("runs")), "runs")
-        discard(marks)
-        if runs.isEmpty():
-            discard(runs)
-            break
-        joined = lines.join(runs, "doc", "left")
-        kinds = "doc long, doc_id long, at array<int>, hash array<long>, words array<int>, cut array<int>"
-        after = settle(joined.mapInArrow(_cut, kinds), "lines")
-        discard(lines, runs)
-        lines = after
-    return lines.where(F.size("cut") > 0).select("doc", "cut").dropDuplicates(["doc"])
+        place = F.struct("nameless", "doc_id", "doc", "first")
+        origins = settle(marks.groupBy("gram").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("_n")).where("_n > 1"), "origins")
+        pairs = salted_join(
+            marks.select("gram", "doc", "first"), origins.drop("_n"), ["gram"], F.struct("doc", "first"), counts=origins.select("gram", "_n")
+        ).where((F.col("doc") != F.col("origin.doc")) | (F.col("first") != F.col("origin.first")))
+        one = F.struct("first", F.col("origin.doc").alias("other"), F.col("origin.first").alias("there"))
+        segments = settle(_segments(pairs.groupBy("doc").agg(F.collect_list(one).alias("met")), p), "segments")
+        discard(origins, *([] if redone is None else [redone]))
+        if segments.isEmpty():
+            discard(segments, uncut)
+            return cuts
+        mine = segments.select("doc", "start", "stop")
+        theirs = segments.select("other", "there", (F.col("there") + F.col("stop") - F.col("start")).alias("there_stop"))
+        spots = mine.union(theirs).distinct().groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spots"))
+        around = settle(_around(docs.join(spots, "doc").join(cuts, "doc", "left"), p).dropDuplicates(["doc", "start", "stop"]), "around")
+        there = around.toDF("other", "there", "there_stop", "before_there", "after_there")
+        whole = segments.withColumn("there_stop", F.col("there") + F.col("stop") - F.col("start")).join(around, ["doc", "start", "stop"])
+        found = salted_join(whole, there, ["other", "there", "there_stop"], "doc").mapInArrow(_extended, "doc long, start int, stop int")
+        runs = found.distinct().groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("runs"))
+        both = settle(runs.join(cuts, "doc", "full").mapInArrow(_united, "doc long, starts array<int>, stops array<int>"), "cuts")
+        discard(segments, around, cuts)
+        cuts = both
+        redone = settle(_fingerprints(docs.join(cuts, "doc"), p), "fingerprints")
+        marks = uncut.join(bounded(cuts.select("doc")), "doc", "left_anti").unionByName(redone)
+        marks = marks.join(bounded(redone.where("fresh").select("gram").distinct()), "gram", "left_semi")
+
+
+def _rewritten(text: str, gone: np.ndarray) -> tuple[str, list[int]]:
+    """The text without the words marked ``gone``, and the numbers of the lines that lost every word.
+
+    A line that lost every word goes with its line feed; in another, the blanks after a word go with it.
+    """
+    kept, cut, at = [], [], 0
+    for number, line in enumerate(text.encode().split(b"\n")):
+        here = gone[at : at + len(line.split())]
+        at += len(here)
+        if not here.any():
+            kept.append(line)
+        elif here.all():
+            cut.append(number)
+        else:
+            spans = [m.span() for m in _WORD.finditer(line)]
+            blanks = [line[a:b] for (_, a), (b, _) in zip(spans[:-1], spans[1:], strict=True)]
+            left = np.flatnonzero(~here).tolist()
+            pieces = [line[: spans[0][0]]]
+            for k in left:
+                pieces.append(line[slice(*spans[k])])
+                if k != left[-1]:
+                    pieces.append(blanks[k])
+            kept.append(b"".join([*pieces, line[spans[-1][1] :]]))
+    return b"\n".join(kept).decode(), cut
 
 
 def dedup_lines(docs: DataFrame, params: Params | None = None) -> DataFrame:
-    """All rows and columns of documents (doc_id, text), without later repeated runs of lines in ``text``, and
-    ``removed_lines``, the numbers (from 0) of the lines taken out.
+    """All rows and columns of documents (doc_id, text), without later repeated runs of words in ``text``;
+    ``removed_lines``, the numbers (from 0) of the lines that lost every word, and ``removed_words``, how many words went.
 
-    Lines end at line feeds and are compared by their words with A-Z lower-cased; lines without
-    words are skipped in the comparison and stay. A null text stays null, an empty one empty.
+    Runs start and end at any word, cross line feeds and are compared with A-Z lower-cased. A line
+    that lost every word is taken out; lines without words stay. A null text stays null, an empty one empty.
     Rows that repeat both doc_id and text are one document: they lose the same
-    lines and are not compared with each other. An input column called
-    removed_lines is replaced; other columns, whatever their names, stay.
+    words and are not compared with each other. Input columns with the new names
+    are replaced; other columns, whatever their names, stay.
     """
-    docs = docs.drop("removed_lines").withColumn("text", F.col("text").cast("string"))
+    docs = docs.drop("removed_lines", "removed_words").withColumn("text", F.col("text").cast("string"))
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
-    cuts = repeated_lines(docs.select(key.alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), "text"), params)
-    cuts = cuts.select(F.col("doc").alias("_line_doc"), F.col("cut").alias("removed_lines"))
+    cuts = repeated_words(docs.select(key.alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), "text"), params)
+    cuts = cuts.select(F.col("doc").alias("_line_doc"), F.col("starts").alias("removed_lines"), F.col("stops").alias("removed_words"))
     joined = docs.join(cuts, key == F.col("_line_doc"), "left").drop("_line_doc")
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in joined.schema.fields)
+    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in joined.schema.fields[:-1])
     place, names = joined.columns.index("text"), joined.columns
 
     def rewrite(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, cuts = batch.column("text").to_pylist(), batch.column("removed_lines").to_pylist()
-            for row, cut in enumerate(cuts):
-                if cut:
-                    gone = set(cut)
-                    texts[row] = "\n".join(line for k, line in enumerate(texts[row].split("\n")) if k not in gone)
+            texts, lines, counts = batch.column("text").to_pylist(), [], []
+            for row, (starts, stops) in enumerate(zip(*(batch.column(n).to_pylist() for n in names[-2:]), strict=True)):
+                cut, many = [], 0
+                if starts:
+                    gone = np.zeros(len(texts[row]), bool)
+                    for a, b in zip(starts, stops, strict=True):
+                        gone[a:b] = True
+                    many = int(gone.sum())
+                    texts[row], cut = _rewritten(texts[row], gone)
+                lines.append(cut)
+                counts.append(many)
             columns = list(batch.columns)
             columns[place] = pa.array(texts, pa.string())
-            columns[names.index("removed_lines")] = pa.array([sorted(c) if c else [] for c in cuts], pa.list_(pa.int32()))
+            columns[-2:] = pa.array(lines, pa.list_(pa.int32())), pa.array(counts, pa.int64())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return joined.mapInArrow(rewrite, fields)
+    return joined.mapInArrow(rewrite, f"{fields}, removed_words long")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colweave.session import settle
@@ -31,15 +31,20 @@ def discard(*settled: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def salted_join(many: DataFrame, few: DataFrame, on: list[str], spread_by: str, rows: int = 20_000) -> DataFrame:
+def salted_join(
+    many: DataFrame, few: DataFrame, on: list[str], spread_by: str | Column, rows: int = 20_000, counts: DataFrame | None = None
+) -> DataFrame:
     """Inner join of ``many`` with the unique keys of ``few``; keys of over ``rows`` rows are split.
 
     Key counts are combined map-side first. A row of ``few`` is repeated once
     per ``rows`` rows that will meet it, so copies grow with ``many`` / ``rows``;
-    a hot key's rows are dealt by ``spread_by`` over that many parts.
+    a hot key's rows are dealt by ``spread_by`` over that many parts. Settled ``counts``
+    (on, _n) of the rows of ``many`` save counting them.
     """
-    counts = many.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows)
+    known = counts is not None
+    counts = (counts if known else many.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))).where(F.col("_n") > rows)
     parts = counts.withColumn("_parts", F.ceil(F.col("_n") / rows).cast("int")).drop("_n")
+    parts = bounded(parts) if known else parts
     # Heavy keys are fewer than rows of ``many`` / ``rows``; the planner broadcasts or shuffles them by their size.
     left = many.join(parts, on, "left").withColumn(
         "_salt", F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("_parts")), F.lit(0)).cast("int")

@@ -24,9 +24,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, folder: str) -> Dat
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents without later repeats of a passage; one whose every word was a repeat goes."""
+    """Documents without later repeats of a passage; one that keeps less than a shingle of near_dedup is a copy and goes whole."""
     done = line_dedup.dedup_lines(docs)
-    emptied = (F.size("removed_lines") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    emptied = (F.col("removed_words") > 0) & ~F.col("text").rlike(r"\A[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){4}[^\x20\x09-\x0D]")
     columns = {"n_chars": F.length("text").cast("long")} if "n_chars" in docs.columns else {}
     return done.where(~F.coalesce(emptied, F.lit(False))).withColumns(columns).select(docs.columns)
 

@@ -92,3 +92,30 @@ def test_texts_that_share_a_long_run_share_a_fingerprint(run, other):
         return {f for f, _, _ in winnow(np.array([(h * 7919 + w) * 2654435761 % 2**61 for h, w in lines], np.int64), np.array([w for _, w in lines]), p)}
 
     assert prints(run) & prints([*other, *run]) and prints(run) & prints([*run, *other])
+
+
+def test_passages_that_start_and_end_inside_a_line(spark):
+    rng = random.Random(8)
+    shared = [words(n, 500 + n) for n in (50, 55, 64, 90, 150)]
+    rows = []
+    for k in range(30):
+        middle = rng.choice(shared).split()
+        for at in sorted(rng.sample(range(1, len(middle)), 3), reverse=True):
+            middle[at - 1 : at + 1] = [rng.choice([f"{middle[at - 1]}\n{middle[at]}", f"{middle[at - 1].upper()}  {middle[at]}"])]
+        rows.append((k, f"a{k} {words(30, 9000 + k)} b{k} {' '.join(middle)} c{k} {words(30, 9100 + k)} d{k}", None))
+    got = {r.doc_id: r for r in dedup_lines(frame(spark, rows)).collect()}
+    seen, met = set(), set()
+    for k, text, _ in rows:
+        left = got[k].text.lower().split()
+        grams = {tuple(left[a : a + 50]) for a in range(len(left) - 49)}
+        assert not grams & met
+        met |= grams
+        passage = " ".join(text.lower().split()).split(f"b{k} ")[1].split(f" c{k}")[0]
+        if passage in seen:
+            assert got[k].text == f"a{k} {words(30, 9000 + k)} b{k} c{k} {words(30, 9100 + k)} d{k}" or "\n" in got[k].text
+            assert left == f"a{k} {words(30, 9000 + k)} b{k} c{k} {words(30, 9100 + k)} d{k}".split()
+            assert got[k].removed_words == len(passage.split())
+        else:
+            assert got[k].text == text and got[k].removed_words == 0
+        seen.add(passage)
+    assert sum(r.removed_words > 0 for r in got.values()) == 25
