@@ -178,24 +178,31 @@ def _around(texts: DataFrame, p: Params) -> DataFrame:
     return texts.mapInArrow(read, "doc long, start int, stop int, before array<long>, after array<long>")
 
 
+def _equal(x: pa.ListArray, y: pa.ListArray, back: bool) -> np.ndarray:
+    """How many values two lists share from their starts on, or from their ends backwards, row by row."""
+    (u, ends_u), (v, ends_v) = (
+        (z.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(z.value_lengths().to_numpy(zero_copy_only=False))])) for z in (x, y)
+    )
+    room = np.minimum(np.diff(ends_u), np.diff(ends_v))
+    i, j, step = (ends_u[1:] - 1, ends_v[1:] - 1, -1) if back else (ends_u[:-1], ends_v[:-1], 1)
+    many, live, k = np.zeros(len(room), np.int64), np.flatnonzero(room > 0), 0
+    while len(live):
+        live = live[u[i[live] + step * k] == v[j[live] + step * k]]
+        k += 1
+        many[live] = k
+        live = live[room[live] > k]
+    return many
+
+
 def _extended(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc, start, stop): words that equal those around the first place of the fingerprints."""
     for batch in batches:
-        rows = []
-        for r in batch.to_pylist():
-            start, stop = r["start"], r["stop"]
-            for x, y in zip(reversed(r["before"]), reversed(r["before_there"])):  # noqa: B905
-                if x != y:
-                    break
-                start -= 1
-            for x, y in zip(r["after"], r["after_there"]):  # noqa: B905
-                if x != y:
-                    break
-                stop += 1
-            # Each word that goes equals one further to the front, so every word stays somewhere.
-            rows.append((r["doc"], start, stop))
+        before = _equal(batch.column("before"), batch.column("before_there"), True)
+        after = _equal(batch.column("after"), batch.column("after_there"), False)
+        # Each word that goes equals one further to the front, so every word stays somewhere.
+        start, stop = batch.column("start").to_numpy() - before, batch.column("stop").to_numpy() + after
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int32()))], names=["doc", "start", "stop"]
+            [batch.column("doc"), pa.array(start, pa.int32()), pa.array(stop, pa.int32())], names=["doc", "start", "stop"]
         )
 
 
@@ -255,10 +262,13 @@ def repeated_words(docs: DataFrame, params: Params | None = None) -> DataFrame:
         around = settle(_around(docs.join(spots, "doc").join(cuts, "doc", "left"), p).dropDuplicates(["doc", "start", "stop"]), "around")
         there = around.toDF("other", "there", "there_stop", "before_there", "after_there")
         whole = segments.withColumn("there_stop", F.col("there") + F.col("stop") - F.col("start")).join(around, ["doc", "start", "stop"])
-        found = salted_join(whole, there, ["other", "there", "there_stop"], "doc").mapInArrow(_extended, "doc long, start int, stop int")
+        met_by = settle(theirs.groupBy("other", "there", "there_stop").agg(F.count(F.lit(1)).alias("_n")), "counts")
+        found = salted_join(whole, there, ["other", "there", "there_stop"], "doc", counts=met_by).mapInArrow(
+            _extended, "doc long, start int, stop int"
+        )
         runs = found.distinct().groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("runs"))
         both = settle(runs.join(cuts, "doc", "full").mapInArrow(_united, "doc long, starts array<int>, stops array<int>"), "cuts")
-        discard(segments, around, cuts)
+        discard(segments, around, met_by, cuts)
         cuts = both
         redone = settle(_fingerprints(docs.join(cuts, "doc"), p), "fingerprints")
         marks = uncut.join(bounded(cuts.select("doc")), "doc", "left_anti").unionByName(redone)

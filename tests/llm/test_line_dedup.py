@@ -119,3 +119,12 @@ def test_passages_that_start_and_end_inside_a_line(spark):
             assert got[k].text == text and got[k].removed_words == 0
         seen.add(passage)
     assert sum(r.removed_words > 0 for r in got.values()) == 25
+
+
+def test_a_long_line_beside_many_short_ones(spark):
+    long, short = words(60, 1), "\n".join(words(40, 2).split())
+    rows = [(k, f"x{k} {words(20, 50 + k)}\n{body}\ny{k} {words(20, 70 + k)}", None) for k, body in enumerate([f"{long}\n{short}"] * 3 + [f"{short}\n{long}"] * 3)]
+    got = {r.doc_id: r.text for r in dedup_lines(frame(spark, rows)).collect()}
+    assert got[0] == rows[0][1]
+    for k in (1, 2, 4, 5):
+        assert got[k] == f"x{k} {words(20, 50 + k)}\ny{k} {words(20, 70 + k)}"
