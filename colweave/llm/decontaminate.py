@@ -71,6 +71,11 @@ class Index:
             self.bags.append(self.bag(words[a:b], weights[a:b]))
             if b > a:
                 prints[k] = _fingerprints(_signed_sums(words[a:b], weights[a:b]), np.zeros(1, np.int64), b - a)[0]
+        # Every shingle with its item, for items that are longer than a document.
+        holder = np.repeat(np.arange(len(ids)), np.diff(offsets))
+        order = np.argsort(grams, kind="stable")
+        self.held, self.holder = grams[order], holder[order]
+        self.totals = np.array([bag[1].sum() for bag in self.bags], np.int64)
         size_of = np.repeat(self.sizes, np.diff(offsets))
         self.grams_of: dict[int, np.ndarray] = {}
         for size in np.unique(self.sizes[self.sizes > 0]).tolist():
@@ -91,6 +96,13 @@ class Index:
         found, at, times = np.unique(grams, return_index=True, return_counts=True)
         return found, weight[at] * times
 
+    def longer(self, grams: np.ndarray, n: int, total: int) -> list[int]:
+        """Items of more than ``n`` words that hold one of the shingles and that a bag of weight ``total`` can match."""
+        low, high = np.searchsorted(self.held, grams, "left"), np.searchsorted(self.held, grams, "right")
+        step = np.arange((high - low).sum()) - np.repeat(np.cumsum(high - low) - (high - low), high - low)
+        items = np.unique(self.holder[np.repeat(low, high - low) + step])
+        return items[(self.sizes[items] > n) & (total >= self.p.similarity * self.totals[items])].tolist()
+
     def seeds(self, grams: np.ndarray) -> np.ndarray:
         """Places of shingles that some item holds; elsewhere the similarity is 0 and no window is needed."""
         likely = np.flatnonzero(self.filter[(grams & np.uint64((1 << 20) - 1)).astype(np.int64)])
@@ -163,6 +175,13 @@ def _matches(words: np.ndarray, index: Index) -> list[tuple[int, float, int]]:
             found = similarity(index.bag(words[w : w + size], weights[w : w + size]), index.bags[k])
             if found >= p.similarity and found > best.get(k, (0.0, 0))[0]:
                 best[k] = found, w
+    if len(seeds_of.get(p.words, ())) and n < index.sizes.max():
+        # Items that are longer than the text meet all of it.
+        whole = index.bag(words, weights)
+        for k in index.longer(np.unique(runs[p.words][seeds_of[p.words]]), n, int(whole[1].sum())):
+            found = similarity(whole, index.bags[k])
+            if found >= p.similarity:
+                best[k] = found, 0
     return [(k, *best[k]) for k in sorted(best)]
 
 
@@ -185,8 +204,8 @@ def mark(docs: DataFrame, benchmark: DataFrame, params: Params | None = None) ->
     benchmark item (item_id, text) found.
 
     Words are runs of a-z, 0-9 and non-ASCII after lower-casing A-Z. A window has
-    as many words as the item; ``start`` counts words from 0. An item shorter than a
-    shingle matches as a whole. Null, empty and wordless texts and items match
+    as many words as the item, or is the whole text if that has fewer; ``start`` counts words from 0. An item
+    shorter than a shingle matches as a whole. Null, empty and wordless texts and items match
     nothing; repeated items are all reported. An input column called
     contaminated_by is replaced. Texts are read whole, whatever their length.
 
@@ -215,7 +234,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, params: Params | None = None) ->
                 for d in sorted(hit):
                     a, b = first[d], first[d + 1]
                     for k, score, start in _matches(words[a:b], index):
-                        found[d].append({"item_id": index.ids[k], "similarity": score, "start": start, "words": int(index.sizes[k])})
+                        found[d].append({"item_id": index.ids[k], "similarity": score, "start": start, "words": int(min(index.sizes[k], b - a))})
                 columns = list(part.columns)
                 columns[place] = pa.array(found, pa.list_(struct))
                 yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)

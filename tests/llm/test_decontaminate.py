@@ -81,3 +81,18 @@ def test_odd_rows_and_empty_tables(spark, odd_rows):  # noqa: F811
     assert kept.count() == len(odd_rows) - 1 and kept.columns == frame(spark, []).columns
     assert D.decontaminate(frame(spark, []), items(spark, BENCH)).collect() == []
     assert D.decontaminate(frame(spark, odd_rows), items(spark, [])).count() == len(odd_rows)
+
+
+def test_items_that_are_longer_than_the_document(spark):
+    items = [words(38, 1), words(38, 2), words(300, 3)]
+    rows = [
+        (1, " ".join(items[0].split()[:36]), None), (2, " ".join(items[1].split()[2:]), None), (3, " ".join(items[2].split()[:250]), None),
+        (4, " ".join(items[0].split()[:20]), None), (5, " ".join(items[2].split()[:150]), None), (6, "w1 w2", None), (7, None, None),
+    ]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {r.doc_id: r.contaminated_by for r in D.mark(frame(spark, rows), benchmark).collect()}
+    assert {k: [(c["item_id"], c["start"], c["words"]) for c in v] for k, v in got.items()} == {
+        1: [(0, 0, 36)], 2: [(1, 0, 36)], 3: [(2, 0, 250)], 4: [], 5: [], 6: [], 7: [],
+    }
+    assert all(c["similarity"] >= 0.8 for v in got.values() for c in v)
+    assert {r.doc_id for r in D.decontaminate(frame(spark, rows), benchmark).collect()} == {4, 5, 6, 7}
