@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colweave.llm import (
-    decontaminate, exact_dedup, language, license_scan, line_dedup, minhash, quality, sentencepiece, shard, url_rules,
+    decontaminate, exact_dedup, language, license_scan, line_dedup, merkle, minhash, quality, sentencepiece, shard, url_rules,
 )
 from colweave.llm.tables import read
 
@@ -36,7 +36,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """The same rows as DuckDB SQL where SQL can express them at the size of whole tables."""
-    return {"op4_url_filters": _url_sql(), "op5_exact_dedup": _EXACT_SQL}
+    return {"op4_url_filters": _url_sql(), "op5_exact_dedup": _EXACT_SQL, "op12_merkle_manifest": _MERKLE_SQL}
 
 
 _EXACT_SQL = """
@@ -52,6 +52,56 @@ select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(bare) as te
 """
 
 
+# CRC-32 has no DuckDB function: its table of 256 remainders is made from the polynomial, then the digits run through it.
+_MERKLE_SQL = """
+with recursive crc_table as (
+  select list(list_reduce(list_prepend(k, range(8)), lambda c, _: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by k) as t
+  from range(256) r(k)
+), base as (
+  select doc_id, lang, case when doc_id is null then false else xor(list_reduce(
+      list_prepend(4294967295, [ascii(x)::bigint for x in string_split(doc_id::varchar, '')]),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 7 = 0 end as bad,
+    coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') as head,
+    coalesce(strlen(text) || ':' || text, '-') as tail, n_chars
+  from documents, crc_table
+), leaves as (
+  select doc_id, lang, sha256(head || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') || tail) as leaf,
+    sha256(head || coalesce(strlen((n_chars + 1)::varchar) || ':' || (n_chars + 1), '-') || tail) as other, bad
+  from base
+), placed as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as i, count(*) over (partition by lang) as n from leaves
+), tree(lang, level, i, n, h) as (
+  select lang, 0, i, n, leaf from placed
+  union all
+  select lang, level + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' order by i)) from tree where n > 1 group by lang, level, i // 2
+), tops as (
+  select lang, level as height, h as subroot, row_number() over (order by lang nulls first) - 1 as j, count(*) over () as m from tree where n = 1
+), crown(level, i, n, h) as (
+  select 0, j, m, subroot from tops
+  union all
+  select level + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' order by i)) from crown where n > 1 group by level, i // 2
+), whole as (select h as root, level as height from crown where n = 1),
+own as (
+  select p.doc_id, p.lang, p.i, t.j, t.height, t.subroot, w.root, w.height as above, leaf, case when bad then other else leaf end as now, row_number() over () as row
+  from placed p join tops t on p.lang is not distinct from t.lang, whole w
+), steps as (
+  select row, k, s.h as sib, (own.i >> k) & 1 as side from own, range(64) r(k)
+    left join tree s on s.lang is not distinct from own.lang and s.level = k and s.i = xor(own.i >> k, 1) where k < height
+  union all
+  select row, height + k, s.h, (own.j >> k) & 1 from own, range(64) r(k)
+    left join crown s on s.level = k and s.i = xor(own.j >> k, 1) where k < above
+), folded(row, k, h) as (
+  select row, 0, now from own
+  union all
+  select f.row, f.k + 1, sha256(case when side = 1 then coalesce(sib, '') || h else h || coalesce(sib, '') end)
+  from folded f join steps s on s.row = f.row and s.k = f.k
+), proofs as (select row, sha256(coalesce(string_agg(sib, '' order by k), '')) as proof from steps group by row)
+select doc_id, leaf, subroot, root, coalesce(proof, sha256('')) as proof_sha256, f.h as folded_root, f.h = root as verified
+from own join folded f on f.row = own.row and f.k = own.height + own.above left join proofs p on p.row = own.row
+"""
+
+
 def _url_sql() -> str:
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
     rules = ", ".join(
@@ -164,3 +214,10 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         F.crc32(F.coalesce("decoded", F.lit(""))).alias("decoded_crc32"),
         F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
     )
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's inclusion proof, checked against rows whose length was tampered with where 7 divides the CRC of doc_id."""
+    tampered = {"n_chars": F.col("n_chars").cast("long") + 1}
+    return merkle.verify(read(spark, folder, "documents"), tampered, F.crc32(F.col("doc_id").cast("string")) % 7 == 0)
