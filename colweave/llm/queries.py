@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colweave.llm import (
-    decontaminate, exact_dedup, language, license_scan, line_dedup, merkle, minhash, quality, sentencepiece, shard, url_rules,
+    decontaminate, exact_dedup, language, license_scan, line_dedup, merkle, minhash, quality, search, sentencepiece, shard,
+    url_rules,
 )
 from colweave.llm.tables import read
 
@@ -36,7 +37,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """The same rows as DuckDB SQL where SQL can express them at the size of whole tables."""
-    return {"op4_url_filters": _url_sql(), "op5_exact_dedup": _EXACT_SQL, "op12_merkle_manifest": _MERKLE_SQL}
+    return {"op4_url_filters": _url_sql(), "op5_exact_dedup": _EXACT_SQL, "op11_ranked_search": _SEARCH_SQL, "op12_merkle_manifest": _MERKLE_SQL}
 
 
 _EXACT_SQL = """
@@ -52,6 +53,26 @@ select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(bare) as te
 """
 
 
+_TERMS = "unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'))"
+
+_SEARCH_SQL = f"""
+with d as (select row_number() over () as row, doc_id, text from documents where text is not null),
+words as (select row, {_TERMS} as term from d),
+tf as (select row, term, count(*) as tf from words group by all),
+sizes as (select row, sum(tf)::bigint as n from tf group by row),
+total as (select count(*) as texts, sum(n)::bigint as terms from sizes),
+weights as (
+  select term, floor(1000 * ln((2 * any_value(texts) + 2)::double / (2 * count(*) + 1)))::bigint as w from tf, total group by term
+),
+asked as (select item_id, {_TERMS} as term from benchmark),
+scores as (
+  select item_id, doc_id, d.row, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * texts) // terms))))::bigint as score
+  from asked join weights using (term) join tf using (term) join sizes using (row) join d using (row), total group by all
+)
+select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score
+from scores where score > 0 qualify rank <= 10
+"""
+
 # CRC-32 has no DuckDB function: its table of 256 remainders is made from the polynomial, then the digits run through it.
 _MERKLE_SQL = """
 with recursive crc_table as (
@@ -221,3 +242,9 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's inclusion proof, checked against rows whose length was tampered with where 7 divides the CRC of doc_id."""
     tampered = {"n_chars": F.col("n_chars").cast("long") + 1}
     return merkle.verify(read(spark, folder, "documents"), tampered, F.crc32(F.col("doc_id").cast("string")) % 7 == 0)
+
+
+@query
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten documents that answer every benchmark item best."""
+    return search.search(read(spark, folder, "documents"), read(spark, folder, "benchmark"))

@@ -121,3 +121,28 @@ def blobs(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     width = values.dtype.itemsize
     raw = np.ascontiguousarray(values).tobytes()
     return pa.array([raw[a * width : b * width] for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())
+
+
+def pieces(
+    data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, limit: int = SLICE_BYTES
+) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(bytes, offsets, first text) of parts of at most ``limit`` bytes: all texts at once, or one long text bit by bit.
+
+    A long text is cut between words (runs of bytes that ``inside`` allows), so no word is lost, split or counted
+    twice; a part is longer only for a single word that is.
+    """
+    if len(data) <= 2 * limit or len(offsets) > 2:
+        yield data, offsets, 0
+        return
+    at = 0
+    while at < len(data):
+        stop = min(len(data), at + limit)
+        while stop < len(data) and inside[data[stop]] and inside[data[stop - 1]]:
+            cuts = np.flatnonzero(~inside[data[at:stop]])
+            if len(cuts):
+                stop = at + int(cuts[-1]) + 1
+            else:
+                ahead = np.flatnonzero(~inside[data[stop : stop + limit]])
+                stop = stop + int(ahead[0]) if len(ahead) else min(len(data), stop + limit)
+        yield data[at:stop], np.array([0, stop - at], np.int64), 0
+        at = stop
