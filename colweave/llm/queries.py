@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from colweave.llm import (
     decontaminate, exact_dedup, language, license_scan, line_dedup, merkle, minhash, quality, search, sentencepiece, shard,
-    url_rules,
+    toxicity, url_rules,
 )
 from colweave.llm.tables import read
 
@@ -248,3 +248,9 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     """The ten documents that answer every benchmark item best."""
     return search.search(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@query
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """How toxic every document is, learned from two thirds of the labelled ones."""
+    return toxicity.score(read(spark, folder, "documents"), read(spark, folder, "labels"))

@@ -8,7 +8,7 @@ from colweave.llm import queries as Q
 
 def test_every_number_has_one_query():
     numbers = [int(re.match(r"op(\d+)_", n)[1]) for n in Q.queries()]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(Q.oracle_sql()) <= set(Q.queries())
 
 
@@ -17,7 +17,7 @@ def test_twins_agree(spark, folder, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.execute(f"create view {t} as select * from read_parquet('{folder}/{t}.parquet')")
     got = Q.queries()[name](spark, folder)
     names = sorted(got.columns)
@@ -31,6 +31,11 @@ def test_contract_columns(spark, folder):
         "op4": "page_id bigint, host string, path string, rule string, verdict string",
         "op5": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
         "op8": "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double",
+        "op6": "doc_id bigint, held_out boolean, lang_pred string, score double",
+        "op9": "doc_id bigint, n_shingles bigint, component_id bigint, kept boolean",
+        "op11": "item_id bigint, rank int, doc_id bigint, score bigint",
+        "op12": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
+        "op13": "doc_id bigint, held_out boolean, score double, predicted int",
     }
     for name, run in Q.queries().items():
         kind = wanted.get(name.split("_")[0])
