@@ -491,6 +491,18 @@ _SQL["column_means_wide"] = orders(
 _SQL["column_means"] = union(f"select '{c}' \"column\", {r(f'avg({c})', 5)} mean from lineitem" for c in LINES)
 _SQL["distinct_values"] = "select distinct l_suppkey \"value\" from lineitem"
 _SQL["value_counts"] = "select l_partkey \"value\", count(*) n from lineitem group by 1"
+_SQL["corr_filter_sketched"] = """
+with o as (select row_number() over (order by o_orderkey) as r, o_orderkey as k from orders),
+v as (
+  select i, r, cast(case when i % 3 = 2 and i > 2
+    then (case when i % 2 = 1 then -1.0 else 1.0 end) * ((k * (2 * (i - 4) + 3) + (i - 4)) % (7 + (i - 4) % 31)) + (k * (2 * i + 5)) % 11 * (0.1 + i % 9 * 0.05)
+    else (k * (2 * i + 3) + i) % (7 + i % 31) end as double) as x
+  from o, range(400) c(i)
+), m as (select i, avg(x) as mean, stddev_pop(x) as sd from v group by i),
+z as (select i, cast(list((x - mean) / sd order by r) as double[]) as z, count(*) as n from v join m using (i) where sd > 0 group by i)
+select 'number_' || b.i as "column" from z b
+where exists (select 1 from z a where a.i < b.i and abs(list_inner_product(a.z, b.z) / a.n) > 0.95)
+"""
 _SQL["corr_matrix"] = orders(corr_pairs([*NUMBERS, "number_const", *DATES], "x"), X)
 _SQL["corr_matrix_dense"] = (
     "with e as (select vec_id, unnest(embedding) v, generate_subscripts(embedding, 1) - 1 i from embeddings) "

@@ -23,6 +23,7 @@ from colweave.operators import (
     scale,
     score,
     select,
+    sketched,
     split,
 )
 from colweave.operators.order import row_prefix
@@ -614,6 +615,14 @@ def corr_filter(spark, folder):
     return spark.createDataFrame([(n,) for n in late], "column string")
 
 
+@query
+def corr_filter_sketched(spark, folder):
+    """The correlated columns of 400 number columns, found by sketches and decided by exact sums."""
+    df = tables.very_wide_orders(spark, folder, 400)
+    late = sketched.correlated_columns_sketched(df, project.by_prefix(df.columns))
+    return spark.createDataFrame([(n,) for n in late], "column string")
+
+
 @query
 def target_corr_topk(spark, folder):
     df = nulls.fill_constant(expanded(spark, folder))

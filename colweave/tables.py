@@ -114,11 +114,19 @@ def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def wide_orders(spark: SparkSession, folder: str, width: int = 300) -> DataFrame:
     """``orders_features`` with many derived number columns."""
-    base = orders_features(spark, folder)
-    extra = {
-        f"number_w{i}": ((F.col("line_id") * (2 * i + 3) + i) % (7 + i % 31)).cast("double") for i in range(width)
-    }
-    return base.withColumns(extra)
+    extra = [f"cast((line_id * {2 * i + 3}L + {i}L) % {7 + i % 31}L as double) as number_w{i}" for i in range(width)]
+    return orders_features(spark, folder).selectExpr("*", *extra)
+
+
+def very_wide_orders(spark: SparkSession, folder: str, width: int = 3000) -> DataFrame:
+    """Keys of the orders with ``width`` number columns, each third of them another one with noise of some size."""
+    own = lambda i: f"(line_id * {2 * i + 3}L + {i}L) % {7 + i % 31}L"
+    noise = lambda i: f"(line_id * {2 * i + 5}L) % 11L * {0.1 + i % 9 * 0.05!r}D"
+    columns = [f"{own(i)} + {noise(i)}" if i % 3 == 2 and i > 2 else own(i) for i in range(width)]
+    for i in range(5, width, 3):
+        columns[i] = f"{'-' if i % 2 else ''}({own(i - 4)}) + {noise(i)}"
+    keys = read(spark, folder, "orders").select(F.col("o_orderkey").alias("line_id"))
+    return keys.selectExpr("line_id", *[f"cast({c} as double) as number_{i}" for i, c in enumerate(columns)])
 
 
 def with_prediction(df: DataFrame) -> DataFrame:
