@@ -25,8 +25,10 @@ UNSEEN = -1
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 # A value is hot if it fills more rows than one task should sort; the most frequent ones are spread over tasks.
+# The summary of a column tracks HOT_TRACKED values, so it misses none that fills over 1 / (0.75 HOT_TRACKED) of the rows.
 HOT_ROWS = 20_000
-MOST_HOT = 50_000
+HOT_VALUES = 1_000
+HOT_TRACKED = 16_384
 
 
 # ---------------------------------------------------------------- one-hot
@@ -212,14 +214,19 @@ class Lookup:
         ``most_rows`` and all together within ``most_bytes``, so the table does
         not move. A larger column is joined by shuffle on value and salt: a hot
         value's rows are dealt over several salts, and its entry is repeated
-        for each; missing values get a salt of their own per row. Values are
-        counted on the table that is scored, so one that training never saw is spread too.
+        for each; missing values get a salt of their own per row. The hot values of all larger columns are
+        found on the table that is scored, in one pass, so one that training never saw is spread too.
         """
-        order, left = df.columns, most_bytes
-        for i, name in enumerate(sorted(self.sizes, key=lambda n: (self.sizes[n][1], n))):
-            small = self.small(name, most_rows, left)
-            left -= self.sizes[name][1] if small else 0
-            df = self._small(df, name, i) if small else self._large(df, name, i, hot_rows)
+        order, left, large = df.columns, most_bytes, []
+        sizes = sorted(self.sizes, key=lambda n: (self.sizes[n][1], n))
+        for name in sizes:
+            if self.small(name, most_rows, left):
+                left -= self.sizes[name][1]
+            else:
+                large.append(name)
+        hot = self._hot(df, large, hot_rows)
+        for i, name in enumerate(sizes):
+            df = self._large(df, name, i, hot[name]) if name in hot else self._small(df, name, i)
         return df.select(*[col(c) for c in order])
 
     def _small(self, df: DataFrame, name: str, i: int) -> DataFrame:
@@ -228,16 +235,36 @@ class Lookup:
         joined = df.join(F.broadcast(part), col(name).cast("string") == F.col(key), "left")
         return joined.withColumn(name, F.coalesce(F.col(code), F.lit(UNSEEN).cast("bigint"))).drop(key, code)
 
-    def _large(self, df: DataFrame, name: str, i: int, hot_rows: int) -> DataFrame:
+    def _hot(self, df: DataFrame, names: Sequence[str], hot_rows: int) -> dict[str, DataFrame]:
+        """Column -> (hash, parts) of its values of over ``hot_rows`` rows, at most ``HOT_VALUES``.
+
+        Mergeable summaries of the most frequent hashes, one per column and of fixed size, in a single pass over the
+        table; a stream, which cannot be passed over first, takes the counts of training.
+        """
+        spark = df.sparkSession
+        found: dict[str, list[tuple[int, int]]] = {}
+        if names and not df.isStreaming:
+            summaries = [
+                f"approx_top_k(if({quoted(n)} is null, null, xxhash64(cast({quoted(n)} as string))), {HOT_VALUES}, {HOT_TRACKED}) as t{i}"
+                for i, n in enumerate(names)
+            ]
+            row = df.agg(*[F.expr(s) for s in summaries]).first()
+            found = {n: [(t["item"], t["count"]) for t in row[i] if t["item"] is not None] for i, n in enumerate(names)}
+        elif names:
+            top = self.table.where(F.col("column").isin(list(names)) & (F.col("n") > hot_rows)).orderBy(F.desc("n")).limit(HOT_VALUES)
+            for r in top.select("column", F.xxhash64("value").alias("h"), "n").collect():
+                found.setdefault(r["column"], []).append((r["h"], r["n"]))
+        # Two values with one hash only share their number of salts.
+        return {
+            n: spark.createDataFrame([(h, -(-c // hot_rows)) for h, c in found.get(n, ()) if c > hot_rows], "h bigint, parts bigint")
+            for n in names
+        }
+
+    def _large(self, df: DataFrame, name: str, i: int, hot: DataFrame) -> DataFrame:
         spread = F.xxhash64(col(KEY)) if KEY in df.columns else F.monotonically_increasing_id()
         text = col(name).cast("string")
         part = self.part(name).select(F.col("value").alias(f"_v{i}"), F.col("code").alias(f"_c{i}"))
-        counted = self._counts(df, name).where(F.col("n") > F.lit(hot_rows)).orderBy(F.desc("n")).limit(MOST_HOT)
-        # A hash and a number per hot value, at most MOST_HOT of them: safe to broadcast. Two values
-        # with one hash only share their number of salts.
-        hot = F.broadcast(counted.groupBy(F.xxhash64("value").alias(f"_h{i}")).agg(
-            F.ceil(F.max("n") / F.lit(hot_rows)).cast("bigint").alias(f"_p{i}")
-        ))
+        hot = F.broadcast(hot.select(F.col("h").alias(f"_h{i}"), F.col("parts").alias(f"_p{i}")))  # at most HOT_VALUES rows
         marked = df.join(hot, F.xxhash64(text) == F.col(f"_h{i}"), "left").withColumns({
             f"_k{i}": text,
             f"_s{i}": F.when(text.isNull(), spread).otherwise(F.coalesce(F.pmod(spread, F.col(f"_p{i}")), F.lit(0))),
@@ -251,13 +278,6 @@ class Lookup:
         value = F.coalesce(F.col(f"_c{i}"), F.lit(UNSEEN).cast("bigint"))
         return joined.withColumn(name, value).drop(f"_k{i}", f"_s{i}", f"_v{i}", f"_c{i}", f"_vs{i}")
 
-    def _counts(self, df: DataFrame, name: str) -> DataFrame:
-        """(value, n) of the table that is scored, map-side combined; of the training table for a stream."""
-        if df.isStreaming:
-            return self.part(name).select("value", "n")
-        values = df.select(col(name).cast("string").alias("value")).where("value is not null")
-        return values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-
 
 def fit_frequency(df: DataFrame, names: Sequence[str] | None = None, roles: Roles = DEFAULT_ROLES) -> Lookup:
     """Value -> number of training rows that hold it, for id and text columns."""

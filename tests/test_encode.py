@@ -152,3 +152,31 @@ def test_dictionary_rule_is_exact_near_the_limit(spark):
         "id line_id", "concat('a', id % 5000) string_a", "concat('b', least(id % 5000, 4998)) string_b", "uuid() string_u"
     )
     assert list(encode.fit_dictionary(df).sizes) == ["string_b"]
+
+
+def test_hot_values_of_all_large_columns_come_from_one_pass(spark, monkeypatch):
+    hot = lambda k: F.when(F.col("id") % 8 < 4, f"hot{k}").when(F.col("id") % 8 < 6, f"new{k}").otherwise(F.concat(F.lit("v"), F.col("id")))
+    df = spark.range(16_000).select(F.col("id").alias("line_id"), *[hot(k).alias(f"id_{k}") for k in range(4)])
+    fitted = encode.fit_frequency(df.where("id_0 != 'new0'"))
+    passes = []
+    aggregate = type(df).agg
+    monkeypatch.setattr(type(df), "agg", lambda self, *a: (passes.append(a), aggregate(self, *a))[1])
+    found = fitted._hot(df, [f"id_{k}" for k in range(4)], 500)
+    assert len(passes) == 1 and len(passes[0]) == 4
+    for k in range(4):
+        names = spark.createDataFrame([(f"hot{k}",), (f"new{k}",)], "v string").select(F.xxhash64("v").alias("h"))
+        want = {r.h for r in names.collect()}
+        got = {r.h: r.parts for r in found[f"id_{k}"].collect()}
+        assert set(got) == want and got[min(got, key=lambda h: got[h])] >= 8
+    coded = fitted.apply(df, most_rows=0, hot_rows=500)
+    assert [{r[0]: r[1] for r in coded.groupBy(f"id_{k}").count().collect()} for k in range(4)] == [{8000: 8000, -1: 4000, 1: 4000}] * 4
+
+
+def test_a_summary_finds_every_value_of_a_thousandth_of_the_rows(spark):
+    rnd = random.Random(9)
+    values = [f"h{k}" for k in range(30) for _ in range(120 + k)] + [f"r{rnd.randint(0, 10**9)}" for _ in range(60_000)]
+    rnd.shuffle(values)
+    df = spark.createDataFrame(list(enumerate(values)), "line_id bigint, id_0 string").repartition(7)
+    fitted = encode.fit_frequency(df)
+    hashes = {r.h for r in spark.createDataFrame([(f"h{k}",) for k in range(30)], "v string").select(F.xxhash64("v").alias("h")).collect()}
+    assert {r.h for r in fitted._hot(df, ["id_0"], 100)["id_0"].collect()} >= hashes
