@@ -609,6 +609,20 @@ _SQL["split_ordered"] = orders(
 _SQL["kfold_assign"] = orders(
     f"select line_id, cast(({FOLD_HASH}) * 3 // 4294967296 as integer) fold from f"
 )
+_SQL["ridge_grid"] = orders(
+    f"select alpha, fold, n \"rows\", {r('(syy - 2 * b * sxy - 2 * a * sy + b * b * sxx + 2 * a * b * sx + n * a * a) / n')} mse, "
+    f"{r('b')} weight, {r('a')} intercept from (select *, (ty - b * tx) / m a from (select *, "
+    "(txy - tx * ty / m) / (txx - tx * tx / m + alpha) b from cells))",
+    f"folds as (select cast(({FOLD_HASH}) * 3 // 4294967296 as integer) fold, count(*) n, sum(number_1) sx, sum(target) sy, "
+    "sum(number_1 * number_1) sxx, sum(number_1 * target) sxy, sum(target * target) syy from f group by 1), "
+    "cells as (select alpha, p.*, t.n - p.n m, t.sx - p.sx tx, t.sy - p.sy ty, t.sxx - p.sxx txx, t.sxy - p.sxy txy from folds p, "
+    "(select sum(n) n, sum(sx) sx, sum(sy) sy, sum(sxx) sxx, sum(sxy) sxy from folds) t, "
+    "(select cast(unnest([0.001, 0.01, 0.1, 1.0, 10.0, 100.0, 1000.0]) as double) alpha))",
+)
+_SQL["ridge_grid_wide"] = f"select vec_id line_id, true is_finite, true best_alpha from embeddings where {HASH.format(k='vec_id')} < 1073741824"
+_SQL["stacked_out_of_fold"] = orders(
+    f"select line_id, cast(({FOLD_HASH}) * 3 // 4294967296 as integer) fold, true is_finite, true no_worse from f where not ({IN_TEST})"
+)
 _SQL["sample_size_plan"] = (
     "with s as (select event_type model, count(*) n, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000 secs, "
     "count(distinct user_id) users from events group by 1), "

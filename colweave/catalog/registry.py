@@ -27,7 +27,7 @@ from colweave.operators import (
     split,
 )
 from colweave.operators.order import row_prefix
-from colweave.plans import models, pipeline, response, search
+from colweave.plans import models, pipeline, response, ridge, search, stack
 from colweave.schema import Roles, quoted
 from colweave.session import scratch_path
 from colweave.sources import scan, sinks, synth
@@ -888,6 +888,37 @@ def grid_search(spark, folder):
     )
 
 
+@query
+def ridge_grid(spark, folder):
+    """Every penalty and fold of a ridge regression on one column, from one pass of sums."""
+    table = ridge.ridge_grid(_one_feature(spark, folder), ["number_1"])[1]
+    return rounded(table.select("alpha", "fold", "rows", "mse", F.col("weights")[0].alias("weight"), "intercept"))
+
+
+@query
+def ridge_grid_wide(spark, folder):
+    """The same on 64 columns: predictions of the best penalty against the mean, per held-out row."""
+    train, test = split.split_hash(tables.embedding_features(spark, folder))
+    names = project.by_prefix(train.columns)
+    best, table = ridge.ridge_grid(train, names)
+    score = table.groupBy("alpha").agg(F.avg("mse").alias("score"))
+    found = score.orderBy("score", F.desc("alpha")).first()["alpha"] == best.alpha
+    return best.predict(test).select("line_id", (F.abs("prediction") < float("inf")).alias("is_finite"), F.lit(found).alias("best_alpha"))
+
+
+@query
+def stacked_out_of_fold(spark, folder):
+    """Every training row, scored by models that did not see its fold, and whether the stack beats or equals each family."""
+    train, test, names = _frequency_split(spark, folder)
+    families = {"linear": models.ridge(models.Shape.of(train, names)), "forest": models.forest(models.REGRESSION)}
+    stacked = stack.fit_stacked(families, train, names, models.REGRESSION)
+    apart = score.rmse(stacked.predict(test)).first()[0]
+    each = {n: score.rmse(f.predict(test)).first()[0] for n, f in stacked.base.items()}
+    table = stacked.table
+    finite = " and ".join(f"abs({stack.column(n)}) < double('inf')" for n in families)
+    return table.select("line_id", "fold", F.expr(finite).alias("is_finite"), F.lit(apart <= min(each.values()) * 1.01).alias("no_worse"))
+
+
 @query
 def predict_label(spark, folder):
     train, test = split.split_hash(_one_feature(spark, folder))

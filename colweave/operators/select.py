@@ -25,7 +25,7 @@ BATCH_BYTES = 16 << 20
 ROUNDING = 1e-13
 
 
-def _blob_sums(parts: DataFrame, spread: int = 32) -> DataFrame:
+def blob_sums(parts: DataFrame, spread: int = 32) -> DataFrame:
     """(block, sums): arrays of doubles added up per block, in two steps so that no task adds up all of them."""
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,7 +88,7 @@ def pair_correlations(df: DataFrame, left: Sequence[str], right: Sequence[str] |
     found = np.zeros((6, len(a), len(b)))
     for first in range(0, len(blocks), BLOCKS_PER_PASS):
         chosen = dict(enumerate(blocks[first : first + BLOCKS_PER_PASS], first))
-        for row in _blob_sums(plain.mapInArrow(products(chosen), "block int, sums binary")).toLocalIterator():
+        for row in blob_sums(plain.mapInArrow(products(chosen), "block int, sums binary")).toLocalIterator():
             part = np.frombuffer(row["sums"]).reshape(6, -1, len(b))
             found[:, row["block"] * wide : row["block"] * wide + part.shape[1]] += part
     n, sx, sy, sxx, syy, sxy = found

@@ -14,7 +14,7 @@ QUERIES, SQL = entry.queries(), entry.oracle_sql()
 # Boosting with all its rounds takes minutes; tools/check.py compares these, and test_models.py tests the fits.
 LONG = {
     "automl_leaderboard", "boost_curve", "candidate_leaderboard", "depth_search", "feature_response", "fit_forest", "fit_gbt_cls",
-    "fit_gbt_reg", "fit_linear_svm", "grid_search", "train_freq",
+    "fit_gbt_reg", "fit_linear_svm", "grid_search", "stacked_out_of_fold", "train_freq",
 }
 
 
