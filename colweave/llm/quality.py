@@ -235,14 +235,18 @@ def _scored(docs: DataFrame, scores: DataFrame, p: Params) -> DataFrame:
     names = docs.columns
     at, count = names.index("log_likelihood"), names.index("characters")
 
-    def add(keys: np.ndarray, values: np.ndarray):  # noqa: ANN202
+    def add(shards: list[tuple[np.ndarray, np.ndarray]]):  # noqa: ANN202
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            lookup = _Lookup(keys, values)
+            lookups = [_Lookup(*s) for s in shards]
             for part in slices(batches, "text"):
                 codes, offsets = _codes(part.column("text").to_pylist(), order)
                 ok = _inside(codes, offsets, order)
+                hashes = _hashes(codes, order)
+                known = np.zeros(len(ok), np.float32)
+                for lookup in lookups:  # a run is in one shard at most
+                    known += lookup(hashes)
                 total = np.zeros(len(ok) + 1)
-                np.cumsum(np.where(ok, lookup(_hashes(codes, order)), 0), out=total[1:])
+                np.cumsum(np.where(ok, known, 0), out=total[1:])
                 ends = np.minimum(offsets, len(ok))
                 sums = total[ends[1:]] - total[ends[:-1]]
                 columns = list(part.columns)
@@ -252,11 +256,13 @@ def _scored(docs: DataFrame, scores: DataFrame, p: Params) -> DataFrame:
 
         return run
 
-    for k, (keys, values) in enumerate(_shards(scores, p)):
-        if k and k % p.shards_per_pass == 0:
-            docs = settle(docs, "scored")
-        docs = docs.mapInArrow(add(keys, values), fields)
-    return docs
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    passed = False
+    for shard in _shards(scores, p):
+        if len(held) == p.shards_per_pass:
+            docs, held, passed = settle(docs.mapInArrow(add(held), fields), "scored"), [], True
+        held.append(shard)
+    return docs.mapInArrow(add(held), fields) if held or not passed else docs
 
 
 def assess(docs: DataFrame, labels: DataFrame, params: Params | None = None) -> DataFrame:
