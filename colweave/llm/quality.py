@@ -20,7 +20,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 @dataclass(frozen=True)
 class Params:
     """Runs of ``order`` characters; a document is rejected above the ``quantile`` of trusted text of
-    its language that the model has not seen, plus ``margin`` times the distance from the median to it.
+    its language that the model has not seen.
 
     One in ``hold_out`` trusted documents sets the limits instead of training.
     A task looks up at most ``shard_rows`` rows of the model at a time, and the driver passes on at most
@@ -29,8 +29,7 @@ class Params:
     """
 
     order: int = 5
-    quantile: float = 0.99
-    margin: float = 0.5
+    quantile: float = 0.995
     hold_out: int = 5
     shard_rows: int = 1_500_000
     shards_per_pass: int = 4
@@ -302,8 +301,7 @@ def assess(docs: DataFrame, labels: DataFrame, params: Params | None = None) ->
     for name, rows in by_language.items():
         bins_, n = np.array(sorted(rows)).T
         share = np.cumsum(n) / n.sum()
-        top, middle = (bins_[np.searchsorted(share, q - 1e-9)] + 1 for q in (p.quantile, 0.5))
-        limits[name] = float(top + p.margin * (top - middle)) / 1000
+        limits[name] = float(bins_[np.searchsorted(share, p.quantile - 1e-9)] + 1) / 1000
     of_all = limits.pop(None, None)
     limit = F.lit(of_all).cast("double")
     if limits:

@@ -84,7 +84,8 @@ def test_junk_goes_and_clean_text_stays(spark, shard_rows):
     got = {r.doc_id: r for r in Q.assess(frame(spark, rows), labels, Q.Params(shard_rows=shard_rows)).collect()}
     assert len(got) == len(rows)
     assert not any(got[k].accepted for k in got if k >= 1000)
-    assert sum(got[k].accepted for k in range(400)) >= 392
+    # A limit drawn from 40 held-out texts of a language is passed by 1 in 41 of the others: 8 of 320, give or take 4.
+    assert sum(got[k].accepted for k in range(400)) >= 380
     assert len({r.perplexity_limit for r in got.values() if r.lang}) == 2 and got[2000].perplexity_limit
     assert all(r.size == "x" for r in got.values())
 
