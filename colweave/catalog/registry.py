@@ -39,12 +39,16 @@ _QUERIES: dict[str, Query] = {}
 ROUNDS = 10
 
 
-def query(function: Query) -> Query:
+def query(function: Query | None = None, *, name: str | None = None):
+    """Register a query under its own name or another one."""
+    if function is None:
+        return lambda f: query(f, name=name)
+
     @wraps(function)
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return function(spark, folder.rstrip("/"))
 
-    _QUERIES[function.__name__] = run
+    _QUERIES[name or function.__name__] = run
     return run
 
 
@@ -270,6 +274,12 @@ def row_prefix_long(spark, folder):
     return row_prefix(df, df.count() * 4 // 5)
 
 
+@query(name="row_prefix")
+def row_prefix_short(spark, folder):
+    """The first 500 orders by key."""
+    return row_prefix(orders(spark, folder), 500)
+
+
 @query
 def filter_profile(spark, folder):
     counts = profile.distinct_counts(orders(spark, folder).drop("line_id", "target"))
@@ -1090,6 +1100,28 @@ def train_freq(spark, folder):
     return _facts(scorer.predict(test))
 
 
+@query(name="score_pipeline")
+def score_pipeline_query(spark, folder):
+    """Read a CSV folder, replay the fitted state on it, and write the predictions: the whole of scoring."""
+    train, test = split.split_hash(_one_feature(spark, folder))
+    path, out = scratch_path(spark, "score-csv"), scratch_path(spark, "score-out")
+    test.drop("target").write.option("header", True).csv(path)
+    sinks.save_predictions(_ridge_scorer(train).predict(scan.scan_csv(spark, path)), out)
+    return rounded(spark.read.schema("line_id bigint, prediction double").option("header", True).csv(out), 5)
+
+
+@query
+def select_by_samples(spark, folder):
+    """Selection on growing samples: the family that can only predict the mean drops out before the round on all rows."""
+    train, _, names = _frequency_split(spark, folder)
+    shape = models.Shape.of(train, names)
+    families = {"linear": models.ridge(shape), "forest": models.forest(models.REGRESSION), "mean": models.ridge(shape, 1e15)}
+    name, board = search.select_model(families, train, names, models.REGRESSION, samples=(1_000, 4_000))
+    left = {r["model"]: r["score"] for r in board.collect()}
+    facts = (name in left, left.get(name) == max(left.values()), "mean" not in left, name != "mean")
+    return spark.createDataFrame([facts], "winner_on_board boolean, winner_is_best boolean, mean_is_out boolean, learned boolean")
+
+
 @query
 def score_replay(spark, folder):
     train, test = split.split_hash(events(spark, folder))

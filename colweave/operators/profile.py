@@ -163,22 +163,25 @@ def any_missing(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
 def nonconstant_by_prefix(df: DataFrame, steps: Sequence[int], names: Sequence[str], key: str = KEY) -> DataFrame:
     """(step, n_nonconstant): columns that are not constant on the first ``step`` rows by key.
 
-    The cut key of each step comes from narrowing histograms; then one
-    aggregation per 20 columns takes the conditional ends for all steps.
+    A column stays constant up to the first key at which it differs from its first value, so all steps follow from
+    two numbers a column, however many steps there are: one aggregate a column finds the first filled key and its
+    value, another the first key that differs. Each is one pass over the table (sums are combined map-side). A column
+    without a filled value in the prefix does not count as constant. The cut key of each step comes from narrowing histograms.
     """
+    k, names = quoted(key), list(names)
     cuts = rank_cutoffs(df, steps, key)
-    counts = {s: 0 for s in steps}
-    for batch in batches(list(names), 20):
-        aggs = []
-        for i, n in enumerate(batch):
-            for j, s in enumerate(steps):
-                inside = f"case when {quoted(key)} <= {literal(cuts[s])} then {quoted(n)} end"
-                aggs.append(f"min({inside}) = max({inside}) as c{i}_{j}")
-        row = df.selectExpr(*aggs).first()
-        for i in range(len(batch)):
-            for j, s in enumerate(steps):
-                counts[s] += not row[f"c{i}_{j}"]  # null: no filled value, not a constant
-    return df.sparkSession.createDataFrame([(s, counts[s]) for s in steps], "step bigint, n_nonconstant bigint")
+    filled = lambda n: f"if({quoted(n)} is null or {k} is null, null, struct({k} as k, {quoted(n)} as v))"
+    found, _ = per_column(df, names, {"first": "min({v})"}, filled)
+    first = {n: row["first"] for n, row in found.items() if row["first"] is not None}
+    differs = lambda n: f"if({quoted(n)} <> {literal(first[n]['v'])}, {k}, null)"
+    later, _ = per_column(df, list(first), {"key": "min({v})"}, differs)
+
+    def constant(n: str, cut: int | None) -> bool:
+        turn = later[n]["key"] if n in first else None
+        return cut is not None and n in first and first[n]["k"] <= cut and (turn is None or turn > cut)
+
+    counts = [(s, sum(not constant(n, cuts[s]) for n in names)) for s in steps]
+    return df.sparkSession.createDataFrame(counts, "step bigint, n_nonconstant bigint")
 
 
 def column_means(df: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -64,6 +64,23 @@ def test_prefix_growth(spark):
     assert [tuple(r) for r in got] == [(10, 1), (50, 1), (51, 2), (100, 2)]
 
 
+def test_steps_of_many_columns_with_gaps(spark):
+    def cells(k):
+        text = None if k < 4 else "a" if k < 30 else "b"
+        return (k * 3, 1.0 if k < 20 else 2.0, text, None, k == 7, float("nan") if k % 2 else None, *([5 if k < 45 else 6] * 25))
+
+    wide = ", ".join(f"number_w{i} int" for i in range(25))
+    df = spark.createDataFrame(
+        [cells(k) for k in range(1, 51)] + [(None, 9.0, "z", 9.0, True, 9.0, *([9] * 25))],
+        f"line_id long, number_a double, string_a string, number_n double, flag boolean, number_nan double, {wide}",
+    )
+    names = [c for c in df.columns if c != "line_id"]
+    got = dict(tuple(r) for r in profile.nonconstant_by_prefix(df, [0, 1, 3, 4, 6, 7, 19, 20, 30, 44, 45, 50], names).collect())
+    # number_n has no value at all, string_a none before row 4; flag turns at 7 and back, number_a at 20, string_a at 30
+    assert got == {0: 30, 1: 2, 3: 2, 4: 1, 6: 1, 7: 2, 19: 2, 20: 3, 30: 4, 44: 4, 45: 29, 50: 29}
+    assert profile.nonconstant_by_prefix(df.limit(0), [5], names).first().n_nonconstant == 30
+
+
 def test_fills(table):
     first = nulls.fill_constant(table).orderBy("line_id").collect()
     assert [r["number_c"] for r in first] == [1.0, -1.0, 1.0, 1.0]
