@@ -11,11 +11,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colweave.llm.tables import bounded, discard, salted_join, settle
+from colweave.llm.tables import bounded, discard, salted_join, settle, settle_by, unused
 from colweave.llm.text import LOWER, NOT_SPACE, flat, mix, ragged, slices, span_hash, word_spans
 
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_SHARD_GRAMS = 1 << 20
+_PACK_GRAMS = 1 << 22
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -105,7 +107,7 @@ def _words(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _fingerprints(texts: DataFrame, p: Params) -> DataFrame:
-    """(gram, nameless, doc_id, doc, first, fresh): chosen runs by their first word; fresh are those beside a cut."""
+    """(gram, doc_id, doc, first, fresh): chosen runs by their first word; fresh are those beside a cut."""
 
     def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -114,16 +116,64 @@ def _fingerprints(texts: DataFrame, p: Params) -> DataFrame:
             row = np.searchsorted(first, begin, "right") - 1
             # A window over a cut is new, and so may be its choice.
             fresh = np.searchsorted(cuts, begin - p.sure_words) < np.searchsorted(cuts, begin + p.sure_words, "right")
-            ids = part.column("doc_id").take(pa.array(row))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(gram, pa.int64()), ids.is_null(), ids, part.column("doc").take(pa.array(row)),
+                    pa.array(gram, pa.int64()), part.column("doc_id").take(pa.array(row)), part.column("doc").take(pa.array(row)),
                     pa.array(begin - first[row], pa.int32()), pa.array(fresh, pa.bool_()),
                 ],
-                names=["gram", "nameless", "doc_id", "doc", "first", "fresh"],
+                names=["gram", "doc_id", "doc", "first", "fresh"],
             )
 
-    return texts.mapInArrow(choose, "gram long, nameless boolean, doc_id long, doc long, first int, fresh boolean")
+    return texts.mapInArrow(choose, "gram long, doc_id long, doc long, first int, fresh boolean")
+
+
+def _repeated(grams: DataFrame) -> DataFrame:
+    """(gram): those of a settled table that stand in more than one row.
+
+    Every task packs its distinct grams by shard, so that a gram travels at most twice from a task's block and as eight
+    bytes; a shard merges sorted blocks, and holds each of its grams once, however often it stands.
+    """
+    parts = -(-grams.count() // _SHARD_GRAMS) or 1
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def block(held: list[np.ndarray]) -> pa.RecordBatch:
+            found, many = np.unique(np.concatenate(held), return_counts=True)
+            found = np.concatenate([found, found[many > 1]])
+            shard = (found.view(np.uint64) % np.uint64(parts)).astype(np.int32)
+            order = np.argsort(shard, kind="stable")
+            found, numbers = found[order], np.unique(shard)
+            ends = np.searchsorted(shard[order], numbers, "right")
+            rows = [found[a:b].tobytes() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(rows, pa.binary())], names=["shard", "block"])
+
+        held: list[np.ndarray] = []
+        for batch in batches:
+            held.append(batch.column(0).to_numpy())
+            if sum(map(len, held)) >= _PACK_GRAMS:
+                yield block(held)
+                held = []
+        if any(map(len, held)):
+            yield block(held)
+
+    def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = twice = np.zeros(0, np.int64)
+
+        def add(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+            found, many = np.unique(np.concatenate(held), return_counts=True)
+            known = np.isin(found, seen, assume_unique=True)
+            return np.union1d(seen, found), np.union1d(twice, found[known | (many > 1)])
+
+        held: list[np.ndarray] = []
+        for batch in batches:
+            held += [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("block")]
+            if sum(map(len, held)) >= _PACK_GRAMS:
+                seen, twice = add(held)
+                held = []
+        if held:
+            seen, twice = add(held)
+        yield pa.RecordBatch.from_arrays([pa.array(twice, pa.int64())], names=["gram"])
+
+    return grams.select("gram").mapInArrow(pack, "shard int, block binary").repartition(parts, "shard").mapInArrow(merge, "gram long")
 
 
 def _segments(met: DataFrame, p: Params) -> DataFrame:
@@ -234,7 +284,9 @@ def _united(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_words(docs: DataFrame, params: Params | None = None) -> DataFrame:
     """(doc, starts, stops) for the texts of documents (doc, doc_id, text) that lose words: spans of word numbers.
 
+    ``docs`` should be settled by ``doc`` (``settle_by``): every step joins texts with what it knows of them by that key.
     Of equal runs the one with the smallest doc_id (null last), then the first in the text, stays.
+    Only fingerprints that stand twice get places; the others are dropped as bare numbers.
     Rounds go on until no fingerprint stands twice, so that a run whose first
     place shares only a part of it is finished against its other places. Only fingerprints beside
     a cut can stand twice anew, so later rounds read the texts with cuts and compare those.
@@ -243,23 +295,26 @@ def repeated_words(docs: DataFrame, params: Params | None = None) -> DataFrame:
     none = F.lit(None).cast("array<int>")
     uncut = settle(_fingerprints(docs.withColumns({"starts": none, "stops": none}), p), "fingerprints")
     cuts = docs.sparkSession.createDataFrame([], "doc long, starts array<int>, stops array<int>")
-    marks, redone = uncut, None
+    again = settle(_repeated(uncut), "repeated")
+    marks = settle(uncut.join(bounded(again), "gram", "left_semi"), "marks")
+    discard(again)
     while True:
-        place = F.struct("nameless", "doc_id", "doc", "first")
+        place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "doc", "first")
         origins = settle(marks.groupBy("gram").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("_n")).where("_n > 1"), "origins")
         pairs = salted_join(
             marks.select("gram", "doc", "first"), origins.drop("_n"), ["gram"], F.struct("doc", "first"), counts=origins.select("gram", "_n")
         ).where((F.col("doc") != F.col("origin.doc")) | (F.col("first") != F.col("origin.first")))
         one = F.struct("first", F.col("origin.doc").alias("other"), F.col("origin.first").alias("there"))
         segments = settle(_segments(pairs.groupBy("doc").agg(F.collect_list(one).alias("met")), p), "segments")
-        discard(origins, *([] if redone is None else [redone]))
+        discard(origins, marks)
         if segments.isEmpty():
             discard(segments, uncut)
             return cuts
         mine = segments.select("doc", "start", "stop")
         theirs = segments.select("other", "there", (F.col("there") + F.col("stop") - F.col("start")).alias("there_stop"))
         spots = mine.union(theirs).distinct().groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spots"))
-        around = settle(_around(docs.join(spots, "doc").join(cuts, "doc", "left"), p).dropDuplicates(["doc", "start", "stop"]), "around")
+        known = spots.join(cuts, "doc", "left").hint("shuffle_hash")
+        around = settle(_around(docs.join(known, "doc"), p).dropDuplicates(["doc", "start", "stop"]), "around")
         there = around.toDF("other", "there", "there_stop", "before_there", "after_there")
         whole = segments.withColumn("there_stop", F.col("there") + F.col("stop") - F.col("start")).join(around, ["doc", "start", "stop"])
         met_by = settle(theirs.groupBy("other", "there", "there_stop").agg(F.count(F.lit(1)).alias("_n")), "counts")
@@ -270,9 +325,12 @@ def repeated_words(docs: DataFrame, params: Params | None = None) -> DataFrame:
         both = settle(runs.join(cuts, "doc", "full").mapInArrow(_united, "doc long, starts array<int>, stops array<int>"), "cuts")
         discard(segments, around, met_by, cuts)
         cuts = both
-        redone = settle(_fingerprints(docs.join(cuts, "doc"), p), "fingerprints")
-        marks = uncut.join(bounded(cuts.select("doc")), "doc", "left_anti").unionByName(redone)
-        marks = marks.join(bounded(redone.where("fresh").select("gram").distinct()), "gram", "left_semi")
+        redone = settle(_fingerprints(docs.join(cuts.hint("shuffle_hash"), "doc"), p), "fingerprints")
+        fresh = settle(redone.where("fresh").select("gram").distinct(), "fresh")
+        grams = bounded(fresh)
+        old = uncut.join(grams, "gram", "left_semi").join(bounded(cuts.select("doc")), "doc", "left_anti")
+        marks = settle(old.unionByName(redone.join(grams, "gram", "left_semi")), "marks")
+        discard(redone, fresh)
 
 
 def _rewritten(text: str, gone: np.ndarray) -> tuple[str, list[int]]:
@@ -309,13 +367,15 @@ def dedup_lines(docs: DataFrame, params: Params | None = None) -> DataFrame:
     that lost every word is taken out; lines without words stay. A null text stays null, an empty one empty.
     Rows that repeat both doc_id and text are one document: they lose the same
     words and are not compared with each other. Input columns with the new names
-    are replaced; other columns, whatever their names, stay.
+    are replaced; other columns, whatever their names, stay. All rows are written once, in buckets.
     """
     docs = docs.drop("removed_lines", "removed_words").withColumn("text", F.col("text").cast("string"))
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
-    cuts = repeated_words(docs.select(key.alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), "text"), params)
-    cuts = cuts.select(F.col("doc").alias("_line_doc"), F.col("starts").alias("removed_lines"), F.col("stops").alias("removed_words"))
-    joined = docs.join(cuts, key == F.col("_line_doc"), "left").drop("_line_doc")
+    key = unused(docs, "line_doc")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 64
+    docs = settle_by(docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))), key, size, "texts")
+    cuts = repeated_words(docs.select(F.col(key).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), "text"), params)
+    cuts = cuts.select(F.col("doc").alias(key), F.col("starts").alias("removed_lines"), F.col("stops").alias("removed_words"))
+    joined = docs.join(cuts.hint("shuffle_hash"), key, "left").drop(key)
     fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in joined.schema.fields[:-1])
     place, names = joined.columns.index("text"), joined.columns
 

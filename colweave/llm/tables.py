@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colweave.session import settle
+from colweave.session import scratch_path, settle
 
-__all__ = ["bounded", "discard", "read", "salted_join", "settle"]
+__all__ = ["bounded", "discard", "read", "salted_join", "settle", "settle_by", "unused"]
 
 BROADCAST_ROWS = 2_000_000
+BUCKET_BYTES = 64 << 20
+MOST_BUCKETS = 100_000  # Spark's own limit
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,6 +25,27 @@ def bounded(ids: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= rows else ids
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has (names are compared without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def settle_by(df: DataFrame, key: str, size: Column, name: str) -> DataFrame:
+    """Write ``df`` once in buckets by hash of ``key``: later joins on the key move the other side only.
+
+    ``size`` is the bytes of a row; a bucket holds about 64 MB, and there are never fewer buckets than shuffle partitions.
+    """
+    spark = df.sparkSession
+    total = df.agg(F.sum(size)).first()[0] or 0
+    parts = min(MOST_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES)))
+    path, table = scratch_path(spark, name), f"{name}_{uuid.uuid4().hex}"
+    df.repartition(parts, key).write.bucketBy(parts, key).options(path=path, compression="zstd").saveAsTable(table)
+    return spark.table(table)
+
+
 def discard(*settled: DataFrame) -> None:
     """Delete settled tables that nothing reads any more; shared storage is freed at once."""
     for df in settled:

@@ -4,8 +4,11 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_rows import frame, odd_rows, words  # noqa: F401
 import numpy as np
+from pyspark.sql import functions as F
 
+from colweave.llm import line_dedup
 from colweave.llm.line_dedup import Params, dedup_lines, winnow
+from colweave.llm.tables import settle, settle_by
 
 
 def passage(n, seed, lines=4):
@@ -128,3 +131,35 @@ def test_a_long_line_beside_many_short_ones(spark):
     assert got[0] == rows[0][1]
     for k in (1, 2, 4, 5):
         assert got[k] == f"x{k} {words(20, 50 + k)}\ny{k} {words(20, 70 + k)}"
+
+
+def test_names_of_the_operator_as_input_columns(spark):
+    rows = [(k, f"x{k} {words(20, 50 + k)}\n{words(60, 1)}", None) for k in range(3)]
+    taken = ["line_doc", "LINE_DOC_", "_line_doc", "starts", "stops", "gram", "first", "spots", "fresh"]
+    table = frame(spark, rows).withColumns({name: F.lit(name) for name in taken})
+    got = dedup_lines(table)
+    assert got.columns == [*table.columns, "removed_lines", "removed_words"]
+    assert sorted((r.doc_id, r.removed_words) for r in got.collect()) == [(0, 0), (1, 60), (2, 60)]
+    assert all([r[name] for name in taken] == taken for r in got.collect())
+
+
+def test_repeated_grams_are_those_of_more_than_one_row(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_SHARD_GRAMS", 500)
+    rng = np.random.default_rng(4)
+    grams = np.concatenate([rng.integers(-(2**63), 2**63 - 1, 3000), np.full(2000, -7)])
+    grams = np.concatenate([grams, grams[:400], grams[:100]])
+    rng.shuffle(grams)
+    table = settle(spark.createDataFrame([(int(g),) for g in grams], "gram long").repartition(7), "grams")
+    got = [r.gram for r in line_dedup._repeated(table).collect()]
+    values, many = np.unique(grams, return_counts=True)
+    assert sorted(got) == values[many > 1].tolist()
+    assert line_dedup._repeated(settle(table.limit(0), "none")).collect() == []
+
+
+def test_texts_are_moved_once(spark):
+    texts = settle_by(spark.createDataFrame([(k, str(k)) for k in range(50)], "doc long, text string"), "doc", F.length("text"), "moved")
+    few = spark.createDataFrame([(k, k) for k in range(0, 50, 3)], "doc long, n long").groupBy("doc").agg(F.max("n").alias("n"))
+    joined = texts.join(few.hint("shuffle_hash"), "doc")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert sorted(r.n for r in joined.collect()) == list(range(0, 50, 3))
