@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from colweave.llm.tables import unused
+
 BROADCAST_BYTES = 8 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 AFTER_SCHEME = "(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -99,7 +101,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     pattern rule by name; the verdict is that of ``rule``, else of ``pattern``, else
     ``default``. A null url, or one without ``://``, has an empty host and path,
     and no rule fits it. Repeated rows stay. Input columns with the names of the
-    new ones are replaced. Without rules everything gets the default.
+    new ones are replaced; others, whatever their names, stay. Without rules everything gets the default.
 
     A rule is listed under its literal token that the fewest URLs hold, counted
     over all URLs. The tokens of the distinct URLs fetch candidates, only those
@@ -107,6 +109,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     """
     url = F.col("url").cast("string")
     pages = pages.drop("host", "path", "rule", "pattern", "verdict")
+    at, by_rule, by_pattern = (unused(pages, name) for name in ("judged_url", "judged_rule", "judged_pattern"))
     urls = pages.select(url.alias("url")).where("url is not null").distinct()
     whole = F.translate(F.regexp_extract("url", WHOLE, 1), UPPER, LOWER)
     parsed = urls.select(
@@ -127,16 +130,16 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     fits = candidates.where(F.expr("case when subject = 'page' then page rlike pattern else all rlike pattern end"))
     of_page, size = F.col("subject") == "page", F.length("name")
     best = fits.groupBy("url").agg(
-        F.max(F.when(of_page, F.struct(size.alias("size"), "name", "verdict"))).alias("_judged_rule"),
-        F.min(F.when(~of_page, F.struct("name", "verdict"))).alias("_judged_pattern"),
+        F.max(F.when(of_page, F.struct(size.alias("size"), "name", "verdict"))).alias(by_rule),
+        F.min(F.when(~of_page, F.struct("name", "verdict"))).alias(by_pattern),
     )
-    known = pages.where(url.isNotNull()).join(best.withColumnRenamed("url", "_judged_url"), url == F.col("_judged_url"), "left").drop("_judged_url")
+    known = pages.where(url.isNotNull()).join(best.withColumnRenamed("url", at), url == F.col(at), "left").drop(at)
     nothing = F.lit(None)
-    unknown = pages.where(url.isNull()).withColumns({c: nothing.cast(known.schema[c].dataType) for c in ("_judged_rule", "_judged_pattern")})
+    unknown = pages.where(url.isNull()).withColumns({c: nothing.cast(known.schema[c].dataType) for c in (by_rule, by_pattern)})
     return known.unionByName(unknown).withColumns({
         "host": host_of(url),
         "path": path_of(url),
-        "rule": F.col("_judged_rule.name"),
-        "pattern": F.col("_judged_pattern.name"),
-        "verdict": F.coalesce(F.col("_judged_rule.verdict"), F.col("_judged_pattern.verdict"), F.lit(default)),
-    }).drop("_judged_rule", "_judged_pattern")
+        "rule": F.col(f"{by_rule}.name"),
+        "pattern": F.col(f"{by_pattern}.name"),
+        "verdict": F.coalesce(F.col(f"{by_rule}.verdict"), F.col(f"{by_pattern}.verdict"), F.lit(default)),
+    }).drop(by_rule, by_pattern)

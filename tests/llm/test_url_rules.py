@@ -57,3 +57,14 @@ def test_no_python_in_the_plan(spark):
     pages = spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string")
     plan = U.judge(pages, U.rule_table(spark, U.PAGE_RULES))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_names_of_the_operator_as_input_columns(spark):
+    taken = ["judged_url", "_judged_url", "_judged_rule", "Judged_Rule", "judged_pattern", "whole", "token", "page", "held_by", "name", "subject"]
+    rows = [(k, u, *taken) for k, u in enumerate(URLS)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, " + ", ".join(f"`{name}` string" for name in taken))
+    got = U.judge(pages, U.rule_table(spark, [*U.PAGE_RULES, *U.PATTERN_RULES]))
+    assert got.columns == [*pages.columns, "host", "path", "rule", "pattern", "verdict"]
+    got = got.collect()
+    assert {r.page_id: (r.host, r.path, r.rule, r.pattern, r.verdict) for r in got} == {k: brute(u) for k, u in enumerate(URLS)}
+    assert all([r[name] for name in taken] == taken for r in got)
