@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from colweave.llm.tables import discard, settle
+from colweave.llm.tables import discard, settle, unused
 
 ROW_BYTES = 8
 _HALF = 1 << 63
@@ -43,26 +43,33 @@ def _key(high: int, low: int) -> int:
     return ((high + _HALF) << 64) | (low + _HALF)
 
 
-def _below(high: np.ndarray, low: np.ndarray, cuts: list[int]) -> np.ndarray:
-    """For every row the number of cuts that are not above its key."""
-    pairs = [_pair(c) for c in cuts]
-    top = np.array([p[0] for p in pairs], np.int64)
-    out = np.searchsorted(top, high, "left")
-    for value in np.unique(top):
-        here = np.flatnonzero(high == value)
-        if len(here):
-            own = np.array([p[1] for p in pairs if p[0] == value], np.int64)
-            out[here] += np.searchsorted(own, low[here], "right")
+def _bounds(cuts: list[int]) -> np.ndarray:
+    """Ascending cuts as two rows of signed numbers: upper and lower halves."""
+    return np.array([_pair(c) for c in cuts], np.int64).reshape(-1, 2).T
+
+
+def _below(high: np.ndarray, low: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """For every row the number of cuts that are not above its key; lower halves are searched where the upper ones are equal."""
+    top, own = bounds
+    out, stop = np.searchsorted(top, high, "left"), np.searchsorted(top, high, "right")
+    live = np.flatnonzero(out < stop)
+    while len(live):
+        middle = (out[live] + stop[live]) // 2
+        up = own[middle] <= low[live]
+        out[live[up]] = middle[up] + 1
+        stop[live[~up]] = middle[~up]
+        live = live[out[live] < stop[live]]
     return out
 
 
 def _histogram(keys: DataFrame, cuts: list[int]) -> dict[int, tuple[int, int, int]]:
     """Bucket -> (bytes, smallest key, largest key), with exact bytes; one small row per task and bucket."""
+    bounds = _bounds(cuts)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             high, low, size = (batch.column(c).to_numpy() for c in ("high", "low", "size"))
-            bucket = _below(high, low, cuts)
+            bucket = _below(high, low, bounds)
             order = np.lexsort((low, high, bucket))
             found, at = np.unique(bucket[order], return_index=True)
             last = np.append(at[1:], len(order)) - 1
@@ -126,44 +133,45 @@ def shard(docs: DataFrame, params: Params | None = None) -> DataFrame:
     the text (null: none) plus 8. ``slot`` counts a shard's rows from 0 without
     gaps. A null doc_id comes first among equal texts, and rows equal in both
     keep one place in the order, whichever comes first. An empty table
-    gives an empty result. Columns of the input that are called size, shard,
-    slot or part, or start with ``_shard_``, are replaced or dropped.
+    gives an empty result. Input columns that are called size, shard or slot
+    are replaced; others, whatever their names, stay.
 
     The keys are settled once (24 bytes a row), each round of the histogram sort
     reads only them, and the texts are exchanged once, by part; a hot group of
     equal texts is cut between its doc_ids like any other stretch of the order.
     """
     p = params or Params()
-    own = ("size", "shard", "slot", "part")
-    docs = docs.drop(*own, *[c for c in docs.columns if c.startswith("_shard_")])
+    docs = docs.drop("size", "shard", "slot")
+    above, beneath, within = (unused(docs, name) for name in ("text_hash", "id_order", "part"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     marked = docs.withColumns({
         "size": (F.octet_length(text) + ROW_BYTES).cast("long"),
-        "_shard_high": F.xxhash64(text),
-        "_shard_low": F.coalesce(F.col("doc_id").cast("long"), F.lit(-_HALF)),
+        above: F.xxhash64(text),
+        beneath: F.coalesce(F.col("doc_id").cast("long"), F.lit(-_HALF)),
     })
-    keys = settle(marked.select(F.col("_shard_high").alias("high"), F.col("_shard_low").alias("low"), "size"), "keys")
+    keys = settle(marked.select(F.col(above).alias("high"), F.col(beneath).alias("low"), "size"), "keys")
     total = keys.agg(F.sum("size")).first()[0] or 0
     each = min(max(p.least_parts, -(-total // (p.shards * p.part_bytes))), max(1, p.most_parts // p.shards))
     cuts = _splitters(keys, p.shards * each, total, p) if total else []
+    bounds = _bounds(cuts)
 
     def locate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            part = _below(batch.column("_shard_high").to_numpy(), batch.column("_shard_low").to_numpy(), cuts)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part, pa.int32())], names=[*batch.schema.names, "part"])
+            part = _below(batch.column(above).to_numpy(), batch.column(beneath).to_numpy(), bounds)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part, pa.int32())], names=[*batch.schema.names, within])
 
     kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in marked.schema.fields)
-    placed = marked.mapInArrow(locate, f"{kinds}, part int")
+    placed = marked.mapInArrow(locate, f"{kinds}, `{within}` int")
     counts = [0] * (p.shards * each)
-    for row in keys.withColumnsRenamed({"high": "_shard_high", "low": "_shard_low"}).mapInArrow(
-        locate, "_shard_high long, _shard_low long, size long, part int"
-    ).groupBy("part").count().collect():
-        counts[row["part"]] = row["count"]
+    for row in keys.withColumnsRenamed({"high": above, "low": beneath}).mapInArrow(
+        locate, f"`{above}` long, `{beneath}` long, size long, `{within}` int"
+    ).groupBy(within).count().collect():
+        counts[row[within]] = row["count"]
     discard(keys)
     before = [sum(counts[k - k % each : k]) for k in range(len(counts))]
     offset = F.array(*[F.lit(b).cast("long") for b in before])
-    in_part = F.row_number().over(Window.partitionBy("part").orderBy("_shard_high", "_shard_low"))
+    in_part = F.row_number().over(Window.partitionBy(within).orderBy(above, beneath))
     return placed.withColumns({
-        "shard": (F.col("part") / each).cast("int"),
-        "slot": (F.element_at(offset, F.col("part") + 1) + in_part - 1).cast("long"),
-    }).drop("_shard_high", "_shard_low", "part")
+        "shard": (F.col(within) / each).cast("int"),
+        "slot": (F.element_at(offset, F.col(within) + 1) + in_part - 1).cast("long"),
+    }).drop(above, beneath, within)
