@@ -96,3 +96,31 @@ def test_items_that_are_longer_than_the_document(spark):
     }
     assert all(c["similarity"] >= 0.8 for v in got.values() for c in v)
     assert {r.doc_id for r in D.decontaminate(frame(spark, rows), benchmark).collect()} == {4, 5, 6, 7}
+
+
+def test_edited_passages_near_the_limit_are_found(spark):
+    """Replaced words at random places: of the passages whose best window lies at 0.8 to 0.9, at least 98 in 100 are found."""
+    rng = np.random.default_rng(11)
+    bench = [(k, words(45 + 4 * k, 8100 + k)) for k in range(24)]
+    rows = []
+    for k, text in bench:
+        for j in range(25):
+            edited = text.split()
+            for at in rng.choice(len(edited), 1 + j % 3, replace=False):
+                edited[at] = f"new{k}x{j}x{at}"
+            rows.append((100 * k + j, f"{words(6, 60_000 + j)} {' '.join(edited)} {words(6, 61_000 + j)}", "en"))
+    p = D.Params()
+    index = D.Index([i for i, _ in bench], [t for _, t in bench], p)
+    near = {}
+    for doc_id, text, _ in rows:
+        hashed, _first = D._word_hashes(pa.array([text], pa.string()))
+        weights, k = index.weights(hashed), index.ids.index(doc_id // 100)
+        size = int(index.sizes[k])
+        best = max(D.similarity(index.bag(hashed[s : s + size], weights[s : s + size]), index.bags[k]) for s in range(len(hashed) - size + 1))
+        if best >= p.similarity:
+            near[doc_id] = best
+    found = {r.doc_id: [c.item_id for c in r.contaminated_by] for r in D.mark(frame(spark, rows), items(spark, bench)).collect()}
+    edge = [d for d, s in near.items() if s < 0.9]
+    hit = [d for d in edge if found[d] == [d // 100]]
+    assert len(edge) >= 150 and len(hit) >= 0.98 * len(edge)
+    assert all(not found[d] for d in found if d not in near)
