@@ -474,6 +474,29 @@ _SQL["freq_replay_skewed"] = orders(
     "c as (select id_0, count(*) n from s where not is_test and id_0 <> 'new' group by 1)",
 )
 
+
+
+def running_target(name: str, rows: str) -> str:
+    before = f"over (partition by {name} order by {FOLD_HASH}, line_id rows between unbounded preceding and 1 preceding)"
+    return f"(coalesce(sum(target) {before}, 0) + (select avg(target) from {rows})) / (count(target) {before} + 1)"
+
+
+_ENCODED = ["string_0", "string_1", "id_0"]
+_SQL["ordered_target"] = orders(
+    "select line_id, target, " + ", ".join(f"{r(running_target(c, 'f'))} {c}" for c in _ENCODED) + " from f"
+).replace("select line_id, target,", f"select line_id, {r('target')} target,")
+_SQL["ordered_target_skewed"] = orders(
+    f"select line_id, {r('target')} target, {r(running_target('id_0', 's'))} id_0 from s",
+    "s as (select line_id, target, case when line_id % 8 < 4 then 'c' when line_id % 8 >= 6 then id_0 end id_0 from f)",
+)
+_SQL["target_replay"] = orders(
+    f"select line_id, {r('coalesce(a.m, p.m)')} string_0, {r('coalesce(b.m, p.m)')} id_0 from f cross join p "
+    "left join a on f.string_0 is not distinct from a.string_0 left join b on f.id_0 is not distinct from b.id_0 "
+    f"where {IN_TEST}",
+    f"t as (select * from f where not ({IN_TEST}))", "p as (select avg(target) m from t)",
+    *[f"{a} as (select {c}, (sum(target) + any_value(p.m)) / (count(target) + 1) m from t, p group by 1)" for a, c in (("a", "string_0"), ("b", "id_0"))],
+)
+
 # ---------------------------------------------------------------- profiles and selection
 
 _SQL["drop_constant"] = orders("select * exclude (number_const) from f")
@@ -557,6 +580,22 @@ _SQL["pca_two_columns"] = orders(
     "l as (select (a + c) / 2 + sqrt((a - c) * (a - c) / 4 + b * b) big, (a + c) / 2 - sqrt((a - c) * (a - c) / 4 + b * b) small from m)",
 )
 
+# Power steps on the covariance of the vectors; the share of the last one.
+_SQL["pca_leading"] = f"""with recursive x as (select vec_id, unnest(range(64)) i, unnest(embedding) v from embeddings),
+ m as (select i, avg(v) a from x group by 1), z as (select vec_id, x.i, v - a v from x join m on x.i = m.i),
+ c as (select p.i, q.i j, sum(p.v::double * q.v) s from z p join z q on p.vec_id = q.vec_id group by 1, 2),
+ l as (select i, list(s order by j) s from c group by 1), w as (select list(s order by i) c from l),
+ steps as (select 0 k, list_transform(range(64), lambda i: 1.0::double + i % 7) v, 0::double size from range(1) union all
+  select k + 1, list_transform(u, lambda e: e / sqrt(list_dot_product(u, u))), sqrt(list_dot_product(u, u)) from (
+   select k, list_transform(c, lambda row: list_dot_product(row, v)) u from steps, w where k < 500))
+ select cast(1 as integer) component, {r("size / (select sum(s) from c where i = j)", 5)} ratio from steps where k = 500"""
+_SQL["pca_leading_columns"] = orders(
+    f"select line_id, {r('abs(cos(t) * x + sin(t) * y)', 4)} c1, {r('abs(cos(t) * y - sin(t) * x)', 4)} c2, {r('big / (a + c)', 4)} ratio from z, l",
+    "z as (select line_id, coalesce(number_0 - avg(number_0) over (), 0) x, number_1 - avg(number_1) over () y from f)",
+    "m as (select avg(x * x) a, avg(y * y) c, avg(x * y) b from z)",
+    "l as (select a, c, (a + c) / 2 + sqrt((a - c) * (a - c) / 4 + b * b) big, atan2(2 * b, a - c) / 2 t from m)",
+)
+
 
 def scale_by(names: Iterable[str], source: str, stats: str, digits: int = 6, single: bool = False) -> str:
     def value(c: str) -> str:

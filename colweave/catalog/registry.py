@@ -16,6 +16,7 @@ from colweave import tables
 from colweave.functions import dates, scalars
 from colweave.operators import (
     encode,
+    leading,
     narrow,
     nulls,
     profile,
@@ -25,6 +26,7 @@ from colweave.operators import (
     select,
     sketched,
     split,
+    target,
 )
 from colweave.operators.order import row_prefix
 from colweave.plans import models, pipeline, response, ridge, search, stack
@@ -567,6 +569,28 @@ def freq_replay_skewed(spark, folder):
     return encode.fit_frequency(known).apply(skewed(test), most_rows=0)
 
 
+@query
+def ordered_target(spark, folder):
+    """Text and id columns as the mean label of the earlier rows of each value."""
+    df = orders(spark, folder).select("line_id", "string_0", "string_1", "id_0", "target")
+    return rounded(target.ordered_target_encode(df))
+
+
+@query
+def ordered_target_skewed(spark, folder):
+    """Half of the rows hold one value, a quarter none."""
+    part = F.col("line_id") % 8
+    value = F.when(part < 4, F.lit("c")).when(part >= 6, F.col("id_0"))
+    return rounded(target.ordered_target_encode(orders(spark, folder).select("line_id", value.alias("id_0"), "target")))
+
+
+@query
+def target_replay(spark, folder):
+    """The held-out rows by the mean label of each value in the others; id_0 goes by shuffle."""
+    train, test = split.split_hash(orders(spark, folder).select("line_id", "string_0", "id_0", "target"))
+    return rounded(target.fit_target_means(train).apply(test.drop("target"), most_rows=5))
+
+
 # ---------------------------------------------------------------- profiles and selection
 
 
@@ -678,6 +702,24 @@ def pca_two_columns(spark, folder):
     return rounded(found)
 
 
+@query
+def pca_leading(spark, folder):
+    """The component of most variance of the vectors, found without the matrix of their columns."""
+    df = tables.embedding_features(spark, folder)
+    found = leading.leading_components(df, project.by_prefix(df.columns), 1)
+    return rounded(found.table(spark).select("component", "ratio"), 5)
+
+
+@query
+def pca_leading_columns(spark, folder):
+    """All components of two columns over all rows, missing values as the mean, and each row on them up to the sign."""
+    df = orders(spark, folder)
+    found = leading.leading_components(df, ["number_0", "number_1"], 2, block=1)
+    rows = found.apply(df, "c").selectExpr("line_id", "abs(c1) as c1", "abs(c2) as c2")
+    share = found.table(spark).where("component = 1").select("ratio")
+    return rounded(rows.crossJoin(F.broadcast(share)), 4)  # one row
+
+
 @query
 def scale_fit(spark, folder):
     df = tables.read(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", *LINE_NUMBERS)
