@@ -189,8 +189,13 @@ _SQL["depth_search"] = "select true in_order, true steady, true ended, true kept
 _SQL["boost_curve"] = "select cast(10 as bigint) rounds, true comes_down, true positive"
 _SQL["feature_response"] = "select true shares_one, true bounded"
 _SQL["batch_runs"] = orders(
-    f"select 'orders' dataset, 'regression' \"mode\", count(*) \"rows\", true score_ok, true timed, true named from f where not ({IN_TEST}) "
-    f"union all select 'events', 'classification', count(*), true, true, true from events where not ({_EVENT_TEST})"
+    "select s.*, true score_ok, true timed, true named, true sized, true with_parameters from ("
+    "select 'orders' dataset, 'regression' \"mode\", cast(count(*) filter (not is_test) as bigint) \"rows\", "
+    f"cast({len(COLUMNS) + 1 + len(FIVE)} as bigint) \"columns\", "
+    "'LinearRegressionModel' \"method\", count(*) filter (is_test) predicted_rows, count(*) filter (is_test) written, "
+    f"cast(sum(line_id) filter (is_test) as bigint) key_sum from (select line_id, {IN_TEST} is_test from f) "
+    "union all select 'events', 'classification', count(*) filter (not is_test), 11, 'LogisticRegressionModel', count(*) filter (is_test), "
+    f"count(*) filter (is_test), cast(sum(event_id) filter (is_test) as bigint) from (select event_id, {_EVENT_TEST} is_test from events)) s"
 )
 
 

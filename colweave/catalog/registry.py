@@ -1179,10 +1179,20 @@ def batch_runs(spark, folder):
         "orders": (models.REGRESSION, *split.split_hash(orders(spark, folder))),
         "events": (models.CLASSIFICATION, *split.split_hash(events(spark, folder))),
     }
-    runs = pipeline.run_all(spark, sets, models.linear, pipeline.FREQUENCY)
+    out = scratch_path(spark, "batch-predictions")
+    runs = pipeline.run_all(spark, sets, models.linear, pipeline.FREQUENCY, out)
     path = scratch_path(spark, "batch-metrics")
     sinks.append_metrics(runs, path)
     back = spark.read.schema(runs.schema).option("header", True).csv(path)
     score_ok = F.when(F.col("mode") == models.REGRESSION, F.col("score") > 0).otherwise(F.col("score").between(0.3, 1.0))
     timed = (F.col("train_seconds") > 0) & (F.col("predict_seconds") > 0)
-    return back.select("dataset", "mode", "rows", score_ok.alias("score_ok"), timed.alias("timed"), (F.length("run_id") == 36).alias("named"))
+    written = None
+    for name in sets:
+        part = spark.read.schema("line_id bigint, prediction double").option("header", True).csv(f"{out}/{name}")
+        facts = part.agg(F.lit(name).alias("dataset"), F.count("prediction").alias("written"), F.sum("line_id").alias("key_sum"))
+        written = facts if written is None else written.unionByName(facts)
+    return back.join(F.broadcast(written), "dataset").select(  # one row a set
+        "dataset", "mode", "rows", "columns", "method", "predicted_rows", "written", "key_sum", score_ok.alias("score_ok"), timed.alias("timed"),
+        (F.length("run_id") == 36).alias("named"), (F.col("train_bytes") > 0).alias("sized"),
+        F.get_json_object("parameters", "$.maxIter").isNotNull().alias("with_parameters"),
+    )

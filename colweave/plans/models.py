@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -118,6 +119,11 @@ class Fitted:
         """(key, label if present, prediction): the value, the label, or the probability of class 1."""
         return self.predict_vectors(vectors(df, self.names), probability)
 
+    def described(self) -> dict[str, str]:
+        """The method and its parameters as JSON, for run metrics."""
+        given = {p.name: v for p, v in self.model.extractParamMap().items()}
+        return {"method": type(self.model).__name__, "parameters": json.dumps(given, default=str, sort_keys=True)}
+
     def predict_vectors(self, df: DataFrame, probability: bool = False) -> DataFrame:
         keep = [c for c in (KEY, LABEL) if c in df.columns]
         scored = self.model.transform(df)

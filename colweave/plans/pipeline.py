@@ -44,6 +44,8 @@ from colweave.plans.models import CLASSIFICATION, REGRESSION, Fitted, Shape, fit
 from colweave.plans.search import depth_search, select_model
 from colweave.schema import KEY, LABEL, Roles, is_number, plain_numbers, quoted
 from colweave.session import discard, settle
+from colweave.sources.scan import file_bytes
+from colweave.sources.sinks import save_predictions
 
 
 @dataclass(frozen=True)
@@ -211,6 +213,13 @@ class Scorer:
         return self.fitted.predict(self.prepared.transform(df), probability)
 
 
+def _sized(prepared: Prepared, written: DataFrame) -> Prepared:
+    """With the bytes of the written training table among the facts: a listing of its files."""
+    folders = sorted({name.rpartition("/")[0] for name in written.inputFiles()})
+    size = sum(file_bytes(written.sparkSession, folder) for folder in folders)
+    return replace(prepared, facts={**prepared.facts, "train_bytes": size})
+
+
 def train(
     df: DataFrame, mode: str, estimator: Callable[[Shape], Estimator] | Estimator,
     recipe: Recipe = ONEHOT, roles: Roles | None = None,
@@ -220,7 +229,7 @@ def train(
     The source is read once: its rows are settled for the passes of the fit and deleted after it.
     """
     df = settle(df, "train")
-    prepared = prepare(df, recipe, roles)
+    prepared = _sized(prepare(df, recipe, roles), df)
     made = estimator if isinstance(estimator, Estimator) else estimator(prepared.shape)
     fitted = fit(made, prepared.transform(df), prepared.used)
     discard(df)
@@ -239,7 +248,7 @@ def train_best(
     rest is needed for the final fit. Gives the scorer and the leaderboard of the last round.
     """
     df = settle(df, "train")
-    prepared = prepare(df, recipe, roles)
+    prepared = _sized(prepare(df, recipe, roles), df)
     table = settle(prepared.transform(df), "prepared")
     name, board = select_model(candidates, table, prepared.used, mode, samples, prepared.facts["rows"])
     best = candidates[name]
@@ -250,30 +259,47 @@ def train_best(
     return Scorer(prepared, fitted, mode), board
 
 
-def run_metrics(spark: SparkSession, prepared: Prepared, **more: Any) -> DataFrame:
-    """One row of run metrics: the counts of a fit, the seconds of its steps, and what the caller measured
-    (best method, its parameters, sizes)."""
-    row = {**prepared.facts, **{f"seconds_{k}": float(v) for k, v in prepared.seconds.items()}, **more}
+def run_metrics(spark: SparkSession, fitted: Prepared | Scorer, **more: Any) -> DataFrame:
+    """One row of run metrics: the counts of a fit, the seconds of its steps, and what the caller measured.
+
+    A scorer also gives its mode, the method that was chosen, its parameters (JSON) and the bytes of its training table.
+    """
+    prepared = fitted.prepared if isinstance(fitted, Scorer) else fitted
+    row = {**prepared.facts, **{f"seconds_{k}": float(v) for k, v in prepared.seconds.items()}}
+    if isinstance(fitted, Scorer):
+        row |= {"mode": fitted.mode, **fitted.fitted.described()}
+    row |= more
     return spark.createDataFrame([tuple(row.values())], list(row))
 
 
 def run_all(
     spark: SparkSession, sets: Mapping[str, tuple[str, DataFrame, DataFrame]],
-    estimator: Callable[[str, Shape], Estimator], recipe: Recipe = ONEHOT,
+    estimator: Callable[[str, Shape], Estimator], recipe: Recipe = ONEHOT, out: str | None = None,
 ) -> DataFrame:
-    """Train, predict and score each named (mode, train, test) set; one metrics row per set."""
+    """Train, predict and score each named (mode, train, test) set; one metrics row per set.
+
+    With ``out`` the predictions of a set go to ``out``/name. They are computed once, for the file and for the score.
+    """
     run, rows = str(uuid.uuid4()), []
     for name, (mode, train_table, test_table) in sets.items():
         start = time.monotonic()
         scorer = train(train_table, mode, lambda shape, mode=mode: estimator(mode, shape), recipe)
         fitted_at = time.monotonic()
-        scored = scorer.predict(test_table)
+        scored = settle(scorer.predict(test_table), "scored")
+        if out:
+            save_predictions(scored, f"{out}/{name}")
         value = (rmse(scored) if mode == REGRESSION else auc_of_labels(scored)).first()[0]
-        facts = scorer.prepared.facts
-        rows.append((run, name, mode, facts["rows"], facts["used_columns"], value, fitted_at - start, time.monotonic() - fitted_at))
+        predicted = scored.count()
+        discard(scored)
+        facts, method = scorer.prepared.facts, scorer.fitted.described()
+        rows.append((
+            run, name, mode, facts["rows"], facts["used_columns"], value, fitted_at - start, time.monotonic() - fitted_at,
+            method["method"], method["parameters"], facts["columns"], facts["train_bytes"], predicted,
+        ))
     return spark.createDataFrame(
         rows, "run_id string, dataset string, mode string, rows bigint, used_columns bigint, score double,"
-        " train_seconds double, predict_seconds double",
+        " train_seconds double, predict_seconds double, method string, parameters string, columns bigint, train_bytes bigint,"
+        " predicted_rows bigint",
     )
 
 

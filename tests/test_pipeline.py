@@ -109,7 +109,7 @@ def test_save_and_load(spark, orders, name, tmp_path):
     assert a == pytest.approx(b)
 
 
-def test_train_best_and_batch(spark, folder, orders):
+def test_train_best_and_batch(spark, folder, orders, tmp_path):
     train, test = split.split_hash(orders)
     scorer, board = pipeline.train_best(train, models.REGRESSION, {"forest": models.forest(models.REGRESSION, 3)}, depths=[2, 3])
     assert board.count() == 1 and scorer.predict(test).count() == test.count()
@@ -120,7 +120,15 @@ def test_train_best_and_batch(spark, folder, orders):
         "orders": (models.REGRESSION, train, test),
         "events": (models.CLASSIFICATION, *split.split_hash(tables.events_features(spark, folder))),
     }
-    rows = {r["dataset"]: r for r in pipeline.run_all(spark, sets, models.linear, pipeline.FREQUENCY).collect()}
+    out = str(tmp_path / "predictions")
+    rows = {r["dataset"]: r for r in pipeline.run_all(spark, sets, models.linear, pipeline.FREQUENCY, out).collect()}
+    back = spark.read.schema("line_id bigint, prediction double").option("header", True).csv(f"{out}/orders")
+    assert rows["orders"]["predicted_rows"] == back.where("prediction is not null").count() == test.count()
+    joined = back.join(test.select("line_id", "target"), "line_id")
+    assert joined.agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("target"), 2)))).first()[0] == pytest.approx(rows["orders"]["score"])
+    metrics = pipeline.run_metrics(spark, scorer, dataset="orders").first()
+    assert metrics["method"] == "RandomForestRegressionModel" and '"maxDepth": ' in metrics["parameters"]
+    assert metrics["mode"] == models.REGRESSION and metrics["train_bytes"] > 0 and metrics["dataset"] == "orders"
     assert rows["orders"]["rows"] == train.count() and len({r["run_id"] for r in rows.values()}) == 1
     assert rows["orders"]["score"] < test.agg(F.stddev_pop("target")).first()[0]
     assert 0 <= rows["events"]["score"] <= 1

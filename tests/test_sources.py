@@ -47,6 +47,38 @@ def test_csv_columns_intersect(spark, tmp_path):
     assert scan.scan_csv(spark, path, columns=["number_1", "nothing"]).columns == ["number_1"]
 
 
+def _lines(path, sizes):
+    with open(path, "w") as out:
+        out.write("line_id,string_0,number_0\n")
+        for i, size in enumerate(sizes):
+            out.write(f"{i},{'x' * size},{i % 10}\n")
+
+
+def test_estimate_when_the_first_lines_are_ten_times_longer(spark, tmp_path):
+    _lines(tmp_path / "a.csv", [1000] * 200 + [100] * 60_000)
+    _lines(tmp_path / "b.csv", [100] * 5_000)
+    got = scan.estimate(spark, str(tmp_path), ranges=64, width=4096).first()
+    assert abs(got.rows - 65_200) < 6_520 and abs(got.rows - 65_200) < 4 * got.rows_error
+    assert abs(got.total_size - (200 * 1000 + 65_000 * 100 + 65_200 * 16)) < 0.1 * got.total_size
+
+
+def test_estimate_is_unbiased_over_seeds(spark, tmp_path):
+    _lines(tmp_path / "a.csv", [400] * 500 + [10] * 20_000)
+    found = [scan.estimate(spark, str(tmp_path), 8, 512, seed=s).first().rows for s in range(12)]
+    assert abs(sum(found) / len(found) - 20_500) < 2_050 and len(set(found)) > 1
+
+
+def test_estimate_of_small_compressed_and_empty_files(spark, tmp_path):
+    _lines(tmp_path / "a.csv", [5] * 321)
+    whole = scan.estimate(spark, str(tmp_path)).first()
+    assert (whole.rows, whole.rows_error) == (321, 0.0)
+    spark.read.text(str(tmp_path / "a.csv")).coalesce(1).write.option("compression", "gzip").text(str(tmp_path / "packed"))
+    assert scan.estimate(spark, str(tmp_path / "packed")).first().rows == 321
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "a.csv").write_text("")
+    assert tuple(scan.estimate(spark, str(tmp_path / "none")).first()) == (0, 0.0, 0, 0)
+
+
 def test_estimate_is_close(spark, tmp_path):
     path = _csv(tmp_path, "line_id,number_0,string_0\n" + "".join(f"{10000 + i},1.5,abc\n" for i in range(1000)))
     got = scan.estimate(spark, path).first()
