@@ -585,6 +585,23 @@ _SQL["pca_two_columns"] = orders(
     "l as (select (a + c) / 2 + sqrt((a - c) * (a - c) / 4 + b * b) big, (a + c) / 2 - sqrt((a - c) * (a - c) / 4 + b * b) small from m)",
 )
 
+def neighbours_of(name: str) -> str:
+    """Every row against every other one, on ranks."""
+    rank = "row_number() over (order by {v}, md5(line_id::varchar || '{a}'), line_id) - 1 {a}"
+    ranks = f"select line_id, {rank.format(v=name, a='x')}, {rank.format(v='target', a='y')} from f where {name} is not null and target is not null"
+    return (
+        f"select '{name}' \"column\", greatest(0, p3.psi + pn.psi - m) mi from (select count(*) n, avg(pa.psi + pb.psi) m from ("
+        "select least(n - 1, x + d - 1) - greatest(0, x - d + 1) + 1 a, least(n - 1, y + d - 1) - greatest(0, y - d + 1) + 1 b from ("
+        f"select p.x, p.y, min(greatest(abs(p.x - q.x), abs(p.y - q.y)), 3)[3] d from ({ranks}) p, ({ranks}) q where p.x <> q.x group by 1, 2), "
+        f"(select count(*) n from ({ranks}))) join psi pa on pa.i = a join psi pb on pb.i = b) join psi pn on pn.i = n join psi p3 on p3.i = 3"
+    )
+
+
+_SQL["mutual_info_neighbours"] = orders(
+    f"select \"column\", {r('mi', 5)} mi from ({neighbours_of('number_0')} union all {neighbours_of('number_1')})",
+    "psi as (select range i, -0.57721566490153286::double + coalesce(sum(1.0::double / range) over "
+    "(order by range rows between unbounded preceding and 1 preceding), 0) psi from range(1, (select count(*) + 1 from f)))",
+)
 # Power steps on the covariance of the vectors; the share of the last one.
 _SQL["pca_leading"] = f"""with recursive x as (select vec_id, unnest(range(64)) i, unnest(embedding) v from embeddings),
  m as (select i, avg(v) a from x group by 1), z as (select vec_id, x.i, v - a v from x join m on x.i = m.i),

@@ -18,6 +18,7 @@ from colweave.operators import (
     encode,
     leading,
     narrow,
+    neighbours,
     nulls,
     profile,
     project,
@@ -686,6 +687,12 @@ def mutual_info_select(spark, folder):
     return rounded(select.above_spread(table, "mi", 0.5), 2)
 
 
+@query
+def mutual_info_neighbours(spark, folder):
+    """The estimate from the third-nearest neighbours, a column with missing values and one of seven values."""
+    return rounded(neighbours.neighbour_information(orders(spark, folder), ["number_0", "number_1"]), 5)
+
+
 @query
 def pca_k99(spark, folder):
     df = tables.embedding_features(spark, folder)
