@@ -105,8 +105,8 @@ def ordered_target_encode(
 
     (sum of the earlier labels + prior_rows * mean label of the table) / (earlier rows + prior_rows), where earlier
     means a smaller hash of the key (then a smaller key). A row's own label is never in its running sums. Missing
-    values are one value. Rows without a finite label are encoded but count for nothing. Keys must be unique; a row without a key, and every row of
-    a table without labels, gets the mean of the table (null if there is none). Names default to id and text columns.
+    values are one value. Rows without a finite label are encoded but count for nothing. Keys must be unique; a row
+    without a key gets the mean of the table. A table without labels gets nulls. Names default to id and text columns.
 
     The sums run inside range parts; a value that goes on over several parts takes the sums of the parts before
     it from a table of at most two rows per part.

@@ -150,6 +150,12 @@ class _Cell:
     text_bytes: int
 
 
+def _text_bytes(lines: Sequence[str], texts: Sequence[bool], sep: str) -> int:
+    """Bytes of the cells of text columns."""
+    rows = csv.reader(lines, delimiter=sep)
+    return sum(len(cell.encode()) for cells in rows for cell, is_text in zip(cells, texts, strict=False) if is_text)
+
+
 def _read_cell(spark: SparkSession, file: str, start: int, width: int, stands_for: float, texts: Sequence[bool], sep: str) -> _Cell:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     name = jvm.org.apache.hadoop.fs.Path(file)
@@ -159,10 +165,7 @@ def _read_cell(spark: SparkSession, file: str, start: int, width: int, stands_fo
     stream.close()
     # The first line is whole only at the start of a file, where it is the header; the last one has no end here.
     whole = raw[raw.find(b"\n") + 1 : raw.rfind(b"\n") + 1]
-    lines = whole.decode("utf-8", "replace").splitlines()
-    held = sum(
-        len(cell.encode()) for cells in csv.reader(lines, delimiter=sep) for cell, is_text in zip(cells, texts, strict=False) if is_text
-    )
+    held = _text_bytes(whole.decode("utf-8", "replace").splitlines(), texts, sep)
     unbroken = int(width == stands_for and bool(raw) and not raw.endswith(b"\n"))  # the last line of a file that is read whole
     return _Cell(stands_for, len(raw), raw.count(b"\n") + unbroken, len(whole), held)
 
@@ -176,8 +179,9 @@ def estimate(
     place of each (all bytes where that is less). Every byte is as likely to be read as any other, so line breaks
     per byte are those of the whole table wherever its long lines stand. ``rows_error`` is the standard error of ``rows``,
     from the differences of neighbouring strata; 0 if everything was read. Headers do not count as rows; a line
-    break in quotes counts as one. Compressed files cannot be entered in the middle: their lines are counted by a scan. ``total_size`` is the size in memory: text by its bytes, other types by
-    their width. An empty file or folder gives zeros.
+    break in quotes counts as one. Compressed files cannot be entered in the middle: their lines are counted by a scan.
+    ``total_size`` is the size in memory: other types by their width, text by its share of the bytes of the lines read
+    (if all files are compressed, of the first lines of one). An empty file or folder gives zeros.
     """
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where("length > 0")
     found = sorted((r["path"], r["length"]) for r in listed.select("path", "length").collect())
@@ -216,8 +220,8 @@ def estimate(
         seen = spark.read.text(packed).agg(F.count(F.lit(1)), F.sum(F.octet_length("value") + F.lit(1))).first()
         lines, size = lines + seen[0], size + (seen[1] or 0)
         if not read:
-            sample = spark.read.text(packed[0]).limit(ESTIMATE_ROWS).agg(F.sum(F.octet_length("value"))).first()[0] or 0
-            read, held = sample, sample * sum(texts) / max(1, len(texts))
+            first = [r["value"] for r in spark.read.text(packed[0]).limit(ESTIMATE_ROWS).collect()]
+            read, held = sum(len(line.encode()) + 1 for line in first), _text_bytes(first[1:], texts, sep)
     rows = max(0, round(lines - len(found)))
     text = size * held / read if read else 0.0
     return spark.createDataFrame(
