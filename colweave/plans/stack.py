@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from colweave.operators.score import PREDICTION
 from colweave.operators.split import with_fold
-from colweave.plans.models import CLASSIFICATION, REGRESSION, Fitted, Shape, fit, logistic, vectors
+from colweave.plans.models import CLASSIFICATION, REGRESSION, Fitted, Shape, fit, logistic, training_vectors, vectors
 from colweave.plans.ridge import Linear, ridge_grid
 from colweave.schema import KEY, LABEL, col
 from colweave.session import settle
@@ -48,7 +48,7 @@ def out_of_fold(
     Folds go by key hash. A fold without rows costs no fit. All families score a fold in one projection, so the
     table is written once and no row is joined with another.
     """
-    table = with_fold(vectors(df, names), folds).persist()
+    table = with_fold(training_vectors(df, names), folds).persist()
     parts = None
     for k in sorted(r["fold"] for r in table.select("fold").distinct().collect()):
         rest = table.where(F.col("fold") != k).persist()

@@ -149,3 +149,42 @@ def test_feature_table_has_every_feature(table):
 def test_document_quality_model_runs(spark, folder):
     df = tables.labelled_documents(spark, folder)
     assert df.count() > 0 and set(df.columns) >= {"line_id", "target", "number_0", "string_0"}
+
+
+def _rows_per_part(df):
+    return df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+
+
+def test_fit_does_not_pass_over_many_tiny_parts(table):
+    parts = _rows_per_part(models.training_vectors(table.repartition(150), NAMES).persist())
+    assert parts == [600]
+
+
+def test_fit_cuts_large_parts_by_size(spark, monkeypatch):
+    monkeypatch.setattr(models, "TASK_BYTES", 64_000)
+    df = spark.range(0, 40_000, 1, 1).selectExpr("if(id % 2 = 0, id, null) as line_id", "id * 1.5D as number_a", "id % 7 as target")
+    parts = _rows_per_part(models.training_vectors(df, ["number_a"]))
+    assert len(parts) == 15 and sum(parts) == 40_000
+    assert max(parts) < 1.2 * 40_000 / 15  # rows without a key too
+
+
+def test_tasks_grow_with_the_table_and_not_their_share():
+    sizes = [models.fit_tasks(rows, 14, 12) for rows in (0, 30_000, 10**6, 10**8, 10**9)]
+    assert sizes == [1, 1, 12, 382, 3815]
+
+
+def test_leaderboard_cuts_large_parts_by_size(spark, table, monkeypatch):
+    seen = []
+    monkeypatch.setattr(models, "TASK_BYTES", 2_000)
+    monkeypatch.setattr(search, "_timed_fit", lambda e, train, *rest: seen.append(train.rdd.getNumPartitions()) or (0.0, 1, 1))
+    search.leaderboard({"a": None}, table.coalesce(1), NAMES, models.REGRESSION)
+    assert seen == [10]
+
+
+def test_orders_are_not_held_at_the_number_of_shuffle_parts(spark, folder):
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "90")
+    try:
+        assert tables.orders_features(spark, folder).rdd.getNumPartitions() < 90
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
