@@ -3,7 +3,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from colweave import tables
+from colweave import catalog, tables
 from colweave.operators import split
 from colweave.operators.project import EmptyInput
 from colweave.plans import models, pipeline
@@ -185,3 +185,10 @@ def test_a_fit_reads_its_source_once(spark, orders):
     source = orders.mapInArrow(counted, orders.schema)
     pipeline.train(source, models.REGRESSION, models.ridge, pipeline.FREQUENCY)
     assert rows.value == orders.count()
+
+
+@pytest.mark.parametrize("name", ["prep_onehot_nan", "prep_onehot", "prep_freq"])
+def test_preparations_do_not_join_their_source_again_in_every_pass(spark, folder, name):
+    written = catalog.queries()[name](spark, folder)
+    files = {f.rpartition("/")[0] for f in written.inputFiles()}
+    assert not any(f.startswith(folder) for f in files), files
