@@ -3,6 +3,7 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
+from colweave.operators import neighbours
 from colweave.operators.neighbours import neighbour_distances, neighbour_information, rank_pairs
 
 
@@ -53,3 +54,22 @@ def test_few_rows_missing_values_and_plan(spark):
     assert found["number_b"] is None and found["number_c"] > 1
     plan = plan_of(neighbour_distances(rank_pairs(df, ["number_a"], "target", "line_id"), 3))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("strip", [5, 32, None])
+def test_one_search_and_one_over_borders_whatever_the_density(spark, monkeypatch, strip):
+    rng = np.random.default_rng(3)
+    n = 400
+    shapes = [np.arange(n), rng.permutation(n), np.arange(n)[::-1] ^ 7, np.argsort(np.arange(n) % 7 * 1000 + rng.permutation(n))]
+    rows = [(c, int(x), int(y)) for c, ys in enumerate(shapes) for x, y in enumerate(ys)]
+    assert all(len(set(ys)) == n for ys in shapes)
+    written = []
+    kept = neighbours.settle
+    monkeypatch.setattr(neighbours, "settle", lambda df, name: written.append(name) or kept(df, name))
+    more = [strip] if strip else []
+    found = neighbour_distances(spark.createDataFrame(rows, "c int, x long, y long"), 3, *more).collect()
+    assert len(written) == 1 and len(found) == 4 * n
+    for r in found:
+        ys = shapes[r.c]
+        apart = np.maximum(np.abs(np.arange(n) - r.x), np.abs(ys - r.y))
+        assert r.d == np.sort(apart)[3]
