@@ -5,18 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colweave.llm.tables import discard, settle
-
+from colweave.llm.tables import discard, settle_few
 
 # Edges that one task can take: up to here a round needs no exchange, beyond it the same round runs by shuffle.
 ONE_TASK_EDGES = 200_000
 
 
-def _gathered(edges: DataFrame, rows: int) -> DataFrame:
-    """A counted edge table in one partition if it is small; a round over it is one task instead of many exchanges."""
-    return edges.coalesce(1) if rows <= ONE_TASK_EDGES else edges
-
-
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
@@ -51,17 +45,14 @@ def components(edges: DataFrame) -> DataFrame:
     folder, and the last one gone is deleted.
     """
     ends = edges.where(F.col("u").isNotNull() & F.col("v").isNotNull())
-    now = settle(_tidy(ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))), "edges")
-    while True:
-        written, now = now, _gathered(now, now.count())
-        if _at_rest(now):
-            break
+    now = settle_few(_tidy(ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))), "edges", ONE_TASK_EDGES)
+    while not _at_rest(now):
         large = _star(_both_ways(now)).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         # Every edge now points from the larger to the smaller end.
         small = _star(_tidy(large))
         hung = small.select("v", "m").union(small.select(F.col("u").alias("v"), "m"))
-        after = settle(_tidy(hung.select(F.col("v").alias("u"), F.col("m").alias("v"))), "edges")
-        discard(written)
+        after = settle_few(_tidy(hung.select(F.col("v").alias("u"), F.col("m").alias("v"))), "edges", ONE_TASK_EDGES)
+        discard(now)
         now = after
     # At rest every node hangs on the smallest of its component.
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colweave.llm.components import components
-from colweave.llm.tables import bounded, discard, salted_join, settle
+from colweave.llm.tables import ONE_TASK_ROWS, bounded, discard, salted_join, settle, settle_few
 from colweave.llm.text import (
     LOWER, NOT_SPACE, blobs, flat, mix, ragged, shingles, slices, span_hash, unique_per_text, word_spans,
 )
@@ -158,7 +158,7 @@ def _compared(members: DataFrame, details: DataFrame, p: Params) -> DataFrame:
     placed = placed.withColumn(
         "mine", F.when(F.col("is_main"), F.col("others") + F.pmod(code, F.col("mains"))).otherwise(F.pmod(code, F.col("others"))).cast("int")
     ).withColumn("meets", F.when(F.col("is_main"), F.sequence(F.lit(0), F.col("others") - 1)).otherwise(F.sequence(F.lit(0), F.col("others") + F.col("mains") - 1)))
-    placed = settle(placed.select("cluster", "node", "component", "mine", "meets"), "placed")
+    placed = settle_few(placed.select("cluster", "node", "component", "mine", "meets"), "placed")
     dealt = details.join(bounded(placed, 300_000), "node").withColumn("meet", F.explode("meets")).select(
         F.concat(F.hex("cluster"), F.lit(" "), F.least("mine", "meet"), F.lit(" "), F.greatest("mine", "meet")).alias("pair"),
         F.least("mine", "meet").alias("i"), F.greatest("mine", "meet").alias("j"), "mine", "node", "component", "sig", "shingles",
@@ -247,28 +247,29 @@ def near_duplicates(docs: DataFrame, params: Params | None = None) -> DataFrame:
     named = rows.where(F.col("doc_id").isNotNull() & F.col("node").isNotNull())
     nodes = settle(named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")), "nodes")
 
+    ids = settle_few(nodes.select("node", "doc_id"), "ids")
     bands = nodes.select("node", F.explode("bands").alias("band"))
     shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least")).where("n > 1")
     buckets = settle(bands.join(shared, "band"), "buckets")
-    clusters = settle(
-        components(buckets.select(F.col("node").alias("u"), F.col("least").alias("v")).distinct())
-        .withColumnRenamed("component", "cluster").join(nodes.select("node", "doc_id"), "node"), "clusters",
-    )
+    grouped = components(buckets.select(F.col("node").alias("u"), F.col("least").alias("v"))).withColumnRenamed("component", "cluster")
+    clusters = settle_few(ids.join(bounded(grouped), "node"), "clusters")
     large = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > p.block).select("cluster")
-    crowded = settle(clusters.join(large, "cluster", "left_semi"), "crowded")
-    stars = settle(_linked(settle(_hub_pairs(buckets.join(crowded, "node", "left_semi")), "pairs"), _details(docs, crowded, p), p), "stars")
+    crowded = settle_few(clusters.join(large, "cluster", "left_semi"), "crowded")
+    met = settle_few(buckets.join(bounded(crowded.select("node")), "node", "left_semi"), "met")
+    stars = settle_few(_linked(settle_few(_hub_pairs(met), "pairs"), _details(docs, crowded, p), p), "stars")
     found = components(stars)
     members = clusters.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("doc_id")
-    rest = settle(_compared(members, _details(docs, clusters, p), p), "rest")
-    discard(buckets, clusters, crowded)
-
-    joined = components(stars.union(rest))
-    grouped = nodes.select("node", "doc_id").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    names = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    classes = settle(grouped.join(names, "component").select("node", "component_id"), "classes")
-    discard(stars, rest, nodes)
+    rest = settle_few(_compared(members, _details(docs, clusters, p), p), "rest")
+    discard(buckets, clusters, crowded, met)
+
+    # A node without links is its own component.
+    joined = settle_few(ids.join(bounded(components(stars.union(rest))), "node"), "joined")
+    names = joined.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    linked = settle_few(joined.join(names, "component").select("node", "component_id"), "linked")
+    classes = settle(ids.join(bounded(linked), "node", "left").select("node", F.coalesce("component_id", "doc_id").alias("component_id")), "classes")
+    discard(stars, rest, nodes, ids, joined, linked)
     known = F.col("doc_id").isNotNull()
     of = F.when(known, F.coalesce("component_id", "doc_id"))
-    return rows.drop("bands").join(classes, "node", "left").select(
+    return rows.drop("bands").join(bounded(classes, ONE_TASK_ROWS), "node", "left").select(
         "doc_id", "n_shingles", of.alias("component_id"), (~known | (F.col("doc_id") == of)).alias("kept")
     )

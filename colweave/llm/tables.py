@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from colweave.session import scratch_path, settle
 
-__all__ = ["bounded", "discard", "read", "salted_join", "settle", "settle_by", "unused"]
+__all__ = ["bounded", "discard", "read", "salted_join", "settle", "settle_by", "settle_few", "unused"]
 
 BROADCAST_ROWS = 2_000_000
+# Rows of names and numbers that one task can take.
+ONE_TASK_ROWS = 200_000
 BUCKET_BYTES = 64 << 20
 MOST_BUCKETS = 100_000  # Spark's own limit
 
@@ -33,6 +35,17 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def settle_few(df: DataFrame, name: str, rows: int = ONE_TASK_ROWS) -> DataFrame:
+    """Settle a table of short rows. If its counted rows are few, it goes on as one file and partition: joins and groupings of
+    such tables are one task instead of many exchanges. Beyond ``rows`` the same steps run by shuffle, with the same result."""
+    written = settle(df, name)
+    if written.count() > rows:
+        return written
+    one = settle(written.coalesce(1), name)
+    discard(written)
+    return one.coalesce(1)
+
+
 def settle_by(df: DataFrame, key: str, size: Column, name: str) -> DataFrame:
     """Write ``df`` once in buckets by hash of ``key``: later joins on the key move the other side only.
 

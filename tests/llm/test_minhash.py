@@ -3,8 +3,10 @@ import re
 
 import pytest
 
+from colweave.llm import minhash, tables
 from colweave.llm.components import components
 from colweave.llm.minhash import Params, near_duplicates
+from colweave.llm.tables import settle_few
 
 from llm_rows import frame, odd_rows, words  # noqa: F401
 
@@ -75,3 +77,22 @@ def test_components_of_paths_stars_and_loops(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 130), 100), 300: 300, 301: 300}
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_small_tables_go_on_as_one_partition(spark, monkeypatch):
+    parts = {}
+
+    def kept(df, name, *rows):
+        found = settle_few(df, name, *rows)
+        parts[name] = found.rdd.getNumPartitions()
+        return found
+
+    monkeypatch.setattr(minhash, "settle_few", kept)
+    texts = [(k, edited(words(120, k // 10), k % 3, k), "en") for k in range(60)]
+    expected = brute(texts, 2)
+    for limit in (tables.ONE_TASK_ROWS, 0):
+        monkeypatch.setattr(settle_few, "__defaults__", (limit,))
+        got = near_duplicates(frame(spark, texts), Params(words=2, block=4)).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
+        assert {"ids", "clusters", "crowded", "met", "pairs", "stars", "placed", "rest", "joined", "linked"} <= set(parts)
+        assert limit == 0 or set(parts.values()) == {1}
