@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from colweave import tables
 from colweave.operators import score, split
-from colweave.plans import models, response, search
+from colweave.plans import models, pipeline, response, search
 from colweave.schema import LABEL
 
 
@@ -188,3 +188,26 @@ def test_orders_are_not_held_at_the_number_of_shuffle_parts(spark, folder):
         assert tables.orders_features(spark, folder).rdd.getNumPartitions() < 90
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", kept)
+
+
+def test_steps_of_a_search_share_one_dealt_table(spark, folder, monkeypatch):
+    dealt, deal = [], models.training_vectors
+    monkeypatch.setattr(models, "training_vectors", lambda *a: dealt.append(1) or deal(*a))
+    monkeypatch.setattr(search, "training_vectors", models.training_vectors)
+    made = {"forest": models.forest(models.REGRESSION, 2, maxDepth=3)}
+    scorer, _ = pipeline.train_best(tables.orders_features(spark, folder), models.REGRESSION, made, depths=[2, 3])
+    assert len(dealt) == 1
+    assert scorer.fitted.model.getMaxDepth() in (2, 3)
+
+
+def test_a_held_table_goes_on_as_it_is(table):
+    boost = models.boosted(models.REGRESSION, 2)
+    with models.held(table, NAMES) as rows:
+        assert models.is_dealt(rows) and not models.is_dealt(table)
+        board = search.leaderboard({"boost": boost}, rows, NAMES, models.REGRESSION).first()["score"]
+        _, tried = search.depth_search(boost, rows, NAMES, models.REGRESSION, [3])
+        assert tried.first()["score"] == board
+        name, last = search.select_model({"boost": boost}, rows, NAMES, models.REGRESSION, samples=(200,))
+        assert name == "boost" and last.count() == 1
+        assert rows.is_cached  # its owner lets it go
+    assert not rows.is_cached
