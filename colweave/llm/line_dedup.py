@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colweave.llm.tables import bounded, discard, salted_join, settle, settle_by, unused
-from colweave.llm.text import LOWER, NOT_SPACE, flat, mix, ragged, slices, span_hash, word_spans
+from colweave.llm.text import LOWER, NOT_SPACE, SMALL_SLICE_BYTES, flat, mix, ragged, slices, span_hash, word_spans
 
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -110,7 +110,7 @@ def _fingerprints(texts: DataFrame, p: Params) -> DataFrame:
     """(gram, doc_id, doc, first, fresh): chosen runs by their first word; fresh are those beside a cut."""
 
     def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SMALL_SLICE_BYTES):
             hashes, first, cuts = _words(part)
             gram, begin, _ = _choose(hashes, np.ones(len(hashes), np.int64), first, p)
             row = np.searchsorted(first, begin, "right") - 1
@@ -208,7 +208,7 @@ def _around(texts: DataFrame, p: Params) -> DataFrame:
     """(doc, start, stop, before, after): the hashes of the words around each of the spots of a text."""
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SMALL_SLICE_BYTES):
             hashes, first, _ = _words(part)
             spots = part.column("spots")
             sizes = spots.value_lengths().to_numpy(zero_copy_only=False)

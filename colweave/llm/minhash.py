@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from colweave.llm.components import components
 from colweave.llm.tables import ONE_TASK_ROWS, bounded, discard, salted_join, settle, settle_few
 from colweave.llm.text import (
-    LOWER, NOT_SPACE, blobs, flat, mix, ragged, shingles, slices, span_hash, unique_per_text, word_spans,
+    LOWER, NOT_SPACE, SMALL_SLICE_BYTES, blobs, flat, mix, ragged, shingles, slices, span_hash, unique_per_text, word_spans,
 )
 
 
@@ -76,7 +76,7 @@ def _sketches(docs: DataFrame, p: Params) -> DataFrame:
     """(doc_id, n_shingles, node, bands): ``node`` names the shingle set, ``bands`` are hashes of its bands of minima."""
 
     def sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SMALL_SLICE_BYTES):
             values, offsets = _shingle_sets(part.column("text"), p.words)
             minima = _minima(values, offsets, p).astype(np.uint64).reshape(part.num_rows, p.bands, p.rows)
             key = np.broadcast_to(np.arange(p.bands, dtype=np.uint64), minima.shape[:2])
@@ -95,7 +95,7 @@ def _details(docs: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
     """(node, sig, shingles) of the given nodes (node, doc_id): minima and whole set, from the text of one document each."""
 
     def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SMALL_SLICE_BYTES):
             values, offsets = _shingle_sets(part.column("text"), p.words)
             sig = blobs(_minima(values, offsets, p).ravel(), np.arange(part.num_rows + 1) * p.bands * p.rows)
             yield pa.RecordBatch.from_arrays(

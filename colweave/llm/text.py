@@ -14,6 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 2 << 20
+# For work that holds many 64-bit numbers per byte or word of a slice: they stay in the cache, and a task's memory stays small.
+SMALL_SLICE_BYTES = 512 << 10
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
