@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colweave.llm.text import LOWER, flat, mix, shingles, slices, span_hash, word_spans
+from colweave.llm.text import LOWER, SMALL_SLICE_BYTES, flat, mix, shingles, slices, span_hash, word_spans
 
 WORD = np.zeros(256, bool)
 WORD[0x30:0x3A] = WORD[0x61:0x7B] = WORD[0x80:] = True
@@ -224,7 +224,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, params: Params | None = None) ->
 
     def look(index: Index):  # noqa: ANN202
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part in slices(batches, "text"):
+            for part in slices(batches, "text", SMALL_SLICE_BYTES):
                 words, first = _word_hashes(part.column("text"))
                 found = part.column("contaminated_by").to_pylist()
                 hit = set()

@@ -11,10 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colweave.llm.tables import bounded, discard, settle
-from colweave.llm.text import mix, slices
+from colweave.llm.text import SMALL_SLICE_BYTES, mix, slices
 
 START, NUL = "\x02", "\x01"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+# Runs that a task holds before it merges or passes them on, and runs of a batch that it passes on.
+_HELD_GRAMS = 1_000_000
+_BATCH_GRAMS = 50_000
 
 
 @dataclass(frozen=True)
@@ -67,28 +70,36 @@ def _grams(docs: DataFrame, order: int) -> DataFrame:
     """(gram, n): the distinct runs of every task's texts with their counts."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, names, counts = np.zeros(0, np.uint64), np.zeros(0, f"<U{order}"), np.zeros(0, np.int64)
-        for part in slices(batches, "text"):
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for part in slices(batches, "text", SMALL_SLICE_BYTES):
             codes, offsets = _codes(part.column("text").to_pylist(), order)
             ok = np.flatnonzero(_inside(codes, offsets, order))
             found, at, n = np.unique(_hashes(codes, order)[ok], return_index=True, return_counts=True)
-            rows = np.lib.stride_tricks.sliding_window_view(codes, order)[ok[at]] if len(at) else np.zeros((0, order), np.uint32)
-            text = np.ascontiguousarray(rows).view(f"<U{order}").reshape(len(at))
-            merged, back = np.unique(np.concatenate([keys, found]), return_inverse=True)
-            total = np.bincount(back, np.concatenate([counts, n]), len(merged)).astype(np.int64)
-            spelled = np.zeros(len(merged), f"<U{order}")
-            spelled[back] = np.concatenate([names, text])
-            keys, names, counts = merged, spelled, total
-            if len(keys) > 1_000_000:
-                yield table(names, counts)
-                keys, names, counts = keys[:0], names[:0], counts[:0]
-        yield table(names, counts)
-
-    def table(names: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        order_ = np.argsort(names)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(names[order_].tolist(), pa.string()), pa.array(counts[order_], pa.int64())], names=["gram", "n"]
-        )
+            if not len(at):
+                continue
+            rows = np.lib.stride_tricks.sliding_window_view(codes, order)[ok[at]]
+            held.append((found, np.ascontiguousarray(rows).view(f"<U{order}").reshape(len(at)), n))
+            if sum(len(found) for found, _, _ in held) > _HELD_GRAMS:
+                held = [merged(held)]
+                if len(held[0][0]) > _HELD_GRAMS // 2:
+                    yield from table(held.pop())
+        if held:
+            yield from table(merged(held))
+
+    def merged(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys, names, counts = (np.concatenate(column) for column in zip(*held, strict=True))
+        held.clear()
+        by_key = np.argsort(keys, kind="stable")
+        keys = keys[by_key]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        return keys[first], names[by_key[first]], np.add.reduceat(counts[by_key], first)
+
+    def table(runs: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        _, names, counts = runs
+        by_name = np.argsort(names)
+        for start in range(0, len(by_name), _BATCH_GRAMS):
+            at = by_name[start : start + _BATCH_GRAMS]
+            yield pa.RecordBatch.from_arrays([pa.array(names[at].tolist(), pa.string()), pa.array(counts[at], pa.int64())], names=["gram", "n"])
 
     return docs.select("text").mapInArrow(count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
@@ -173,32 +184,28 @@ def probabilities(grams: DataFrame, model: Model, k: int) -> DataFrame:
 
 
 class _Lookup:
-    """Hash table from a run's hash to its log-probability, probed by array operations."""
+    """Hash table from a run's hash to its log-probability, probed by array operations. Hashes come sorted."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        self.shift = np.uint64(64 - max(4, int(2 * len(keys) + 1).bit_length()))
-        size = 1 << (64 - int(self.shift))
-        # A run's hash is never 0 in practice; an empty place answers 0.
-        self.keys, self.values = np.zeros(size, np.uint64), np.zeros(size, np.float32)
+        self.shift = np.uint64(64 - max(4, int(4 * len(keys) // 3 + 1).bit_length()))
+        # The first bits of a hash are its place; in sorted order a run takes that or the next one that is free.
         place = (keys >> self.shift).astype(np.int64)
-        left = np.arange(len(keys))
-        while len(left):
-            spot = place[left] & (size - 1)
-            free = self.keys[spot] == 0
-            _, first = np.unique(spot[free], return_index=True)
-            put = left[free][first]
-            self.keys[place[put] & (size - 1)], self.values[place[put] & (size - 1)] = keys[put], values[put]
-            left = np.setdiff1d(left, put, assume_unique=True)
-            place[left] += 1
+        step = np.arange(len(keys))
+        place -= step
+        np.maximum.accumulate(place, out=place)
+        place += step
+        size = max(1 << (64 - int(self.shift)), int(place[-1]) + 1 if len(place) else 0) + 1
+        # A run's hash is never 0 in practice; an empty place answers 0, and the last one is always empty.
+        self.keys, self.values = np.zeros(size, np.uint64), np.zeros(size, np.float32)
+        self.keys[place], self.values[place] = keys, values
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
-        size = len(self.keys)
         place = (keys >> self.shift).astype(np.int64)
         found = self.keys[place]
         out = np.where(found == keys, self.values[place], np.float32(0))
         left = np.flatnonzero((found != keys) & (found != 0))
         while len(left):
-            place[left] = (place[left] + 1) & (size - 1)
+            place[left] += 1
             found = self.keys[place[left]]
             hit = found == keys[left]
             out[left[hit]] = self.values[place[left[hit]]]
@@ -223,7 +230,9 @@ def _shards(scores: DataFrame, p: Params) -> Iterator[tuple[np.ndarray, np.ndarr
     parts = -(-scores.count() // p.shard_rows)
     for part in range(parts):
         table = named.where(F.pmod("key", F.lit(parts)) == part).toArrow()
-        yield table.column("key").to_numpy().view(np.uint64), table.column("score").to_numpy()
+        keys = table.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        yield keys[order], table.column("score").to_numpy()[order]
 
 
 def _scored(docs: DataFrame, scores: DataFrame, p: Params) -> DataFrame:
@@ -237,7 +246,7 @@ def _scored(docs: DataFrame, scores: DataFrame, p: Params) -> DataFrame:
     def add(shards: list[tuple[np.ndarray, np.ndarray]]):  # noqa: ANN202
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lookups = [_Lookup(*s) for s in shards]
-            for part in slices(batches, "text"):
+            for part in slices(batches, "text", SMALL_SLICE_BYTES):
                 codes, offsets = _codes(part.column("text").to_pylist(), order)
                 ok = _inside(codes, offsets, order)
                 hashes = _hashes(codes, order)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from colweave.llm.text import slices, span_hash
 
 SPACE = "▁"
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 KNOWN_CHUNKS = 500_000
 _CODES = 0x110000
 _NEVER = 1 << 40

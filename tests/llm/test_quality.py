@@ -2,6 +2,8 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from llm_rows import frame, odd_rows, words  # noqa: F401
 
@@ -110,3 +112,27 @@ def test_odd_rows_and_empty_tables(spark, odd_rows):  # noqa: F811
     none = spark.createDataFrame([], SCHEMA)
     assert all(r.accepted and r.perplexity_limit is None for r in Q.assess(frame(spark, odd_rows), none).collect())
     assert Q.assess(frame(spark, []), labels).collect() == []
+
+
+def test_runs_leave_a_task_in_small_batches_and_each_once(spark, monkeypatch):
+    monkeypatch.setattr(Q, "_BATCH_GRAMS", 40)
+    tasks = []
+    plain = type(spark.range(0)).mapInArrow
+    monkeypatch.setattr(type(spark.range(0)), "mapInArrow", lambda df, f, kind: (tasks.append(f), plain(df, f, kind))[1])
+    Q._grams(spark.createDataFrame([("x",)], "text string"), 3)
+    texts = ["".join(random.Random(k).choices("abcdefgh", k=200)) for k in range(5)]
+    batches = list(tasks[0]([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])]))
+    assert max(len(b) for b in batches) <= 40 < sum(len(b) for b in batches)
+    padded = [Q.START * 2 + t for t in texts]
+    wanted = Counter(t[k : k + 3] for t in padded for k in range(len(t) - 2))
+    assert {g: n for b in batches for g, n in zip(*b.to_pydict().values(), strict=True)} == wanted
+
+
+def test_a_lookup_takes_little_more_than_its_runs():
+    keys = np.unique(np.random.default_rng(1).integers(1, 1 << 64, 1_100_000, dtype=np.uint64))
+    keys[-2:] = (1 << 64) - 2, (1 << 64) - 1
+    values = np.arange(1, len(keys) + 1, dtype=np.float32)
+    lookup = Q._Lookup(keys, values)
+    assert lookup.keys.nbytes < 3 * keys.nbytes
+    assert (lookup(keys) == values).all()
+    assert lookup(np.array([keys[5] + 1, 3], np.uint64)).tolist() == [0, 0]
