@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colweave.llm.tables import bounded, discard, salted_join, settle, settle_by, unused
-from colweave.llm.text import LOWER, NOT_SPACE, SMALL_SLICE_BYTES, flat, mix, ragged, slices, span_hash, word_spans
+from colweave.llm.text import LOWER, NOT_SPACE, SMALL_SLICE_BYTES, SPACE, flat, mix, ragged, slices, span_hash, word_spans
 
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _SHARD_GRAMS = 1 << 20
 _PACK_GRAMS = 1 << 22
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 @dataclass(frozen=True)
@@ -205,14 +204,19 @@ def _segments(met: DataFrame, p: Params) -> DataFrame:
 
 
 def _around(texts: DataFrame, p: Params) -> DataFrame:
-    """(doc, start, stop, before, after): the hashes of the words around each of the spots of a text."""
+    """(doc, start, stop, other, there, before, after): every spot of a text with the hashes of the words around it, once per doc of a task."""
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for part in slices(batches, "text", SMALL_SLICE_BYTES):
+            ids = part.column("doc").to_pylist()
+            new = [k for k, x in enumerate(ids) if not (x in seen or seen.add(x))]
+            part = part if len(new) == len(ids) else part.take(pa.array(new, pa.int64()))
             hashes, first, _ = _words(part)
             spots = part.column("spots")
             sizes = spots.value_lengths().to_numpy(zero_copy_only=False)
-            start, stop = (spots.flatten().field(k).to_numpy(zero_copy_only=False) for k in range(2))
+            places = spots.flatten()
+            start, stop = (places.field(k).to_numpy(zero_copy_only=False) for k in range(2))
             a, b = np.repeat(first[:-1], sizes), np.repeat(first[1:], sizes)
             sides = []
             for low, high in ((np.maximum(a, a + start - p.reach), a + start), (a + stop, np.minimum(b, a + stop + p.reach))):
@@ -221,11 +225,10 @@ def _around(texts: DataFrame, p: Params) -> DataFrame:
                 sides.append(ragged(hashes[at].view(np.int64), ends, pa.int64()))
             doc = np.repeat(part.column("doc").to_numpy(), sizes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc, pa.int64()), pa.array(start, pa.int32()), pa.array(stop, pa.int32()), *sides],
-                names=["doc", "start", "stop", "before", "after"],
+                [pa.array(doc, pa.int64()), *places.flatten(), *sides], names=["doc", "start", "stop", "other", "there", "before", "after"]
             )
 
-    return texts.mapInArrow(read, "doc long, start int, stop int, before array<long>, after array<long>")
+    return texts.mapInArrow(read, "doc long, start int, stop int, other long, there int, before array<long>, after array<long>")
 
 
 def _equal(x: pa.ListArray, y: pa.ListArray, back: bool) -> np.ndarray:
@@ -257,27 +260,33 @@ def _extended(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _united(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, starts, stops): older cuts, in words of the text, and runs, in words left by them, as one list in words of the text."""
+    """(doc, starts, stops, now): older cuts, in words of the text, and runs, in words left by them, as one list in words of the
+    text; ``now`` if there are runs."""
     for batch in batches:
-        starts, stops = [], []
-        for r in batch.select(["runs", "starts", "stops"]).to_pylist():
-            old = list(zip(r["starts"] or (), r["stops"] or (), strict=True))
-            gaps = np.array([a for a, _ in old], np.int64)
-            gone = np.concatenate([[0], np.cumsum([b - a for a, b in old])]).astype(np.int64)
-            # The words left before each older cut; a word goes back behind all cuts that have at most as many before them.
-            left = gaps - gone[:-1]
-            back = lambda word: int(word + gone[np.searchsorted(left, word, "right")])  # noqa: B023, E731
-            spans = sorted([*old, *((back(x["start"]), back(x["stop"] - 1) + 1) for x in r["runs"] or ())])
-            joined: list[list[int]] = []
-            for a, b in spans:
-                if joined and a <= joined[-1][1]:
-                    joined[-1][1] = max(joined[-1][1], b)
-                else:
-                    joined.append([a, b])
-            starts.append([a for a, _ in joined])
-            stops.append([b for _, b in joined])
+        rows = np.arange(batch.num_rows) << 32  # a word number after its row's makes one number that sorts like both
+        runs, many = batch.column("runs"), {n: batch.column(n).value_lengths().fill_null(0).to_numpy(zero_copy_only=False) for n in ("runs", "starts")}
+        old_start, old_stop = (batch.column(n).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for n in ("starts", "stops"))
+        start, stop = (runs.flatten().field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(2))
+        old_row, row = np.repeat(rows, many["starts"]), np.repeat(rows, many["runs"])
+        gone = np.concatenate([[0], np.cumsum(old_stop - old_start)])
+        before = np.concatenate([[0], np.cumsum(many["starts"])])[:-1]
+        # The words left before each older cut; a word goes back behind all cuts that have at most as many before them.
+        left = old_row + old_start - (gone[:-1] - np.repeat(gone[before], many["starts"]))
+
+        def back(word: np.ndarray) -> np.ndarray:
+            return row + word + gone[np.searchsorted(left, row + word, "right")] - np.repeat(gone[before], many["runs"])  # noqa: B023
+
+        a, b = np.concatenate([old_row + old_start, back(start)]), np.concatenate([old_row + old_stop, back(stop - 1) + 1])
+        order = np.argsort(a, kind="stable")
+        a, b = a[order], np.maximum.accumulate(b[order])
+        new = np.ones(len(a), bool)
+        new[1:] = a[1:] > b[:-1]
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(a))[: len(first)] - 1
+        ends = np.concatenate([[0], np.cumsum(np.bincount(a[first] >> 32, minlength=batch.num_rows))])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc"), *(pa.array(x, pa.list_(pa.int32())) for x in (starts, stops))], names=["doc", "starts", "stops"]
+            [batch.column("doc"), *(ragged((x & 0xFFFFFFFF).astype(np.int32), ends, pa.int32()) for x in (a[first], b[last])), pa.array(many["runs"] > 0)],
+            names=["doc", "starts", "stops", "now"],
         )
 
 
@@ -294,7 +303,8 @@ def repeated_words(docs: DataFrame, params: Params | None = None) -> DataFrame:
     p = params or Params()
     none = F.lit(None).cast("array<int>")
     uncut = settle(_fingerprints(docs.withColumns({"starts": none, "stops": none}), p), "fingerprints")
-    cuts = docs.sparkSession.createDataFrame([], "doc long, starts array<int>, stops array<int>")
+    cuts = docs.sparkSession.range(0).select(F.col("id").alias("doc"), none.alias("starts"), none.alias("stops"))
+    recut: DataFrame | None = None
     again = settle(_repeated(uncut), "repeated")
     marks = settle(uncut.join(bounded(again), "gram", "left_semi"), "marks")
     discard(again)
@@ -308,55 +318,70 @@ def repeated_words(docs: DataFrame, params: Params | None = None) -> DataFrame:
         segments = settle(_segments(pairs.groupBy("doc").agg(F.collect_list(one).alias("met")), p), "segments")
         discard(origins, marks)
         if segments.isEmpty():
-            discard(segments, uncut)
+            discard(segments, uncut, *([] if recut is None else [recut]))
             return cuts
-        mine = segments.select("doc", "start", "stop")
-        theirs = segments.select("other", "there", (F.col("there") + F.col("stop") - F.col("start")).alias("there_stop"))
-        spots = mine.union(theirs).distinct().groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spots"))
+        there_stop = F.col("there") + F.col("stop") - F.col("start")
+        met_by = settle(segments.groupBy("other", "there", there_stop.alias("there_stop")).agg(F.count(F.lit(1)).alias("_n")), "counts")
+        # The places of the runs, with what they equal, and once each the places that these equal, with nothing.
+        theirs = met_by.select(F.col("other").alias("doc"), F.col("there").alias("start"), F.col("there_stop").alias("stop"))
+        spots = segments.unionByName(theirs, allowMissingColumns=True).groupBy("doc").agg(
+            F.collect_list(F.struct("start", "stop", "other", "there")).alias("spots")
+        )
         known = spots.join(cuts, "doc", "left").hint("shuffle_hash")
-        around = settle(_around(docs.join(known, "doc"), p).dropDuplicates(["doc", "start", "stop"]), "around")
-        there = around.toDF("other", "there", "there_stop", "before_there", "after_there")
-        whole = segments.withColumn("there_stop", F.col("there") + F.col("stop") - F.col("start")).join(around, ["doc", "start", "stop"])
-        met_by = settle(theirs.groupBy("other", "there", "there_stop").agg(F.count(F.lit(1)).alias("_n")), "counts")
+        around = settle(_around(docs.join(known, "doc"), p), "around")
+        there = around.where("other is null").select("doc", "start", "stop", "before", "after").toDF(
+            "other", "there", "there_stop", "before_there", "after_there"
+        )
+        whole = around.where("other is not null").withColumn("there_stop", there_stop)
         found = salted_join(whole, there, ["other", "there", "there_stop"], "doc", counts=met_by).mapInArrow(
             _extended, "doc long, start int, stop int"
         )
         runs = found.distinct().groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("runs"))
-        both = settle(runs.join(cuts, "doc", "full").mapInArrow(_united, "doc long, starts array<int>, stops array<int>"), "cuts")
+        both = settle(runs.join(cuts, "doc", "full").mapInArrow(_united, "doc long, starts array<int>, stops array<int>, now boolean"), "cuts")
         discard(segments, around, met_by, cuts)
-        cuts = both
-        redone = settle(_fingerprints(docs.join(cuts.hint("shuffle_hash"), "doc"), p), "fingerprints")
+        cuts, changed = both.drop("now"), both.where("now").drop("now")
+        # Texts without a new cut keep the fingerprints that they have; those of equal runs there have been compared.
+        redone = settle(_fingerprints(docs.join(changed.hint("shuffle_hash"), "doc"), p), "fingerprints")
         fresh = settle(redone.where("fresh").select("gram").distinct(), "fresh")
+        if recut is not None:
+            kept = settle(recut.join(bounded(changed.select("doc")), "doc", "left_anti").unionByName(redone), "fingerprints")
+            discard(recut, redone)
+            redone = kept
+        recut = redone
         grams = bounded(fresh)
         old = uncut.join(grams, "gram", "left_semi").join(bounded(cuts.select("doc")), "doc", "left_anti")
-        marks = settle(old.unionByName(redone.join(grams, "gram", "left_semi")), "marks")
-        discard(redone, fresh)
+        marks = settle(old.unionByName(recut.join(grams, "gram", "left_semi")), "marks")
+        discard(fresh)
 
 
-def _rewritten(text: str, gone: np.ndarray) -> tuple[str, list[int]]:
-    """The text without the words marked ``gone``, and the numbers of the lines that lost every word.
+def _rewritten(text: bytes, starts: list[int], stops: list[int]) -> tuple[bytes, list[int], int]:
+    """The text without the words of the given spans, the numbers of the lines that lost every word, and how many words went.
 
     A line that lost every word goes with its line feed; in another, the blanks after a word go with it.
     """
-    kept, cut, at = [], [], 0
-    for number, line in enumerate(text.encode().split(b"\n")):
-        here = gone[at : at + len(line.split())]
-        at += len(here)
-        if not here.any():
-            kept.append(line)
-        elif here.all():
-            cut.append(number)
-        else:
-            spans = [m.span() for m in _WORD.finditer(line)]
-            blanks = [line[a:b] for (_, a), (b, _) in zip(spans[:-1], spans[1:], strict=True)]
-            left = np.flatnonzero(~here).tolist()
-            pieces = [line[: spans[0][0]]]
-            for k in left:
-                pieces.append(line[slice(*spans[k])])
-                if k != left[-1]:
-                    pieces.append(blanks[k])
-            kept.append(b"".join([*pieces, line[spans[-1][1] :]]))
-    return b"\n".join(kept).decode(), cut
+    data = np.frombuffer(text + b"\n", np.uint8)  # every line ends; the last line feed left is not of the text
+    blank = SPACE[data]
+    edges = np.flatnonzero(np.diff(blank, prepend=True))
+    begin, end = edges[::2], edges[1::2]
+    gone = np.zeros(len(begin), bool)
+    for a, b in zip(starts, stops, strict=True):
+        gone[a:b] = True
+    feeds = np.flatnonzero(data == 10)
+    line = np.searchsorted(feeds, begin)
+    left = np.bincount(line[~gone], minlength=len(feeds))
+    lost = np.flatnonzero((left == 0) & (np.bincount(line, minlength=len(feeds)) > 0))
+    last = np.append(line[1:] != line[:-1], True)
+    # In a line that keeps words: each one gone, and the blanks after it and after the last one left, but not those at the line's end.
+    final = np.zeros(len(begin), bool)
+    kept = np.flatnonzero(~gone)
+    final[kept] = np.append(line[kept[1:]] != line[kept[:-1]], True)[: len(kept)]
+    words, blanks = np.flatnonzero(gone), np.flatnonzero((gone | final) & ~last)
+    change = np.zeros(len(data) + 1, np.int32)
+    begins = np.concatenate([begin[words], end[blanks], np.append(0, feeds[:-1] + 1)[lost]])
+    ends = np.concatenate([end[words], begin[blanks + 1], feeds[lost] + 1])
+    np.add.at(change, begins, 1)
+    np.add.at(change, ends, -1)
+    return data[np.cumsum(change[:-1]) == 0].tobytes()[:-1], lost.tolist(), len(words)
 
 
 def dedup_lines(docs: DataFrame, params: Params | None = None) -> DataFrame:
@@ -381,20 +406,20 @@ def dedup_lines(docs: DataFrame, params: Params | None = None) -> DataFrame:
 
     def rewrite(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, lines, counts = batch.column("text").to_pylist(), [], []
-            for row, (starts, stops) in enumerate(zip(*(batch.column(n).to_pylist() for n in names[-2:]), strict=True)):
-                cut, many = [], 0
-                if starts:
-                    gone = np.zeros(len(texts[row]), bool)
-                    for a, b in zip(starts, stops, strict=True):
-                        gone[a:b] = True
-                    many = int(gone.sum())
-                    texts[row], cut = _rewritten(texts[row], gone)
+            text, spans = batch.column("text"), batch.columns[-2:]
+            many = spans[0].value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            hit = pa.array(np.flatnonzero(many))
+            texts, lines, counts = [], [], np.zeros(len(many), np.int64)
+            for at, *row in zip(hit.to_pylist(), text.take(hit).cast(pa.binary()).to_pylist(), *(x.take(hit).to_pylist() for x in spans), strict=True):
+                new, cut, counts[at] = _rewritten(*row)
+                texts.append(new)
                 lines.append(cut)
-                counts.append(many)
+            sizes = np.zeros(len(many), np.int64)
+            sizes[many > 0] = [len(x) for x in lines]
+            numbers = np.array([x for cut in lines for x in cut], np.int32)
             columns = list(batch.columns)
-            columns[place] = pa.array(texts, pa.string())
-            columns[-2:] = pa.array(lines, pa.list_(pa.int32())), pa.array(counts, pa.int64())
+            columns[place] = pc.replace_with_mask(text, pa.array(many > 0), pa.array(texts, pa.binary()).cast(text.type)) if texts else text
+            columns[-2:] = ragged(numbers, np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(counts, pa.int64())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return joined.mapInArrow(rewrite, f"{fields}, removed_words long")

@@ -4,6 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_rows import frame, odd_rows, words  # noqa: F401
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from colweave.llm import line_dedup
@@ -163,3 +164,38 @@ def test_texts_are_moved_once(spark):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
     assert sorted(r.n for r in joined.collect()) == list(range(0, 50, 3))
+
+
+def test_later_rounds_hash_only_texts_with_a_new_cut(spark, monkeypatch):
+    a, b, c, d = passage(30, 1, 1), passage(90, 2, 1), passage(30, 3, 1), passage(80, 4, 1)
+    rows = [(1, b, "en"), (2, f"{a} {b} {c}", "en"), (3, f"{a} {c}", "en")]  # a c stands twice when b has gone
+    rows += [(k, f"{d} {passage(60, k, 1)}", "en") for k in range(10, 20)]
+    hashed, whole = [], line_dedup._fingerprints
+
+    def counted(texts, p):
+        hashed.append(texts.count())
+        return whole(texts, p)
+
+    monkeypatch.setattr(line_dedup, "_fingerprints", counted)
+    got = {r.doc_id: r.removed_words for r in dedup_lines(frame(spark, rows)).collect()}
+    assert hashed == [13, 10, 1]
+    assert [got[k] for k in (1, 2, 3)] == [0, 90, 60] and [got[k] for k in range(10, 20)] == [0] + [80] * 9
+
+
+def test_runs_and_older_cuts_become_one_list_in_words_of_the_text():
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+    batch = pa.RecordBatch.from_arrays(
+        [
+            pa.array([7, 8, 9], pa.int64()), pa.array([[{"start": 1, "stop": 4}, {"start": 9, "stop": 10}], None, [{"start": 0, "stop": 2}]], kind),
+            *(pa.array(x, pa.list_(pa.int32())) for x in ([[2, 8], [3], None], [[5, 9], [6], None])),
+        ],
+        names=["doc", "runs", "starts", "stops"],
+    )
+    got = next(line_dedup._united([batch])).to_pydict()
+    assert got == {"doc": [7, 8, 9], "starts": [[1, 8, 13], [3], [0]], "stops": [[7, 9, 14], [6], [2]], "now": [True, False, True]}
+
+
+def test_words_go_with_the_blanks_after_them_and_lines_without_words_left_whole():
+    text = "a  b c \n d e\n\n\tf g  h\ni".encode()
+    assert line_dedup._rewritten(text, [1, 3, 6], [2, 5, 8]) == (b"a  c \n\n\tf\ni", [1], 5)
+    assert line_dedup._rewritten(text, [0], [9]) == (b"", [0, 1, 3, 4], 9)
