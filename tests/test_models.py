@@ -2,9 +2,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
 from colweave import tables
+from colweave.catalog import registry
 from colweave.operators import score, split
 from colweave.plans import models, pipeline, response, search
 from colweave.schema import LABEL
@@ -95,6 +97,19 @@ def test_leaderboard_inside_a_training_part(spark, folder):
     assert board.first()["score"] > -1.0
 
 
+def test_the_automatic_search_boosts_all_its_rounds(spark, tmp_path, monkeypatch):
+    rows = spark.range(80).selectExpr(
+        "id event_id", "timestampadd(hour, id, timestamp'2024-01-01 00:00:00') ts", "id % 7 user_id", "if(id % 3 = 0, 'click', 'view') event_type",
+        "id % 11 * 1.5D value", """concat('{"k": ', id % 9, '}') props""",
+    )
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    tried = []
+    monkeypatch.setattr(search, "_timed_fit", lambda e, *rest: tried.append(e) or (0.5, 1, 1))
+    board = registry.queries()["automl_leaderboard"](spark, str(tmp_path))
+    assert [r["model"] for r in board.collect()] == ["linear", "forest", "boost_fast", "boost_slow", "linear_svm"]
+    assert [e.getMaxIter() for e in tried if isinstance(e, GBTClassifier)] == [models.BOOST_ROUNDS] * 2 == [100, 100]
+
+
 def test_survivors(spark):
     board = spark.createDataFrame([("a", 1.0), ("b", 3.0), ("c", 2.0), ("d", 2.0)], "model string, score double")
     assert {r["model"] for r in search.survivors(board).collect()} == {"b", "c", "d"}
